@@ -1,21 +1,23 @@
 """Benchmark decontamination with a positional inverted index.
 
-The words of the benchmark form the test vocabulary. Corpus frequencies of its terms pick, for each window of ten
-item words, the rarest term; the index gives that term's postings (document, position), and each posting proposes one
-place for the window. The other terms' postings, shifted by their offsets in the window, are then intersected in
-order of rarity until the whole phrase is confirmed (or, for proximity, until all terms lie within a slack).
+The index maps terms to postings (document, position). Its terms are pairs of adjacent words, which are the words'
+own lists intersected at an offset of one while the postings are made: single words of a language are far too frequent
+to start from. Corpus frequencies of the benchmark's terms pick the rarest term of each window of ten item words; its
+postings, less the term's offset in the item, give the diagonals (document, item, position - offset) on which the item
+may stand. On these diagonals alone the remaining words' postings, shifted likewise, are intersected, and runs of
+matches as long as a window are exact occurrences; proximity asks that a window's words all lie within a slack.
 
-The index keeps postings of the rarest terms first and further terms only for documents that still have a candidate,
-so that what is shuffled follows the matches and not the corpus. Everything is native; nothing is collected but counts.
+What is shuffled follows the diagonals found and not the corpus: only the postings of the rarest terms, and of
+documents with a diagonal, leave a task. A diagonal is one row however many windows it serves. Everything is native.
 
 Defined results: null text has no words; a row without words is never hit; an item of fewer than ten words is one
 window, an item without words has none; equal windows of several items count for each; repeated rows of a document
-give equal result rows; a benchmark without words hits nothing.
+give equal result rows; a benchmark without words hits nothing; an item_id that occurs twice counts once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import ALNUM_WORD, lower_ascii, written
@@ -29,18 +31,15 @@ def words_of(col: Column) -> Column:
     return F.regexp_extract_all(lower_ascii(F.coalesce(col, F.lit(""))), F.lit(ALNUM_WORD), F.lit(0))
 
 
-def windows(benchmark: DataFrame, length: int = 10) -> DataFrame:
-    """item_id, win (a hash of the window's words), ws (its words): all windows of all items."""
-    b = benchmark.select("item_id", words_of(F.col("text")).alias("w")).where(F.size("w") > 0)
-    n = F.greatest(F.size("w") - length + 1, F.lit(1))
-    b = b.select("item_id", F.explode(F.transform(F.sequence(F.lit(1), n), lambda i: F.slice("w", i, length))).alias("ws"))
-    return b.select("item_id", F.sha2(F.concat_ws(" ", "ws"), 256).alias("win"), "ws").distinct()
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """item (a number for each row, as ids may repeat), item_id, w (its words): the items that have words."""
+    b = benchmark.select("item_id", words_of(F.col("text")).alias("w")).where(F.size("w") > 0).distinct()
+    return b.select(F.xxhash64("item_id", "w").alias("item"), "item_id", "w")
 
 
-def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """term, cf: how often each test term stands in the whole corpus (0 if never)."""
-    seen = docs.select(F.explode(words_of(F.col("text"))).alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("cf"))
-    return terms.join(seen, "term", "left").select("term", F.coalesce("cf", F.lit(0)).alias("cf"))
+def _pairs(w: str) -> Column:
+    """Each word of the array with the word behind it (null behind the last)."""
+    return F.arrays_zip(F.col(w).alias("term"), F.slice(w, 2, F.greatest(F.size(w), F.lit(1))).alias("next"))
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
@@ -48,52 +47,73 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_TERMS else df
 
 
-def candidates(docs: DataFrame, wins: DataFrame) -> DataFrame:
-    """doc_id, win, start, ws: places at which the rarest term of a window stands in a document.
+def postings(docs: DataFrame) -> DataFrame:
+    """doc_id, pos, term, next: the positional index of docs (doc_id, text)."""
+    w = docs.select("doc_id", words_of(F.col("text")).alias("w"))
+    return w.select("doc_id", F.posexplode(_pairs("w")).alias("pos", "p")).select("doc_id", "pos", "p.term", "p.next")
 
-    wins: distinct (win, ws). Windows with a term that the corpus lacks have no place.
+
+def anchors(docs: DataFrame, items: DataFrame, length: int) -> DataFrame:
+    """item, first, n, off, term, next: of every window (its first word and size) the rarest term and its place in the item.
+
+    Windows with a term that the corpus lacks cannot occur and are left out. A window of one word has a null next.
     """
-    terms = wins.select(F.explode("ws").alias("term")).distinct()
-    terms = written(terms)
-    n_terms = terms.count()
-    counts = written(term_counts(docs, _sized(terms, n_terms)))
-    ranked = wins.select("win", "ws", F.posexplode("ws").alias("off", "term")).join(_sized(counts, n_terms), "term")
-    anchor = ranked.groupBy("win").agg(F.min(F.struct("cf", "off", "term")).alias("a"), F.first("ws").alias("ws")).where("a.cf > 0")
-    anchors = written(anchor.select("win", "ws", F.col("a.term").alias("term"), F.col("a.off").alias("off")))
-    n = anchors.count()
-    postings = docs.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "term"))
-    return postings.join(_sized(anchors, n), "term").select("doc_id", "win", "ws", (F.col("pos") - F.col("off")).alias("start")).where("start >= 0")
-
-
-def exact_matches(docs: DataFrame, wins: DataFrame) -> DataFrame:
-    """doc_id, win, start, n: every exact occurrence of a window in a document, start counted in words from 0."""
-    cand = written(candidates(docs, wins).distinct())
-    need = cand.select("doc_id", "win", "start", F.size("ws").alias("n"), F.posexplode("ws").alias("off", "term"))
-    need = need.select("doc_id", "win", "start", "n", (F.col("start") + F.col("off")).alias("pos"), "term")
-    few = docs.join(cand.select("doc_id").distinct(), "doc_id", "left_semi")
-    places = need.select("doc_id", "pos", "term").distinct()
-    index = few.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "term")).join(places, ["doc_id", "pos", "term"], "left_semi").distinct()
-    return need.join(index, ["doc_id", "pos", "term"]).groupBy("doc_id", "win", "start", "n").agg(F.count("*").alias("found")).where("found = n").select("doc_id", "win", "start", "n")
-
-
-def proximity_matches(docs: DataFrame, wins: DataFrame, slack: int = 3) -> DataFrame:
-    """doc_id, win, start: places where every distinct term of a window stands within slack words of the window's span."""
-    cand = written(candidates(docs, wins).distinct())
-    need = cand.select("doc_id", "win", "start", F.size("ws").alias("n"), F.size(F.array_distinct("ws")).alias("kinds"), F.explode(F.array_distinct("ws")).alias("term"))
-    few = docs.join(cand.select("doc_id").distinct(), "doc_id", "left_semi")
-    index = few.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "term")).join(need.select("doc_id", "term").distinct(), ["doc_id", "term"], "left_semi")
+    terms = items.select("item", F.size("w").alias("len"), F.posexplode(_pairs("w")).alias("off", "p")).select("item", "len", "off", "p.term", "p.next")
+    kinds = written(terms.where("next is not null").select("term", "next").distinct())
+    seen = postings(docs.select("doc_id", "text")).select("term", "next").join(_sized(kinds, kinds.count()), ["term", "next"], "left_semi").groupBy("term", "next").agg(F.count("*").alias("cf"))
+    counted = terms.where("next is not null").join(seen, ["term", "next"])
+    n = F.least(F.col("len"), F.lit(length))
+    # a window holds the terms that begin in it, but for its last word
+    spread = counted.select("item", n.alias("n"), "off", "term", "next", "cf", F.explode(F.sequence(F.greatest(F.lit(0), F.col("off") - n + 2), F.least(F.col("off"), F.col("len") - n))).alias("first"))
+    rare = spread.groupBy("item", "first", "n").agg(F.min(F.struct("cf", "off", "term", "next")).alias("a"), F.count("*").alias("known")).where("known = n - 1")
+    single = terms.where("len = 1").select("item", F.lit(0).alias("first"), F.lit(1).alias("n"), "off", "term", "next")
+    return written(rare.select("item", "first", "n", "a.off", "a.term", "a.next").unionByName(single))
+
+
+def places(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id and the columns of anchors, with diag: where each window's rarest term puts its item's first word."""
+    base = docs.select("doc_id", "text")
+    two, one = found.where("next is not null"), found.where("next is null")
+    out = postings(base).join(_sized(two, two.count()), ["term", "next"])
+    if (n := one.count()):  # items of a single word
+        out = out.unionByName(postings(base).drop("next").join(_sized(one, n), "term").select(*out.columns))
+    return out.select("doc_id", "item", "first", "n", (F.col("pos") - F.col("off")).alias("diag")).where("diag + first >= 0")
+
+
+def exact_matches(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
+    """doc_id, item, start, n: every longest run of an item's words in a document that is a window or more."""
+    # one row for each place of the item, with the last window that it serves
+    rare = written(anchors(docs, items, length).groupBy("item", "off", "term", "next").agg(F.max("first").alias("first"), F.max("n").alias("n")))
+    diagonals = written(places(docs, rare).select("doc_id", "item", "diag").distinct())
+    # the item may begin before the document does
+    need = diagonals.join(items.select("item", "w"), "item").select("doc_id", "item", "diag", F.size("w").alias("len"), F.posexplode("w").alias("off", "term")).withColumn("pos", F.col("diag") + F.col("off")).where("pos >= 0")
+    few = docs.select("doc_id", "text").join(diagonals.select("doc_id").distinct(), "doc_id", "left_semi")
+    index = few.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "term")).distinct()
+    hit = need.join(index, ["doc_id", "pos", "term"]).select("doc_id", "item", "diag", "len", "pos")
+    run = F.col("pos") - F.row_number().over(Window.partitionBy("doc_id", "item", "diag").orderBy("pos"))
+    runs = hit.withColumn("run", run).groupBy("doc_id", "item", "diag", "run", "len").agg(F.min("pos").alias("start"), F.count("*").alias("n"))
+    return runs.where(F.col("n") >= F.least(F.col("len"), F.lit(length))).select("doc_id", "item", "start", F.col("n").cast("int").alias("n"))
+
+
+def proximity_matches(docs: DataFrame, items: DataFrame, length: int = 10, slack: int = 3) -> DataFrame:
+    """doc_id, item, first, start: windows all of whose distinct words stand within slack words of where the window would."""
+    cand = written(places(docs, anchors(docs, items, length)).distinct().withColumn("start", F.col("diag") + F.col("first")))
+    ws = F.array_distinct(F.slice("w", F.col("first") + 1, F.col("n")))
+    need = cand.join(items.select("item", "w"), "item").select("doc_id", "item", "first", "start", "n", F.size(ws).alias("kinds"), F.explode(ws).alias("term"))
+    few = docs.select("doc_id", "text").join(cand.select("doc_id").distinct(), "doc_id", "left_semi")
+    index = few.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "term"))
     near = need.join(index, ["doc_id", "term"]).where(F.col("pos").between(F.col("start") - slack, F.col("start") + F.col("n") - 1 + slack))
-    return near.groupBy("doc_id", "win", "start", "kinds").agg(F.count_distinct("term").alias("found")).where("found = kinds").select("doc_id", "win", "start")
+    return near.groupBy("doc_id", "item", "first", "start", "kinds").agg(F.count_distinct("term").alias("found")).where("found = kinds").select("doc_id", "item", "first", "start")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     base = docs.select("doc_id", "text")
-    per_item = written(windows(benchmark, length))
-    hits = written(exact_matches(base, per_item.select("win", "ws").distinct()))
-    # words covered by the union of the occurrences, from their starts alone
+    items = written(items_of(benchmark))
+    hits = written(exact_matches(base, items, length))
+    # words covered by the union of the occurrences
     words_hit = hits.select("doc_id", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("pos")).distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-    items = hits.select("doc_id", "win").distinct().join(per_item.select("win", "item_id"), "win").select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
+    items = hits.select("doc_id", "item").distinct().join(items.select("item", "item_id"), "item").select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
     # a document's items are at most the benchmark's
     items = items.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.concat_ws(",", F.sort_array(F.collect_list("item"))).alias("ids"))
     found = words_hit.join(items, "doc_id")
@@ -103,5 +123,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> Da
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
     """The rows of docs, unchanged, in which no window of the benchmark occurs."""
-    hits = exact_matches(docs.select("doc_id", "text"), windows(benchmark, length).select("win", "ws").distinct())
+    hits = exact_matches(docs.select("doc_id", "text"), written(items_of(benchmark)), length)
     return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
