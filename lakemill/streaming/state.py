@@ -14,12 +14,12 @@ from lakemill.operators.rank import numbered
 from lakemill.sources.views import upsert_by_key
 
 
-def velocity_stream(df: DataFrame, key: str, metric: str, ts: str = "event_time", idle: str = "2 hours") -> DataFrame:
+def velocity_stream(df: DataFrame, key: str, metric: str, ts: str = "event_time", idle: str = "2 hours", watermark: str = "10 minutes") -> DataFrame:
     """key, ts, metric, prev, velocity, acceleration of every row, against the key's row before it in the stream.
 
     velocity is (m - prev) / (prev + 1), acceleration its change; 0 at a key's first row. Rows of a micro-batch are
-    taken in order of ts; a row older than the key's last one is measured against it all the same. Three numbers a
-    key are held in state; keys idle in processing time for `idle` are let go.
+    taken in order of ts; a row older than the key's last one is measured against it all the same. Two numbers a key
+    are held in state; a key whose last row lies `idle` behind the watermark is let go, and starts anew after that.
     """
     types = dict(df.dtypes)
     ms = int(pd.Timedelta(idle).total_seconds() * 1000)
@@ -29,19 +29,21 @@ def velocity_stream(df: DataFrame, key: str, metric: str, ts: str = "event_time"
             state.remove()
             return
         prev, vel = state.get if state.exists else (None, None)
+        last = 0
         for b in sorted_batches(batches, ts):
             out = []
             for t, m in zip(b[ts], b[metric]):
                 v = 0.0 if prev is None or prev == -1 else (m - prev) / (prev + 1)
                 out.append((k[0], t, m, prev, v, 0.0 if vel is None else v - vel))
                 prev, vel = m, v
+                last = max(last, t.value // 1_000_000)
             yield pd.DataFrame(out, columns=[key, ts, metric, "prev", "velocity", "acceleration"])
         state.update((prev, vel))
-        state.setTimeoutDuration(ms)
+        state.setTimeoutTimestamp(max(last + ms, state.getCurrentWatermarkMs() + 1))
 
     out = f"{key} {types[key]}, {ts} timestamp, {metric} double, prev double, velocity double, acceleration double"
-    src = df.select(key, F.col(ts).cast("timestamp").alias(ts), F.col(metric).cast("double").alias(metric)).where(F.col(metric).isNotNull())
-    return src.groupBy(key).applyInPandasWithState(step, out, "prev double, velocity double", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    src = df.select(key, F.col(ts).cast("timestamp").alias(ts), F.col(metric).cast("double").alias(metric)).where(F.col(metric).isNotNull()).withWatermark(ts, watermark)
+    return src.groupBy(key).applyInPandasWithState(step, out, "prev double, velocity double", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def sorted_batches(batches: Iterator[pd.DataFrame], ts: str) -> Iterator[pd.DataFrame]:
