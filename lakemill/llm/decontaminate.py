@@ -53,10 +53,11 @@ def postings(docs: DataFrame) -> DataFrame:
     return w.select("doc_id", F.posexplode(_pairs("w")).alias("pos", "p")).select("doc_id", "pos", "p.term", "p.next")
 
 
-def anchors(docs: DataFrame, items: DataFrame, length: int) -> DataFrame:
+def anchors(docs: DataFrame, items: DataFrame, length: int, exact: bool = True) -> DataFrame:
     """item, first, n, off, term, next: of every window (its first word and size) the rarest term and its place in the item.
 
-    Windows with a term that the corpus lacks cannot occur and are left out. A window of one word has a null next.
+    Terms that the corpus lacks are no anchors; for exact matches a window with such a term cannot occur and is left
+    out. A window of one word has a null next.
     """
     terms = items.select("item", F.size("w").alias("len"), F.posexplode(_pairs("w")).alias("off", "p")).select("item", "len", "off", "p.term", "p.next")
     kinds = written(terms.where("next is not null").select("term", "next").distinct())
@@ -65,7 +66,8 @@ def anchors(docs: DataFrame, items: DataFrame, length: int) -> DataFrame:
     n = F.least(F.col("len"), F.lit(length))
     # a window holds the terms that begin in it, but for its last word
     spread = counted.select("item", n.alias("n"), "off", "term", "next", "cf", F.explode(F.sequence(F.greatest(F.lit(0), F.col("off") - n + 2), F.least(F.col("off"), F.col("len") - n))).alias("first"))
-    rare = spread.groupBy("item", "first", "n").agg(F.min(F.struct("cf", "off", "term", "next")).alias("a"), F.count("*").alias("known")).where("known = n - 1")
+    rare = spread.groupBy("item", "first", "n").agg(F.min(F.struct("cf", "off", "term", "next")).alias("a"), F.count("*").alias("known"))
+    rare = rare.where("known = n - 1") if exact else rare
     single = terms.where("len = 1").select("item", F.lit(0).alias("first"), F.lit(1).alias("n"), "off", "term", "next")
     return written(rare.select("item", "first", "n", "a.off", "a.term", "a.next").unionByName(single))
 
@@ -97,7 +99,7 @@ def exact_matches(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFr
 
 def proximity_matches(docs: DataFrame, items: DataFrame, length: int = 10, slack: int = 3) -> DataFrame:
     """doc_id, item, first, start: windows all of whose distinct words stand within slack words of where the window would."""
-    cand = written(places(docs, anchors(docs, items, length)).distinct().withColumn("start", F.col("diag") + F.col("first")))
+    cand = written(places(docs, anchors(docs, items, length, exact=False)).distinct().withColumn("start", F.col("diag") + F.col("first")))
     ws = F.array_distinct(F.slice("w", F.col("first") + 1, F.col("n")))
     need = cand.join(items.select("item", "w"), "item").select("doc_id", "item", "first", "start", "n", F.size(ws).alias("kinds"), F.explode(ws).alias("term"))
     few = docs.select("doc_id", "text").join(cand.select("doc_id").distinct(), "doc_id", "left_semi")

@@ -1,6 +1,7 @@
 """Line dedup with a log-template tree of fixed depth (after Drain: He et al., 2017).
 
-A line's leaf is its token count and its leading tokens, with tokens that hold a digit generalised to a wildcard.
+A line's leaf is its token count and its leading tokens, with tokens that hold a digit generalised to a wildcard
+(unless most of them do).
 Inside a leaf, lines whose masked tokens are equal form a template; templates of one leaf that agree in most positions
 merge, and the positions in which they differ become variable. A template seen in ``min_docs`` or more distinct
 documents recurs, and its lines are dropped everywhere but in the document with the smallest doc_id that has it,
@@ -38,7 +39,9 @@ def _masked_lines(docs: DataFrame, min_tokens: int) -> DataFrame:
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     toks = F.filter(F.split("line", r"\s+"), lambda x: x != "")
     lines = lines.withColumn("toks", toks).where(F.size("toks") >= min_tokens)
-    return lines.select("doc_id", "line_no", F.when(F.col("line").rlike("[0-9]"), _mask(F.col("toks"))).otherwise(F.col("toks")).alias("masked"))
+    # a line made mostly of numbers (a row of a table) has no words to know it by, and stands for itself
+    variable = F.col("line").rlike("[0-9]") & (2 * F.size(F.filter("toks", lambda t: t.rlike("[0-9]"))) <= F.size("toks"))
+    return lines.select("doc_id", "line_no", F.when(variable, _mask(F.col("toks"))).otherwise(F.col("toks")).alias("masked"))
 
 
 def _keyed(lines: DataFrame, depth: int) -> DataFrame:

@@ -123,8 +123,8 @@ def train(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl(), label: str = "qu
     return np.frombuffer(got[0]["w"], np.float32) if got else np.zeros(1 << p.bits, np.float32)
 
 
-def score(docs: DataFrame, weights: np.ndarray, bits: int = Ftrl.bits, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns `keep` of docs and `score`, the probability of label 1, for every row."""
+def score(docs: DataFrame, weights: np.ndarray, bits: int = Ftrl.bits, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """The columns `keep` of docs and, under `name`, the probability of label 1, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     fields = [f for f in docs.schema.fields if f.name in keep]
 
@@ -137,9 +137,9 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = Ftrl.bits, keep: tup
                 off, i, x = features(texts[a:z], bits)
                 dots = np.concatenate(([0.0], np.cumsum(w[i] * x)))
                 out[a:z] = 1 / (1 + np.exp(-np.clip(w[0] + dots[off[1:]] - dots[off[:-1]], -30, 30)))
-            yield b[[f.name for f in fields]].assign(score=out)
+            yield b[[f.name for f in fields]].assign(**{name: out})
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{name}` double"
     return docs.select(*dict.fromkeys([f.name for f in fields] + ["text"])).mapInPandas(run, schema)
 
 
@@ -154,4 +154,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFrame
     """The rows of docs, unchanged, whose score is 0.5 or more."""
     w = train(docs, labels.where(crc_mod("doc_id", 3) != 1), p)
     names = docs.columns
-    return score(docs, w, p.bits, tuple(names)).where(F.col("score") >= 0.5).select(*names)
+    own = "_score"
+    while own in names:
+        own += "_"
+    return score(docs, w, p.bits, tuple(names), own).where(F.col(own) >= 0.5).select(*names)

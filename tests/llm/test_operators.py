@@ -1,0 +1,399 @@
+"""The ten operators against brute force on small tables: nulls, empty and long texts, ties, repeats, clashing names."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakemill.llm import chat_template as ct
+from lakemill.llm import decontaminate, html_extract, language_id, license_scan, line_dedup, near_dedup, piece_sampling, quality_classifier, quality_rules
+from lakemill.llm.common import crc_mod, lower_ascii
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def docs(spark, *texts, ids=None):
+    return spark.createDataFrame([(i, t, None, None, None) for i, t in zip(ids or range(len(texts)), texts)], DOC)
+
+
+def words(seed, n, vocabulary=400):
+    r = random.Random(seed)
+    return ["wxyz"[v % 4] + "abcdefghij"[v // 4 % 10] + "klmnopqrst"[v // 40] for v in (r.randrange(vocabulary) for _ in range(n))]
+
+
+# ---- 1 --------------------------------------------------------------------------------------------------------------
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_band_distance_is_the_edit_distance():
+    r = random.Random(5)
+    for _ in range(400):
+        a = [r.randrange(4) for _ in range(r.randrange(12))]
+        b = [x for x in a if r.random() < 0.8] + [r.randrange(4) for _ in range(r.randrange(3))]
+        most = r.randrange(6)
+        d = distance(a, b)
+        assert near_dedup.band_distance(a, b, most) == (d if d <= most else None)
+
+
+def test_near_duplicates(spark):
+    base = words(1, 300)
+    near = base[:150] + ["x"] + base[151:]
+    far = near[:290] + words(9, 60)
+    texts = [" ".join(base), " ".join(near), " ".join(base).upper(), " ".join(words(2, 300)), "", None, "", "a b", "a b", " ".join(far[::-1])]
+    d = docs(spark, *texts).unionByName(spark.createDataFrame([(None, " ".join(base), None, None, None)], DOC))
+    out = {r["doc_id"]: (r["class_id"], r["kept"]) for r in near_dedup.near_duplicates(d).collect()}
+    assert [out[i][0] for i in range(10)] == [0, 0, 0, 3, 4, 5, 6, 7, 7, 9]
+    assert out[None] == (None, True) and [i for i in range(10) if not out[i][1]] == [1, 2, 8]
+    kept = near_dedup.drop_near_duplicates(d.withColumn("class_id", F.lit("mine")))
+    assert kept.columns == [*DOC.replace(" long", "").replace(" string", "").split(", "), "class_id"] and kept.count() == 8
+    assert near_dedup.near_duplicates(d.limit(0)).count() == 0
+
+
+def test_large_group_of_copies_is_one_class(spark):
+    base = words(3, 120)
+    texts = [" ".join(base[:k] + ["y"] + base[k + 1 :]) for k in range(120)] + [" ".join(words(100 + k, 80)) for k in range(40)]
+    out = near_dedup.near_duplicates(docs(spark, *texts).repartition(7)).groupBy("class_id").count()
+    assert sorted(r["count"] for r in out.collect()) == [1] * 40 + [120]
+
+
+def test_components_of_a_path(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 103), (101, 103)], "lo long, hi long")
+    got = {r["id"]: r["class_id"] for r in near_dedup.components(e).collect()}
+    assert {got[i] for i in range(41)} == {0} and {got[i] for i in (100, 101, 103)} == {100}
+
+
+# ---- 2 --------------------------------------------------------------------------------------------------------------
+
+
+def test_line_dedup(spark):
+    shared = " ".join(words(4, 60))
+    own = [" ".join(words(50 + i, 30)) for i in range(6)]
+    texts = [f"{own[i]}\n{shared}\nuser {i} logged in from host {i * 7} at noon" for i in range(4)] + [own[4] + "\nshort line", "short line", None, "", shared + "\n" + shared]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.drop_recurring(docs(spark, *texts)).collect()}
+    assert out[0] == texts[0]  # the first keeps everything
+    assert [out[i] for i in (1, 2, 3)] == own[1:4]
+    assert out[4] == texts[4] and out[5] == "short line" and out[6] is None and out[7] == "" and 8 not in out
+    assert line_dedup.drop_recurring(docs(spark, *texts).limit(0)).count() == 0
+
+
+def test_line_dedup_merges_variable_words(spark):
+    texts = [f"{' '.join(words(60 + i, 30))}\nthis page was printed for {name} by the old press" for i, name in enumerate(["anna", "bert", "carl"])]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.drop_recurring(docs(spark, *texts)).collect()}
+    assert out[0] == texts[0] and "\n" not in out[1] and "\n" not in out[2]
+
+
+def test_rows_of_numbers_stand_for_themselves(spark):
+    texts = [f"{' '.join(words(80 + i, 30))}\n{i} {i * 3} {i * 5} {i * 7} {i * 11} total" for i in range(5)]
+    assert {r["text"] for r in line_dedup.drop_recurring(docs(spark, *texts)).collect()} == set(texts)
+
+
+def test_line_dedup_leaves_pairs_alone(spark):
+    texts = ["\n".join(" ".join(words(i, 20)) for i in range(4))] * 2
+    assert {r["text"] for r in line_dedup.drop_recurring(docs(spark, *texts)).collect()} == {texts[0]}
+
+
+# ---- 3 --------------------------------------------------------------------------------------------------------------
+
+
+def brute_stats(t):
+    t = t or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    seen = {}
+    for k in range(len(w) - 2):
+        seen.setdefault(tuple(w[k : k + 3]), []).append(k)
+    cover = {x for v in seen.values() if len(v) > 1 for k in v for x in (k, k + 1, k + 2)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(cover)
+
+
+def test_text_stats(spark):
+    texts = [None, "", " \n\t", "a b c a b c a", "x x x x", "é# b c\n\na|\na|", "one\r\ntwo", "a b\x0bc d " * 50, "日本 語 *** 日本 語 ***"]
+    got = {r["doc_id"]: r for r in quality_rules.text_stats(docs(spark, *texts)).collect()}
+    for i, t in enumerate(texts):
+        assert (got[i]["n_words"], got[i]["word_chars"], got[i]["n_symbols"], got[i]["n_dup_lines"], got[i]["n_repeat_words"]) == brute_stats(t), t
+
+
+def test_rules_learn_and_keep(spark):
+    good = [" ".join(f"word{i}x{j}" for j in range(80)) for i in range(120)]
+    bad = [" ".join(f"w{i}x{j}##%%" for j in range(80)) for i in range(40)]
+    d = docs(spark, *good, *bad, None, "", "too short")
+    labels = spark.createDataFrame([(i, int(i < 120)) for i in range(160)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    out = {r["doc_id"]: r for r in quality_rules.apply_rules(d, labels).collect()}
+    assert all(out[i]["kept"] for i in range(120)) and not any(out[i]["kept"] for i in range(120, 163))
+    assert [out[i]["base_failed"] for i in (0, 130, 160, 161, 162)] == [False, False, True, True, True]
+    none = quality_rules.apply_rules(d, labels.limit(0))
+    assert none.where("kept").count() == 160
+
+
+# ---- 4 --------------------------------------------------------------------------------------------------------------
+
+
+def test_segmentations_decode_and_differ(spark):
+    texts = ["hello world", "", None, "a  b\n\tc", "日本語 ▁ \U0001f600", "x" * 3000, "Ouwhea the of rend " * 40]
+    enc = piece_sampling.encode(docs(spark, *texts), k=3)
+    out = piece_sampling.decode(enc).collect()
+    assert all(r["round_trip"] and r["text"] == (texts[r["doc_id"]] or "") for r in out)
+    assert all(0 < r["inclusion"] <= 1 or r["log_prob"] < -30 for r in out)
+    by = {}
+    for r in out:
+        by.setdefault(r["doc_id"], []).append(tuple(r["ids"]))
+    assert all(len(set(v)) == len(v) for v in by.values()) and len(by[1]) == len(by[2]) == 1 and len(by[0]) == 3
+    again = {(r["doc_id"], r["sample_no"]): tuple(r["ids"]) for r in piece_sampling.encode(docs(spark, *texts).repartition(3), k=3).collect()}
+    assert all(tuple(r["ids"]) == again[r["doc_id"], r["sample_no"]] for r in out)
+
+
+def test_sampling_follows_the_lattice():
+    """First samples come with their exact probabilities, and a pair's second is drawn from what the first leaves."""
+    n, text = 4000, "hello the"
+    got = piece_sampling.sample([text] * n, piece_sampling.mix(np.arange(n, dtype=np.uint64)), 2)
+    first = {}
+    for f in got:
+        ids, lp, _ = f[0]
+        first.setdefault(tuple(ids), [0, lp])[0] += 1
+        assert f[0][2] > f[1][2] > f[2][2]
+    assert sum(np.exp(lp) for _, lp in first.values()) == pytest.approx(1, abs=0.05)
+    for c, lp in first.values():
+        p = np.exp(lp)
+        assert abs(c - n * p) < 5 * (n * p * (1 - p)) ** 0.5 + 3
+    pairs = {}
+    for f in got:
+        pairs[tuple(f[0][0]), tuple(f[1][0])] = pairs.get((tuple(f[0][0]), tuple(f[1][0])), 0) + 1
+    for (a, b), c in pairs.items():
+        if b in first:
+            p = np.exp(first[a][1]) * np.exp(first[b][1]) / (1 - np.exp(first[a][1]))
+            assert abs(c - n * p) < 5 * (n * p) ** 0.5 + 3
+
+
+# ---- 5 --------------------------------------------------------------------------------------------------------------
+
+
+def brute_contamination(texts, items):
+    wins = {}
+    for i, t in items:
+        w = WORD.findall((t or "").translate(FOLD))
+        for k in range(max(1, len(w) - 9) if w else 0):
+            wins.setdefault(tuple(w[k : k + 10]), set()).add(i)
+    out = {}
+    for d, t in enumerate(texts):
+        w, hit, found = WORD.findall((t or "").translate(FOLD)), set(), set()
+        for x, ids in wins.items():
+            for k in range(len(w) - len(x) + 1):
+                if tuple(w[k : k + len(x)]) == x:
+                    hit.update(range(k, k + len(x)))
+                    found |= ids
+        out[d] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest(), bool(hit))
+    return out
+
+
+def test_contamination(spark):
+    q = words(7, 25)
+    items = [(1, " ".join(q)), (2, "Few, words here"), (3, "..."), (4, None), (10, " ".join(q[3:15])), (11, "one"), (12, "É é"), (13, "ab ab ab ab ab ab ab ab ab ab ab")]
+    texts = [
+        "intro " + " ".join(q) + " outro", " ".join(q[5:]), " ".join(q[:9]), " ".join(q[15:25]) + " z", "FEW words; here and few words", None, "", "one", "É é É", "ab " * 30, " ".join(q) + " " + " ".join(q), "é é",
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = {r["doc_id"]: tuple(r)[1:] for r in decontaminate.contamination(docs(spark, *texts), bench).collect()}
+    assert out == brute_contamination(texts, items)
+    clean = decontaminate.drop_contaminated(docs(spark, *texts), bench)
+    assert sorted(r["doc_id"] for r in clean.collect()) == sorted(d for d, v in out.items() if not v[-1])
+    none = decontaminate.contamination(docs(spark, *texts), bench.limit(0))
+    assert none.where("contaminated").count() == 0 and none.count() == len(texts)
+    assert decontaminate.contamination(docs(spark, "x").limit(0), bench).count() == 0
+
+
+def test_proximity(spark):
+    q = words(8, 12)
+    swapped = q[:4] + [q[5], q[4]] + q[6:]
+    bench = spark.createDataFrame([(1, " ".join(q))], "item_id long, text string")
+    items = decontaminate.items_of(bench)
+    d = docs(spark, " ".join(swapped), " ".join(words(9, 30)))
+    assert decontaminate.exact_matches(d, items).count() == 0
+    assert {r["doc_id"] for r in decontaminate.proximity_matches(d, items).collect()} == {0}
+
+
+# ---- 6 --------------------------------------------------------------------------------------------------------------
+
+
+def test_license_scan(spark):
+    texts = ["Released under the MIT License.", "x relaesed under teh mit licence y", "GNU General\nPublic-License and CC-BY, mit license", None, "", "permitlicense", "Licensed under CC BY-NC 4.0. " + "pad " * 30000 + "apache license"]
+    out = {r["doc_id"]: r for r in license_scan.scan(docs(spark, *texts)).collect()}
+    assert (out[0]["n_base"], out[0]["first_word"], out[0]["labels"], out[0]["base_labels"]) == (1, 3, "mit", "mit")
+    assert (out[1]["n_base"], out[1]["base_labels"], out[1]["labels"]) == (0, "", "") or out[1]["labels"] == "mit"
+    assert (out[2]["n_base"], out[2]["first_word"], out[2]["last_word"], out[2]["base_labels"]) == (3, 0, 7, "cc-by,gpl,mit")
+    assert all((out[i]["n_base"], out[i]["labels"], out[i]["score"], out[i]["first_word"]) == (0, "", 0.0, None) for i in (3, 4, 5))
+    assert out[6]["base_labels"] == "apache,cc-by" and out[6]["last_word"] == 30007 and "cc-by-nc-4.0" in out[6]["labels"]
+
+
+def test_pigeonhole_finds_what_a_full_search_finds():
+    import regex
+
+    r = random.Random(3)
+    scanner = license_scan.Scanner(license_scan.NOTICES)
+    for notice, label in license_scan.NOTICES:
+        k = license_scan.edits(notice)
+        for _ in range(20):
+            t = list(notice)
+            for _ in range(k):
+                p = r.randrange(len(t))
+                t[p] = r.choice("abz ") if r.random() < 0.5 else t[p] + "q"
+            text = "zz yy " + "".join(t) + " xx"
+            if regex.search(f"(?:{regex.escape(notice)}){{e<={k}}}", text):
+                assert scanner.find(text), (notice, text)
+
+
+# ---- 7 --------------------------------------------------------------------------------------------------------------
+
+PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>if(a<b){{x="</p>"}}</script></head><body class="has-menu"><header>top</header><nav><ul><li><a>menu</a><li>two</ul></nav>
+<div class="ad">buy</div><article><h1>Head &amp; line</h1><p>First <b>bo</b>ld&nbsp;text {0}<p>Second<br>row<form>f</form><aside>s</aside></article><div id="comments"><p>c</p></div><footer>f</footer></body></html>"""
+
+
+def test_html(spark):
+    rows = [(i, f"http://h.example/{i}", PAGE.format(i)) for i in range(8)] + [(8, None, None), (9, "x", ""), (10, "http://h.example", "<p>a<p>b</div>tail < 5")]
+    out = {r["page_id"]: r for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[i]["text"] == f"Head & line First bold text {i} Second row" for i in range(8))
+    assert out[8]["text"] == out[9]["text"] == "" and out[10]["text"] == "a b tail < 5"
+    assert all(r["n_chars"] == len(r["text"]) for r in out.values())
+
+
+def test_style_tree_cuts_unmarked_templates(spark):
+    page = "<html><body><div class=x1><p>the same strip on all pages</p></div><div class=x2>{}</div></body></html>"
+    rows = [(i, "http://a.example/", page.format("".join(f"<p>{' '.join(words(i * 10 + k, 12))}</p>" for k in range(1 + i % 4)))) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert all("same strip" not in r["text"] and len(r["text"]) > 20 for r in html_extract.extract(df).collect())
+    few = html_extract.extract(df.where("page_id < 3"))
+    assert all("same strip" in r["text"] for r in few.collect())
+
+
+# ---- 8 --------------------------------------------------------------------------------------------------------------
+
+
+def brute_rank(text, size):
+    """The n-gram list of a text, made the plain way."""
+    from collections import Counter
+
+    c = Counter()
+    for w in "".join(x if x.isalpha() else " " for x in text.lower()).split():
+        p = f" {w} "
+        c.update(w)
+        c.update(p[i : i + 2] for i in range(len(p) - 1))
+        c.update(p[i : i + 3] for i in range(len(p) - 2))
+    return c
+
+
+def test_ngram_counts_are_those_of_padded_words():
+    for t in ["Hello, world", "a", "", "1 2 3", "Été à la Plage!", "日本語 text"]:
+        keys = language_id.ngrams(t, {})
+        kinds, n = np.unique(keys, return_counts=True)
+        want = brute_rank(t, 0)
+        assert sorted(n.tolist()) == sorted(want.values())
+
+
+def test_language_id(spark):
+    en, de = "the quick brown fox jumps over the lazy dog and runs away from the house", "der schnelle braune fuchs springt über den faulen hund und läuft vom haus weg"
+    rows = [(i, en if i % 2 else de, "en" if i % 2 else "de", None, None) for i in range(24)] + [(100, None, "en", None, None), (101, "12 !!", None, None, None), (102, "the dog and the house", None, None, None), (103, "", "de", None, None)]
+    df = spark.createDataFrame(rows, DOC)
+    out = {r["doc_id"]: r for r in language_id.identify(df).collect()}
+    assert all(out[i]["lang_pred"] == ("en" if i % 2 else "de") for i in range(24))
+    assert [out[i]["lang_pred"] for i in (100, 101, 102, 103)] == ["und", "und", "en", "und"] and out[100]["score"] == 0
+    assert language_id.identify(df.limit(0)).count() == 0
+    assert {r["lang_pred"] for r in language_id.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+# ---- 9 --------------------------------------------------------------------------------------------------------------
+
+
+def test_quality_classifier(spark):
+    good = [" ".join(words(200 + i, 60)) for i in range(150)]
+    bad = [" ".join(f"{w}!!" for w in words(400 + i, 60)) for i in range(60)]
+    d = docs(spark, *good, *bad, None, "")
+    labels = spark.createDataFrame([(i, int(i < 150)) for i in range(210)] + [(0, None), (None, 0)], "doc_id long, quality int")
+    out = quality_classifier.classify(d, labels)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert sum(got[i]["predicted"] == int(i < 150) for i in range(210)) >= 205
+    assert all(0 <= r["score"] <= 1 for r in got.values()) and len(got) == 212
+    held = {r["doc_id"] for r in d.where(crc_mod("doc_id", 3) == 1).collect()}
+    assert {i for i, r in got.items() if r["held_out"]} == held
+    assert {r["score"] for r in quality_classifier.classify(d, labels.limit(0)).collect()} == {0.5}
+    clash = d.withColumn("score", F.lit("mine")).withColumn("_y", F.lit(1))
+    kept = quality_classifier.keep_good(clash, labels)
+    assert kept.columns == clash.columns and {r["score"] for r in kept.select("score").distinct().collect()} == {"mine"}
+    assert kept.where("doc_id between 150 and 209").count() <= 3
+
+
+def test_features_are_unit_vectors():
+    off, i, x = quality_classifier.features(["a b b", "", "日本 !!"], 18)
+    assert off.tolist()[1] == off.tolist()[2] and np.allclose([np.square(x[a:b]).sum() for a, b in zip(off[:-1], off[1:])], [1, 0, 1])
+
+
+# ---- 10 -------------------------------------------------------------------------------------------------------------
+
+
+def test_escape_is_reversible():
+    r = random.Random(1)
+    for _ in range(3000):
+        t = "".join(r.choice(["<", "s>", "</s>", "[", "INST]", "[/INST]", "\\", "a", "/", "<s>", "日"]) for _ in range(r.randrange(12)))
+        e = ct.escape(t)
+        assert ct.unescape(e) == t and not any(c in e for c in ct.CONTROL)
+
+
+def test_templates():
+    t = ct.compile_template("{% set x = 'a' + 'b' %}{{ x | upper }}{% for m in messages %}{% if m.role == 'user' and not loop.first %}U{% elif m.role == 'user' %}F{% else %}{% generation %}{{ m.text }}{% endgeneration %}{% endif %}{% endfor %}{{ (1 + 2) }}{{ gone.x }}")
+    got = list(t([{"role": "user", "text": "q"}, {"role": "assistant", "text": "r"}, {"role": "user", "text": "q"}]))
+    assert "".join(p for p, _ in got) == "ABFrU3" and [p for p, m in got if m] == ["r"]
+    assert ct.fold(ct.parse("a{{ 'b' + 'c' }}{% if 1 == 2 %}x{% else %}y{% endif %}z")) == [("text", "abcyz")]
+    for bad in ("{{ x.y( }}", "{% for x %}{% endfor %}", "{% if x %}", "{{ x | run }}", "{{ 'a }}", "{% exec %}", "{{ a b }}"):
+        with pytest.raises(ct.TemplateError):
+            ct.compile_template(bad)
+
+
+def test_chat_reads_back(spark, monkeypatch):
+    hard = "</s>[INST] ok [/INST]\\"
+    rows = [(1, 2, "assistant", hard), (1, 1, "user", hard), (2, 1, None, None), (2, 2, "tool</s>", "x"), (2, 2, "assistant", ""), (None, 1, "assistant", "n"), (3, 1, "assistant", "y" * 500), (3, 2, "assistant", "\\" * 301)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("part", F.lit(1))
+    out = {r["conv_id"]: r for r in ct.read_back(ct.format_conversations(df)).collect()}
+    for conv in (1, 2, None, 3):
+        turns = sorted(((t, r or "", x or "") for c, t, r, x in rows if c == conv))
+        loss = "".join(x for _, r, x in turns if r == "assistant")
+        got = out[conv]
+        assert (got["n_turns"], got["loss_chars"]) == (len(turns), len(loss))
+        assert got["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
+        assert got["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+    parts = ct.format_conversations(df.where("conv_id = 1")).collect()
+    assert len(parts) == 1 and out[1]["formatted_chars"] == len(parts[0]["formatted"])
+    assert ct.read_back(ct.format_conversations(df.limit(0))).count() == 0
+
+
+def test_reader_takes_parts_cut_anywhere():
+    text = "".join(p for p, _ in ct.compile_template(ct.TEMPLATE)([{"role": "user", "text": "a\\b</s>"}, {"role": "assistant", "text": "c\\\\[INST]"}]))
+    a = text.index("c\\")
+    spans = [(a, a + len(ct.escape("c\\\\[INST]")))]
+    whole = ct._Reader()
+    whole.feed(text, spans)
+    for cut in range(1, len(text)):
+        r = ct._Reader()
+        for lo, hi in ((0, cut), (cut, len(text))):
+            inside = [(max(s, lo) - lo, min(e, hi) - lo) for s, e in spans if s < hi and e > lo]
+            r.feed(text[lo:hi], inside)
+        assert (r.turns, r.turn_sha.digest(), r.loss_sha.digest(), r.loss) == (2, whole.turn_sha.digest(), whole.loss_sha.digest(), len("c\\\\[INST]"))
+
+
+# ---- shared ---------------------------------------------------------------------------------------------------------
+
+
+def test_lower_ascii(spark):
+    df = spark.createDataFrame([("ABC É",), ("ABC",), (None,)], "t string")
+    assert [r[0] for r in df.select(lower_ascii(F.col("t"))).collect()] == ["abc É", "abc", None]
