@@ -274,6 +274,8 @@ def test_style_tree_cuts_unmarked_templates(spark):
     rows = [(i, "http://a.example/", page.format("".join(f"<p>{' '.join(words(i * 10 + k, 12))}</p>" for k in range(1 + i % 4)))) for i in range(20)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert all("same strip" not in r["text"] and len(r["text"]) > 20 for r in html_extract.extract(df).collect())
+    alike = df.withColumn("html", F.lit("<div><p>only text</p></div>"))
+    assert {r["text"] for r in html_extract.extract(alike).collect()} == {"only text"}
     few = html_extract.extract(df.where("page_id < 3"))
     assert all("same strip" in r["text"] for r in few.collect())
 
