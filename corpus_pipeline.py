@@ -35,8 +35,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Two sampled segmentations of each document as piece ids, decoded and compared."""
-    back = piece_sampling.decode(piece_sampling.encode(docs))
-    return back.select("doc_id", "sample_no", "ids", F.size("ids").alias("n_pieces"), "log_prob", "inclusion", (F.xxhash64("text") == F.col("text_hash")).alias("round_trip"))
+    return piece_sampling.encode(docs).withColumn("n_pieces", F.size("ids"))
 
 
 STAGES = [

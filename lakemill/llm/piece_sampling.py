@@ -13,8 +13,7 @@ all paths found so far is expanded next. This gives the k segmentations of large
 without replacement. With kappa the (k+1)-th value, ``inclusion`` is 1 - exp(-exp(log p - kappa)).
 
 All draws are a hash of (row key, segmentation number, unit, step), so a row gives the same result in any batch, task
-or retry. All texts of a chunk advance together in numpy; units are laid out once for each worker and kept while
-there are fewer than MAX_STATES of them.
+or retry. The lattices of a chunk's distinct units are laid out together, and all its texts advance together, in numpy.
 
 Defined results: a null or empty text has one segmentation, of no pieces, with log probability 0 and inclusion 1; a
 text with fewer than k segmentations gives all of them, with inclusion 1; repeated rows with one key give equal rows.
@@ -24,10 +23,9 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from math import exp, log
+from math import log
 
 import numpy as np
 import pandas as pd
@@ -35,10 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import chunks
-from lakemill.llm.tokens import mix
+from lakemill.llm.tokens import hashes, mix, span_hasher
 
 MODEL = os.environ.get("LAKEMILL_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
-MAX_STATES = 600_000
+#: characters whose texts are worked on together
+CHUNK = 1 << 20
+#: log weight of the byte fallback of a character that no piece covers
+FALLBACK = -12.0
 _UNIT = re.compile(r" *[^ ]+| +")
 _BLANK = "▁"
 
@@ -64,99 +65,116 @@ def vocabulary(model: str) -> tuple[dict[str, tuple[int, float]], list[int], lis
     return pieces, raw, out
 
 
+@lru_cache(maxsize=2)
+def _table(model: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Sorted hashes of the pieces with their ids and log weights, marks of the first bits of pieces' and of all their
+    beginnings' hashes, and the longest piece."""
+    pieces = vocabulary(model)[0]
+    names = list(pieces)
+    codes = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32)
+    end = np.cumsum([len(p) for p in names])
+    h = hashes(codes, end - [len(p) for p in names], end)
+    order = np.argsort(h)
+    ids, weights = (np.array([pieces[p][c] for p in names])[order] for c in (0, 1))
+    marks = np.zeros(1 << 20, np.uint8)  # bit 1: a piece may begin so; bit 2: it may be a piece
+    begin = end - [len(p) for p in names]
+    for size in range(1, max(map(len, names)) + 1):
+        a = begin[begin + size <= end]
+        marks[(hashes(codes, a, a + size) >> np.uint64(44)).astype(np.int64)] |= 1
+    marks[(h >> np.uint64(44)).astype(np.int64)] |= 2
+    h = h[order]
+    guess = np.zeros(1 << 20, np.int32)  # of each first bits one piece, nearly always the only one
+    guess[(h >> np.uint64(44)).astype(np.int64)] = np.arange(len(h))
+    return h, ids.astype(np.int32), weights, marks, guess, max(map(len, names))
+
+
 class Lattice:
-    """States and edges of all units met so far, in flat arrays.
+    """States and edges of distinct units, laid out together in flat arrays.
 
     Edges of state s are lo[s] .. lo[s+1]; each has a piece id, a next state (-1: end of unit), its conditional
-    probability, and s plus the cumulated probability before its end, so that one searchsorted draws for all states.
+    probability and the cumulated probability up to it.
     A byte-fallback edge carries the first byte's id; the others follow through states of a single edge.
     """
 
-    def __init__(self, model: str, temperature: float):
-        self.pieces, self.raw, _ = vocabulary(model)
-        self.longest = max(map(len, self.pieces))
-        self.temperature = temperature
-        self.clear()
-
-    def clear(self) -> None:
-        self.unit: dict[str, int] = {}
-        self._lo, self._id, self._next, self._p, self._cum = array("q", [0]), array("i"), array("q"), array("d"), array("d")
-        self.n_states, self.stale = 0, True
-
-    def first(self, unit: str) -> int:
-        """The unit's first state."""
-        s = self.unit.get(unit)
-        if s is None:
-            s = self.unit[unit] = self._lay(unit)
-        return s
-
-    def _lay(self, u: str) -> int:
-        n = len(u)
-        edges: list[list[tuple[int, int, float]]] = []  # per character: (id, end, log weight)
-        for a in range(n):
-            here = []
-            for b in range(a + 1, min(n, a + self.longest) + 1):
-                hit = self.pieces.get(u[a:b])
-                if hit:
-                    here.append((hit[0], b, hit[1] / self.temperature))
-            # fallback where no single-character piece leads on
-            if not here or here[0][1] != a + 1:
-                here.append((-1, a + 1, -12.0 / self.temperature))
-            edges.append(here)
-        beta = [0.0] * (n + 1)
-        for a in range(n - 1, -1, -1):
-            v = [w + beta[b] for _, b, w in edges[a]]
-            top = max(v)
-            beta[a] = top + log(sum(exp(x - top) for x in v)) if len(v) > 1 else top
-        base = self.n_states
-        extra: list[tuple[int, int]] = []  # states behind the characters: (byte id, next)
-        spare = base + n
-        for a in range(n):
-            total = 0.0
-            for i, b, w in edges[a]:
-                p = exp(w + beta[b] - beta[a]) if len(edges[a]) > 1 else 1.0
-                total += p
-                nxt = base + b if b < n else -1
-                if i < 0:
-                    data = u[a].encode("utf-8", "surrogatepass")
-                    i = self.raw[data[0]]
-                    # the character's other bytes, each a state of its own
-                    rest = [self.raw[x] for x in data[1:]]
-                    for k, r in enumerate(rest):
-                        extra.append((r, spare + len(extra) + 1 if k < len(rest) - 1 else nxt))
-                    if rest:
-                        nxt = spare + len(extra) - len(rest)
-                self._id.append(i)
-                self._next.append(nxt)
-                self._p.append(p)
-                self._cum.append(base + a + min(total, 1.0))
-            self._cum[-1] = base + a + 1.0
-            self._lo.append(len(self._id))
-        for k, (r, nxt) in enumerate(extra):
-            self._id.append(r)
-            self._next.append(nxt)
-            self._p.append(1.0)
-            self._cum.append(spare + k + 1.0)
-            self._lo.append(len(self._id))
-        self.n_states += n + len(extra)
-        self.stale = True
-        return base
-
-    def arrays(self) -> None:
-        if self.stale:
-            self.lo = np.array(self._lo, np.int64)
-            self.id = np.array(self._id, np.int32)
-            self.next = np.array(self._next, np.int64)
-            self.p = np.array(self._p)
-            self.cum = np.array(self._cum)
-            self.stale = False
-
-
-def uniform(key: np.ndarray, *parts) -> np.ndarray:
-    """Numbers in (0, 1) that depend on the key and the parts alone."""
-    h = key
-    for p in parts:
-        h = mix(h ^ (np.asarray(p, np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
+    def __init__(self, units: list[str], model: str = MODEL, temperature: float = 2.0):
+        raw = vocabulary(model)[1]
+        keys, ids, weights, marks, guess, longest = _table(model)
+        length = np.array([len(u) for u in units], np.int64)
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        n = len(codes)
+        unit_end = np.cumsum(length)
+        self.first = unit_end - length
+        stop = np.repeat(unit_end, length)  # of each character, its unit's end
+        place = np.arange(n)
+        parts = []
+        single = np.zeros(n, bool)
+        hasher, a = span_hasher(codes), place
+        for size in range(1, min(longest, int(length.max(initial=0))) + 1):
+            a = a[a + size <= stop[a]]
+            h = hasher(a, a + size)
+            bits = (h >> np.uint64(44)).astype(np.int32)
+            mark = marks[bits]
+            maybe = np.flatnonzero(mark > 1)
+            b, h, at = a[maybe], h[maybe], guess[bits[maybe]]
+            hit = keys[at] == h
+            if not hit.all():
+                other = np.flatnonzero(~hit)
+                at[other] = np.minimum(np.searchsorted(keys, h[other]), len(keys) - 1)
+                hit[other] = keys[at[other]] == h[other]
+            b, at = b[hit], at[hit]
+            if size == 1:
+                single[b] = True
+            parts.append((b, b + size, ids[at], weights[at] / temperature))
+            a = a[mark > 0]  # no piece begins with the others
+        lost = np.flatnonzero(~single)
+        parts.append((lost, lost + 1, np.full(len(lost), -1, np.int32), np.full(len(lost), FALLBACK / temperature)))
+        # the longest piece of a state comes first: it is the likeliest, and draws go through the edges in order
+        a, b, piece, w = (np.concatenate(x) for x in zip(*parts[::-1]))
+        order = np.argsort(a, kind="stable")
+        a, b, piece, w = a[order], b[order], piece[order], w[order]
+        ends = b == stop[a]
+        # backwards over the distance from the unit's end, all units together
+        beta = np.zeros(n + 1)
+        rest = stop[a] - a
+        turn = np.argsort(rest, kind="stable")
+        cuts = np.flatnonzero(np.diff(rest[turn], prepend=-1))
+        for lo, hi in zip(cuts, np.append(cuts[1:], len(turn))):
+            e = turn[lo:hi]
+            v = w[e] + np.where(ends[e], 0.0, beta[b[e]])
+            seg = np.flatnonzero(np.diff(a[e], prepend=-1))
+            top = np.maximum.reduceat(v, seg)
+            v = np.exp(v - np.repeat(top, np.diff(np.append(seg, len(e)))))
+            beta[a[e][seg]] = top + np.log(np.add.reduceat(v, seg))
+        p = np.exp(w + np.where(ends, 0.0, beta[b]) - beta[a]) if n else w
+        lo = np.concatenate(([0], np.cumsum(np.bincount(a, minlength=n)))).astype(np.int64)
+        run = np.concatenate(([0.0], np.cumsum(p)))
+        within = np.clip(run[1:] - run[lo[a]], 0.0, 1.0)
+        within[lo[1:] - 1] = 1.0
+        nxt = np.where(ends, -1, b)
+        # bytes of characters without a piece
+        more_id, more_next = [], []
+        for e in np.flatnonzero(piece < 0).tolist():
+            data = chr(codes[a[e]]).encode("utf-8", "surrogatepass")
+            piece[e] = raw[data[0]]
+            if len(data) > 1:
+                after, nxt[e] = nxt[e], n + len(more_id)
+                for x in data[1:-1]:
+                    more_id.append(raw[x])
+                    more_next.append(n + len(more_id))
+                more_id.append(raw[data[-1]])
+                more_next.append(after)
+        k = len(more_id)
+        self.lo = np.concatenate((lo, lo[-1] + np.arange(1, k + 1)))
+        self.id = np.concatenate((piece, np.array(more_id, np.int32)))
+        self.next = np.concatenate((nxt, np.array(more_next, np.int64)))
+        self.p = np.concatenate((p, np.ones(k)))
+        self.cum = np.concatenate((within, np.ones(k)))
+
+
+def uniform(key: np.ndarray, number: int = 0, unit=0, step=0) -> np.ndarray:
+    """Numbers in (0, 1) that depend on the key and the three numbers alone."""
+    parts = np.asarray(unit, np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(step, np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    h = mix(key + np.uint64(number * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF) + parts)
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
@@ -169,129 +187,173 @@ def truncated(loc: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
     return -np.logaddexp(-bound, -loc + np.log(-np.log(u)))
 
 
-def _walk(lat: Lattice, key: np.ndarray, number: int, unit: np.ndarray, state: np.ndarray, step: np.ndarray):
-    """From each (unit, state) on to the unit's end: unit, step, state and edge of every step, in order of unit, step."""
+#: numbers that keep the draws of different kinds apart
+_SIDE, _ROOT, _TURN, _LEFT = 1 << 20, 1 << 21, 1 << 22, 1 << 23
+
+
+def _walk(lat: Lattice, key: np.ndarray, unit: np.ndarray, state: np.ndarray, step: np.ndarray):
+    """From each (unit, state) on to the unit's end: unit, step, state and edge of every step, in no order."""
     us, ts, ss, es = [], [], [], []
-    live = np.flatnonzero(state >= 0)
-    state, step = state.copy(), step.copy()
-    while len(live):
-        s, t = state[live], step[live]
-        single = lat.lo[s + 1] - lat.lo[s] == 1
-        u = uniform(key[live], np.uint64(number), unit[live].astype(np.uint64), t.astype(np.uint64))
-        e = np.searchsorted(lat.cum, s + u, "right")
-        e = np.where(single, lat.lo[s], np.clip(e, lat.lo[s], lat.lo[s + 1] - 1))
-        us.append(unit[live])
-        ts.append(t)
-        ss.append(s)
+    live = state >= 0
+    key, unit, state, step = key[live], unit[live], state[live], step[live]
+    while len(state):
+        lo, hi = lat.lo[state], lat.lo[state + 1]
+        e = lo.copy()
+        many = np.flatnonzero(hi - lo > 1)
+        u = uniform(key[many], 0, 0, step[many])
+        at, last = lo[many], hi[many] - 1
+        more = np.flatnonzero(lat.cum[at] <= u)
+        while len(more):
+            at[more] += 1
+            more = more[(at[more] < last[more]) & (lat.cum[at[more]] <= u[more])]
+        e[many] = at
+        us.append(unit)
+        ts.append(step)
+        ss.append(state)
         es.append(e)
-        state[live] = lat.next[e]
-        step[live] += 1
-        live = live[state[live] >= 0]
+        state = lat.next[e]
+        live = state >= 0
+        key, unit, state, step = key[live], unit[live], state[live], step[live] + 1
     if not us:
         z = np.zeros(0, np.int64)
         return z, z, z, z
-    unit, step, state, edge = (np.concatenate(x) for x in (us, ts, ss, es))
-    order = np.lexsort((step, unit))
-    return unit[order], step[order], state[order], edge[order]
+    return tuple(np.concatenate(x) for x in (us, ts, ss, es))
+
+
+def _ordered(unit, step, state, edge):
+    """The steps in order of unit and step; the steps of a unit are 0, 1, 2 ..."""
+    at = np.cumsum(np.bincount(unit)) if len(unit) else unit
+    count = np.bincount(unit) if len(unit) else unit
+    to = (at - count)[unit] + step
+    out = []
+    for x in (unit, step, state, edge):
+        y = np.empty_like(x)
+        y[to] = x
+        out.append(y)
+    return out
 
 
 class _Paths:
-    """One segmentation of each text of some texts: steps in flat arrays, side branches with their values."""
+    """One segmentation of each text in flat arrays of steps, with the perturbed values of the steps' side branches."""
 
-    def __init__(self, lat, key, number, text, n_texts, unit, step, state, edge, value, own_from):
+    def __init__(self, lat, key, number, owner, inside, n, unit, step, state, edge, value, own_from):
         self.unit, self.step, self.state, self.edge, self.value = unit, step, state, edge, value
-        self.offset = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=n_texts)))).astype(np.int64)
+        text = owner[unit]
+        size = np.bincount(text, minlength=n)
+        self.offset = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
         with np.errstate(divide="ignore"):
             lp = np.log(lat.p[edge])
         total = np.concatenate(([0.0], np.cumsum(lp)))
-        before = total[:-1] - total[self.offset[text]]
+        self.before = total[:-1] - total[self.offset[text]]
         self.logp = total[self.offset[1:]] - total[self.offset[:-1]]
         self.rest = np.where(lat.lo[state + 1] - lat.lo[state] > 1, 1.0 - lat.p[edge], 0.0)
         # steps before the divergence belong to the path that this one left
         self.rest[np.arange(len(text)) < (self.offset[:-1] + own_from)[text]] = 0.0
-        self.before, self.taken = before, {}
+        self.taken: dict[int, set[int]] = {}
         self.side = np.full(len(text), -np.inf)
         open_ = np.flatnonzero(self.rest > 1e-12)
-        u = uniform(key[text[open_]], np.uint64(number), np.uint64(1 << 40), unit[open_].astype(np.uint64), step[open_].astype(np.uint64))
-        self.side[open_] = truncated(before[open_] + np.log(self.rest[open_]), value[text[open_]], u)
-
-
-def sample(lat: Lattice, texts: list[str], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float]]]:
+        u = uniform(key[text[open_]], number + _SIDE, inside[unit[open_]], step[open_])
+        self.side[open_] = truncated(self.before[open_] + np.log(self.rest[open_]), value[text[open_]], u)
+
+    def best(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per text the largest side value and its step; -inf where there is none."""
+        n = len(self.offset) - 1
+        top, where = np.full(n, -np.inf), np.zeros(n, np.int64)
+        full = np.flatnonzero(np.diff(self.offset) > 0)
+        if len(full):
+            top[full] = np.maximum.reduceat(self.side, self.offset[:-1][full])
+            for i in full.tolist():
+                a, b = self.offset[i], self.offset[i + 1]
+                where[i] = a + int(self.side[a:b].argmax())
+        return top, where
+
+    def found(self, lat) -> list[tuple[np.ndarray, float, float]]:
+        ids = lat.id[self.edge]
+        return [(ids[a:b], float(lp), float(v)) for a, b, lp, v in zip(self.offset[:-1], self.offset[1:], self.logp, self.value)]
+
+
+def sample(texts: list[str], keys: np.ndarray, k: int, model: str = MODEL, temperature: float = 2.0) -> list[list[tuple[np.ndarray, float, float]]]:
     """Per text up to k (piece ids, log probability, perturbed value) and, last, a threshold entry (None, nan, kappa)."""
     n = len(texts)
-    firsts, owner = [], []
-    for i, t in enumerate(texts):
+    known: dict[str, int] = {}
+    owner, kinds = [], []
+    for t in texts:
         units = _UNIT.findall(t)
-        firsts += [lat.first(u) for u in units]
+        kinds += [known.setdefault(u, len(known)) for u in units]
         owner.append(len(units))
-    lat.arrays()
-    owner = np.repeat(np.arange(n), owner)
-    count = np.bincount(owner, minlength=n)
-    start = np.concatenate(([0], np.cumsum(count)))[:-1]
-    number_in_text = np.arange(len(owner)) - start[owner] if len(owner) else np.zeros(0, np.int64)
-    first = np.array(firsts, np.int64)
-    value = gumbel(uniform(keys, np.uint64(0), np.uint64(1 << 41)))
-    gu, st, ss, ee = _walk(lat, keys[owner], 0, np.arange(len(owner)), first, np.zeros(len(owner), np.int64))
-    paths = [_Paths(lat, keys, 0, owner[gu] if len(gu) else gu, n, gu, st, ss, ee, value, np.zeros(n, np.int64))]
-    results = [[(lat.id[ee[a:b]], float(lp), float(v))] for a, b, lp, v in zip(paths[0].offset[:-1], paths[0].offset[1:], paths[0].logp, value)]
+    lat = Lattice(list(known), model, temperature)
+    count = np.array(owner, np.int64)
+    start = np.cumsum(count) - count
+    owner = np.repeat(np.arange(n), count)
+    first = lat.first[np.array(kinds, np.int64)]
+    # draws go by the unit's place in its own text, so that a text's neighbours in the batch do not matter
+    inside = np.arange(len(owner)) - start[owner]
+    value = gumbel(uniform(keys, _ROOT))
+
+    unit_keys = mix(keys[owner] + mix(inside.astype(np.uint64)))
+
+    def walk(number: int, unit: np.ndarray, state: np.ndarray, step: np.ndarray):
+        # a unit's key holds its place; the walk adds the step
+        return _walk(lat, unit_keys[unit] ^ mix(np.uint64(number)), unit, state, step)
+
+    every = np.arange(len(owner))
+    steps = _ordered(*walk(0, every, first, np.zeros(len(owner), np.int64)))
+    paths = [_Paths(lat, keys, 0, owner, inside, n, *steps, value, np.zeros(n, np.int64))]
+    results = [[(ids, lp, v)] for ids, lp, v in paths[0].found(lat)]
     for number in range(1, k + 1):
         # the best side branch of each text over all its paths
         best, which, at = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
         for j, p in enumerate(paths):
-            for i in np.flatnonzero(np.diff(p.offset) > 0):
-                a, b = p.offset[i], p.offset[i + 1]
-                m = a + int(np.argmax(p.side[a:b]))
-                if p.side[m] > best[i]:
-                    best[i], which[i], at[i] = p.side[m], j, m
+            top, where = p.best()
+            better = top > best
+            best[better], which[better], at[better] = top[better], j, where[better]
         some = np.flatnonzero(best > -np.inf)
         if number == k:
             for i in range(n):
                 results[i].append((None, float("nan"), float(best[i])))
             break
         # expand: draw one of the edges left, then walk on to the end of the text
-        pu, pt, ps, pe, ptext = [], [], [], [], []
-        wu, wt, ws = [], [], []
-        turn = np.zeros(n, np.int64)
-        for i in some:
-            p, m = paths[which[i]], at[i]
+        old, new, turn = [], [], np.zeros(n, np.int64)
+        pick = uniform(keys, number + _TURN)
+        for i in some.tolist():
+            p, m = paths[which[i]], int(at[i])
             s = p.state[m]
-            edges = np.arange(lat.lo[s], lat.lo[s + 1])
-            used = p.taken.setdefault(int(m), {int(p.edge[m])})
-            left = np.array([e for e in edges if int(e) not in used])
+            used = p.taken.setdefault(m, {int(p.edge[m])})
+            left = [e for e in range(lat.lo[s], lat.lo[s + 1]) if e not in used]
             w = np.cumsum(lat.p[left])
-            u = uniform(keys[i : i + 1], np.uint64(number), np.uint64(1 << 42))[0]
-            e = left[min(int(np.searchsorted(w, u * w[-1], "right")), len(left) - 1)]
-            # what is left at this state after e
-            used.add(int(e))
+            e = left[min(int(np.searchsorted(w, pick[i] * w[-1], "right")), len(left) - 1)]
+            used.add(e)
             p.rest[m] = w[-1] - lat.p[e] if len(left) > 1 else 0.0
-            again = uniform(keys[i : i + 1], np.uint64(number), np.uint64(1 << 43))
-            p.side[m] = truncated(p.before[m] + np.log(p.rest[m]), best[i], again)[0] if p.rest[m] > 1e-12 else -np.inf
-            a = p.offset[i]
+            p.side[m] = -np.inf
+            if p.rest[m] > 1e-12:
+                again = uniform(keys[i : i + 1], number + _LEFT)
+                p.side[m] = truncated(p.before[m] + np.log(p.rest[m]), best[i], again)[0]
+            a, g = p.offset[i], int(p.unit[m])
             turn[i] = m - a
-            pu.append(np.concatenate((p.unit[a:m], p.unit[m : m + 1])))
-            pt.append(p.step[a : m + 1])
-            ps.append(p.state[a : m + 1])
-            pe.append(np.concatenate((p.edge[a:m], [e])))
-            g = p.unit[m]
-            later = np.arange(g + 1, start[i] + count[i])
-            wu.append(np.concatenate(([g], later)))
-            wt.append(np.concatenate(([p.step[m] + 1], np.zeros(len(later), np.int64))))
-            ws.append(np.concatenate(([lat.next[e]], first[later])))
-        if len(some):
-            wu, wt, ws = (np.concatenate(x).astype(np.int64) for x in (wu, wt, ws))
-            fu, ft, fs, fe = _walk(lat, keys[owner[wu]], number, wu, ws, wt)
-            unit, step, state, edge = (np.concatenate((np.concatenate(a), b)) for a, b in ((pu, fu), (pt, ft), (ps, fs), (pe, fe)))
-            order = np.lexsort((step, unit))
-            unit, step, state, edge = unit[order], step[order], state[order], edge[order]
-            p = _Paths(lat, keys, number, owner[unit], n, unit, step, state, edge, best, turn + 1)
-            # the step of the divergence itself stays with the parent, whose side branch holds what is left there
-            paths.append(p)
-            for i in some:
-                a, b = p.offset[i], p.offset[i + 1]
-                results[i].append((lat.id[p.edge[a:b]], float(p.logp[i]), float(best[i])))
+            old.append((p.unit[a : m + 1], p.step[a : m + 1], p.state[a : m + 1], np.append(p.edge[a:m], e)))
+            new.append((g, int(lat.next[e]), int(p.step[m]) + 1, start[i] + count[i]))
+        if not len(some):
+            continue
+        g, s, t, stop = (np.array(x, np.int64) for x in zip(*new))
+        later = np.flatnonzero(_after(g, stop, len(owner)))
+        walked = walk(number, np.concatenate((g, later)), np.concatenate((s, first[later])), np.concatenate((t, np.zeros(len(later), np.int64))))
+        steps = _ordered(*(np.concatenate((*o, x)) for o, x in zip(zip(*old), walked)))
+        # the step of the divergence stays with the parent, whose side branch holds what is left there
+        paths.append(_Paths(lat, keys, number, owner, inside, n, *steps, best, turn + 1))
+        for i, got in enumerate(paths[-1].found(lat)):
+            if best[i] > -np.inf:
+                results[i].append(got)
     return results
 
 
+def _after(unit: np.ndarray, stop: np.ndarray, n: int) -> np.ndarray:
+    """Marks the units behind each given one, up to its text's end."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, unit + 1, 1)
+    np.add.at(edge, stop, -1)
+    return np.cumsum(edge)[:n] > 0
+
+
 def decode_ids(ids: np.ndarray, offsets: np.ndarray, model: str = MODEL) -> list[str]:
     """The texts whose piece ids stand in ids[offsets[i]:offsets[i+1]]."""
     flat, start = _piece_bytes(model)
@@ -309,29 +371,29 @@ def _piece_bytes(model: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(out), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int64)
 
 
-def encode(docs: DataFrame, k: int = 2, temperature: float = 0.5, key: str = "doc_id", model: str = MODEL) -> DataFrame:
-    """key, sample_no, ids, log_prob, inclusion, text_hash: k distinct sampled segmentations of every row of docs.
+def encode(docs: DataFrame, k: int = 2, temperature: float = 2.0, key: str = "doc_id", model: str = MODEL) -> DataFrame:
+    """key, sample_no, ids, log_prob, inclusion, round_trip: k distinct sampled segmentations of every row of docs.
 
-    docs has key and text; text_hash is xxhash64 of the text, for checks of what is decoded.
+    docs has key and text. round_trip tells whether the ids, decoded where they are made, give the text again.
     """
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lat = Lattice(model, temperature)
         for b in batches:
             texts, seeds = b["text"].fillna("").tolist(), b["_seed"].to_numpy().view(np.uint64)
-            for a, z in chunks(texts, 1 << 19):
-                if lat.n_states > MAX_STATES:
-                    lat.clear()
+            for a, z in chunks(texts, CHUNK):
                 rows = []
-                for key_, text_hash, found in zip(b[key].iloc[a:z], b["_text"].iloc[a:z], sample(lat, texts[a:z], mix(seeds[a:z]), k)):
-                    kappa = found[-1][2] if found[-1][0] is None else -np.inf
-                    for no, (ids, lp, _) in enumerate(x for x in found if x[0] is not None):
-                        rows.append((key_, no, ids, lp, 1.0 if kappa == -np.inf else float(-np.expm1(-np.exp(min(lp - kappa, 50.0)))), text_hash))
-                yield pd.DataFrame(rows, columns=[key, "sample_no", "ids", "log_prob", "inclusion", "text_hash"])
-
-    src = docs.select(key, "text", F.xxhash64(F.col(key).cast("string")).alias("_seed"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"))
-    return src.mapInPandas(run, f"{key} {kind}, sample_no int, ids array<int>, log_prob double, inclusion double, text_hash long")
+                for key_, text, found in zip(b[key].iloc[a:z], texts[a:z], sample(texts[a:z], mix(seeds[a:z]), k, model, temperature)):
+                    kappa = found.pop()[2]
+                    whole = np.concatenate([ids for ids, _, _ in found])
+                    ends = np.concatenate(([0], np.cumsum([len(ids) for ids, _, _ in found]))).astype(np.int64)
+                    decoded = decode_ids(whole, ends, model)
+                    for no, (ids, lp, _) in enumerate(found):
+                        rows.append((key_, no, ids, lp, 1.0 if kappa == -np.inf else float(-np.expm1(-np.exp(min(lp - kappa, 50.0)))), decoded[no] == text))
+                yield pd.DataFrame(rows, columns=[key, "sample_no", "ids", "log_prob", "inclusion", "round_trip"])
+
+    src = docs.select(key, "text", F.xxhash64(F.col(key).cast("string")).alias("_seed"))
+    return src.mapInPandas(run, f"{key} {kind}, sample_no int, ids array<int>, log_prob double, inclusion double, round_trip boolean")
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:

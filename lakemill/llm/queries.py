@@ -23,8 +23,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, sample_no, ids, n_pieces, log_prob, inclusion, round_trip: two segmentations of every document."""
-    back = piece_sampling.decode(piece_sampling.encode(table(spark, sf_dir, "documents")))
-    return back.select("doc_id", "sample_no", "ids", F.size("ids").alias("n_pieces"), "log_prob", "inclusion", (F.xxhash64("text") == F.col("text_hash")).alias("round_trip"))
+    return piece_sampling.encode(table(spark, sf_dir, "documents")).withColumn("n_pieces", F.size("ids"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,13 +59,16 @@ def spans(kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[keep], end[keep]
 
 
-def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, equal for equal spans wherever they stand."""
-    n = 1 << max(16, int(len(data)).bit_length())
-    up, down = _powers(n)
+def span_hasher(data: np.ndarray):
+    """A function from starts and ends to 64-bit hashes of these spans of data, equal for equal spans wherever they stand."""
+    up, down = _powers(1 << max(16, int(len(data)).bit_length()))
     acc = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=acc[1:])
-    return mix((acc[end] - acc[start]) * down[start] + (end - start).astype(np.uint64))
+    return lambda start, end: mix((acc[end] - acc[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return span_hasher(data)(start, end)
 
 
 def words(texts: list[str], kinds: np.ndarray = ALNUM, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
