@@ -25,7 +25,8 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from math import log
+from itertools import chain
+from math import exp, expm1, log
 
 import numpy as np
 import pandas as pd
@@ -133,19 +134,20 @@ class Lattice:
         order = np.argsort(a, kind="stable")
         a, b, piece, w = a[order], b[order], piece[order], w[order]
         ends = b == stop[a]
-        # backwards over the distance from the unit's end, all units together
+        # backwards over the distance from the unit's end, all units together; beta[n] stands for every end
         beta = np.zeros(n + 1)
+        goal = np.where(ends, n, b)
         rest = stop[a] - a
         turn = np.argsort(rest, kind="stable")
-        cuts = np.flatnonzero(np.diff(rest[turn], prepend=-1))
-        for lo, hi in zip(cuts, np.append(cuts[1:], len(turn))):
-            e = turn[lo:hi]
-            v = w[e] + np.where(ends[e], 0.0, beta[b[e]])
-            seg = np.flatnonzero(np.diff(a[e], prepend=-1))
+        w_, goal_, a_ = w[turn], goal[turn], a[turn]
+        cuts = np.flatnonzero(np.diff(rest[turn], prepend=-1)).tolist()
+        for lo, hi in zip(cuts, [*cuts[1:], len(turn)]):
+            v = w_[lo:hi] + beta[goal_[lo:hi]]
+            seg = np.flatnonzero(np.diff(a_[lo:hi], prepend=-1))
             top = np.maximum.reduceat(v, seg)
-            v = np.exp(v - np.repeat(top, np.diff(np.append(seg, len(e)))))
-            beta[a[e][seg]] = top + np.log(np.add.reduceat(v, seg))
-        p = np.exp(w + np.where(ends, 0.0, beta[b]) - beta[a]) if n else w
+            v = np.exp(v - np.repeat(top, np.diff(np.append(seg, hi - lo))))
+            beta[a_[lo:hi][seg]] = top + np.log(np.add.reduceat(v, seg))
+        p = np.exp(w + beta[goal] - beta[a]) if n else w
         lo = np.concatenate(([0], np.cumsum(np.bincount(a, minlength=n)))).astype(np.int64)
         run = np.concatenate(([0.0], np.cumsum(p)))
         within = np.clip(run[1:] - run[lo[a]], 0.0, 1.0)
@@ -212,7 +214,7 @@ def _walk(lat: Lattice, key: np.ndarray, unit: np.ndarray, state: np.ndarray, st
         ss.append(state)
         es.append(e)
         state = lat.next[e]
-        live = state >= 0
+        live = np.flatnonzero(state >= 0)
         key, unit, state, step = key[live], unit[live], state[live], step[live] + 1
     if not us:
         z = np.zeros(0, np.int64)
@@ -269,23 +271,21 @@ class _Paths:
 
     def found(self, lat) -> list[tuple[np.ndarray, float, float]]:
         ids = lat.id[self.edge]
-        return [(ids[a:b], float(lp), float(v)) for a, b, lp, v in zip(self.offset[:-1], self.offset[1:], self.logp, self.value)]
+        ends = self.offset.tolist()
+        return [(ids[a:b], lp, v) for a, b, lp, v in zip(ends, ends[1:], self.logp.tolist(), self.value.tolist())]
 
 
 def sample(texts: list[str], keys: np.ndarray, k: int, model: str = MODEL, temperature: float = 2.0) -> list[list[tuple[np.ndarray, float, float]]]:
     """Per text up to k (piece ids, log probability, perturbed value) and, last, a threshold entry (None, nan, kappa)."""
     n = len(texts)
-    known: dict[str, int] = {}
-    owner, kinds = [], []
-    for t in texts:
-        units = _UNIT.findall(t)
-        kinds += [known.setdefault(u, len(known)) for u in units]
-        owner.append(len(units))
+    per_text = [_UNIT.findall(t) for t in texts]
+    count = np.array([len(u) for u in per_text], np.int64)
+    units = list(chain.from_iterable(per_text))
+    known = {u: i for i, u in enumerate(dict.fromkeys(units))}
     lat = Lattice(list(known), model, temperature)
-    count = np.array(owner, np.int64)
     start = np.cumsum(count) - count
     owner = np.repeat(np.arange(n), count)
-    first = lat.first[np.array(kinds, np.int64)]
+    first = lat.first[np.fromiter(map(known.__getitem__, units), np.int64, len(units))]
     # draws go by the unit's place in its own text, so that a text's neighbours in the batch do not matter
     inside = np.arange(len(owner)) - start[owner]
     value = gumbel(uniform(keys, _ROOT))
@@ -314,24 +314,24 @@ def sample(texts: list[str], keys: np.ndarray, k: int, model: str = MODEL, tempe
             break
         # expand: draw one of the edges left, then walk on to the end of the text
         old, new, turn = [], [], np.zeros(n, np.int64)
-        pick = uniform(keys, number + _TURN)
+        pick, again = uniform(keys, number + _TURN).tolist(), uniform(keys, number + _LEFT).tolist()
         for i in some.tolist():
             p, m = paths[which[i]], int(at[i])
-            s = p.state[m]
+            a, g, lo = int(p.offset[i]), int(p.unit[m]), int(lat.lo[p.state[m]])
             used = p.taken.setdefault(m, {int(p.edge[m])})
-            left = [e for e in range(lat.lo[s], lat.lo[s + 1]) if e not in used]
-            w = np.cumsum(lat.p[left])
-            e = left[min(int(np.searchsorted(w, pick[i] * w[-1], "right")), len(left) - 1)]
+            left = [(lo + x, q) for x, q in enumerate(lat.p[lo : lat.lo[p.state[m] + 1]].tolist()) if lo + x not in used]
+            total = sum(q for _, q in left)
+            draw = pick[i] * total
+            for e, q in left:
+                draw -= q
+                if draw < 0:
+                    break
             used.add(e)
-            p.rest[m] = w[-1] - lat.p[e] if len(left) > 1 else 0.0
-            p.side[m] = -np.inf
-            if p.rest[m] > 1e-12:
-                again = uniform(keys[i : i + 1], number + _LEFT)
-                p.side[m] = truncated(p.before[m] + np.log(p.rest[m]), best[i], again)[0]
-            a, g = p.offset[i], int(p.unit[m])
+            p.rest[m] = rest = total - q if len(left) > 1 else 0.0
+            p.side[m] = truncated(p.before[m] + log(rest), best[i], again[i]) if rest > 1e-12 else -np.inf
             turn[i] = m - a
             old.append((p.unit[a : m + 1], p.step[a : m + 1], p.state[a : m + 1], np.append(p.edge[a:m], e)))
-            new.append((g, int(lat.next[e]), int(p.step[m]) + 1, start[i] + count[i]))
+            new.append((g, int(lat.next[e]), int(p.step[m]) + 1, int(start[i] + count[i])))
         if not len(some):
             continue
         g, s, t, stop = (np.array(x, np.int64) for x in zip(*new))
@@ -382,14 +382,15 @@ def encode(docs: DataFrame, k: int = 2, temperature: float = 2.0, key: str = "do
         for b in batches:
             texts, seeds = b["text"].fillna("").tolist(), b["_seed"].to_numpy().view(np.uint64)
             for a, z in chunks(texts, CHUNK):
+                sampled = sample(texts[a:z], mix(seeds[a:z]), k, model, temperature)
+                kappas = [found.pop()[2] for found in sampled]
+                flat = [ids for found in sampled for ids, _, _ in found]
+                ends = np.concatenate(([0], np.cumsum([len(ids) for ids in flat]))).astype(np.int64)
+                decoded = iter(decode_ids(np.concatenate(flat), ends, model))
                 rows = []
-                for key_, text, found in zip(b[key].iloc[a:z], texts[a:z], sample(texts[a:z], mix(seeds[a:z]), k, model, temperature)):
-                    kappa = found.pop()[2]
-                    whole = np.concatenate([ids for ids, _, _ in found])
-                    ends = np.concatenate(([0], np.cumsum([len(ids) for ids, _, _ in found]))).astype(np.int64)
-                    decoded = decode_ids(whole, ends, model)
+                for key_, text, kappa, found in zip(b[key].iloc[a:z], texts[a:z], kappas, sampled):
                     for no, (ids, lp, _) in enumerate(found):
-                        rows.append((key_, no, ids, lp, 1.0 if kappa == -np.inf else float(-np.expm1(-np.exp(min(lp - kappa, 50.0)))), decoded[no] == text))
+                        rows.append((key_, no, ids, lp, 1.0 if kappa == -np.inf else -expm1(-exp(min(lp - kappa, 50.0))), next(decoded) == text))
                 yield pd.DataFrame(rows, columns=[key, "sample_no", "ids", "log_prob", "inclusion", "round_trip"])
 
     src = docs.select(key, "text", F.xxhash64(F.col(key).cast("string")).alias("_seed"))
