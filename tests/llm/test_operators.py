@@ -70,6 +70,25 @@ def test_large_group_of_copies_is_one_class(spark):
     assert sorted(r["count"] for r in out.collect()) == [1] * 40 + [120]
 
 
+def test_buckets_are_exhausted(spark):
+    """Unequally edited copies give the classes of all pairs that share a sketch, not only of those with a leader."""
+    r, base = random.Random(11), words(7, 150)
+    texts = []
+    for i in range(150):
+        at = set(r.sample(range(150), r.randrange(12, 22)))
+        texts.append(" ".join(f"e{i}x{k}" if k in at else w for k, w in enumerate(base)))
+    d = docs(spark, *texts).repartition(5)
+    sk = {x["doc_id"]: x["sk"] for x in near_dedup.sketches(d, 5, 24, 2).collect()}
+    cls = list(range(150))
+    for a in range(150):
+        for b in range(a):
+            if any(x == y for x, y in zip(sk[a], sk[b])) and sum(x != y for x, y in zip(texts[a].split(), texts[b].split())) <= 30:
+                old, new = max(cls[a], cls[b]), min(cls[a], cls[b])
+                cls = [new if c == old else c for c in cls]
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_duplicates(d).collect()}
+    assert [got[i] for i in range(150)] == cls and len(set(cls)) < 75
+
+
 def test_components_of_a_path(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 103), (101, 103)], "lo long, hi long")
     got = {r["id"]: r["class_id"] for r in near_dedup.components(e).collect()}
