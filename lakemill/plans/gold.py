@@ -104,11 +104,23 @@ def demand_forecast(points: DataFrame, key: str, x: str, y: str, ahead: float) -
     return df.withColumn("forecast", F.col("intercept") + F.col("slope") * (F.col("last_x") + ahead))
 
 
-def collaboration_edges(credits: DataFrame, max_cast: int = 50) -> DataFrame:
-    """a, b, movies: how many movies two people share, over the first max_cast of each billing order.
+def collaboration_edges(credits: DataFrame, block: int = 50) -> DataFrame:
+    """a, b, movies: how many movies two people share.
 
-    The pairs of one movie are made from its own array, so nothing is joined; a movie gives at most max_cast^2 / 2.
+    The pairs of a list of at most `block` people are made from its own array. A longer list is cut into blocks, and
+    each pair of its blocks meets in a row of its own, which gives at most block^2 pairs whatever the list's length.
     """
-    ids = F.array_sort(F.array_distinct(F.transform(F.slice("cast", 1, max_cast), lambda x: x["person_id"])))
-    pairs = F.flatten(F.transform(ids, lambda a, i: F.transform(F.slice(ids, i + 2, max_cast), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    return credits.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("movies"))
+    people = F.filter(F.transform("cast", lambda x: x["person_id"]), lambda x: x.isNotNull())
+    lists = credits.where("movie_id is not null").groupBy("movie_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(people)))).alias("ids"))
+    # each block with itself: in sorted order a is before b
+    last = F.ceil(F.size("ids") / block) - 1
+    blocks = lists.where(F.size("ids") > 1).select("movie_id", last.alias("last"), F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("ids", (i * block + 1).cast("int"), block))).alias("at", "ids"))
+    own = F.flatten(F.transform("ids", lambda a, i: F.transform(F.slice("ids", i + 2, block), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    inner = blocks.select(F.explode(own).alias("p"))
+    # and with each later block of the list
+    long = blocks.where("last > 0")
+    one = long.where("at < last").select("movie_id", F.col("ids").alias("xs"), F.explode(F.sequence(F.col("at") + 1, F.col("last").cast("int"))).alias("at"))
+    both = one.join(long.select("movie_id", "at", F.col("ids").alias("ys")), ["movie_id", "at"])
+    cross = F.flatten(F.transform("xs", lambda a: F.transform("ys", lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    pairs = inner.unionByName(both.select(F.explode(cross).alias("p")))
+    return pairs.groupBy("p.a", "p.b").agg(F.count("*").alias("movies"))

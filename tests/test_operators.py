@@ -183,3 +183,16 @@ def test_budget_and_edges(spark):
     assert rows(gold.budget_analysis(m), "genre", "movies", "return_ratio") == [("a", 1, 2.0)]
     c = spark.createDataFrame([(1, [(0, 3), (1, 5), (2, 3)]), (2, [(0, 5), (1, 3)])], "movie_id int, cast array<struct<order:int,person_id:long>>")
     assert rows(gold.collaboration_edges(c), "a", "b", "movies") == [(3, 5, 2)]
+
+
+def test_edges_of_long_casts(spark):
+    lists = {1: list(range(130)), 2: list(range(100, 170)), 3: [7, 7, 3], 4: [5]}
+    c = spark.createDataFrame([(m, [(i, p) for i, p in enumerate(ps)]) for m, ps in lists.items()], "movie_id int, cast array<struct<order:int,person_id:long>>")
+    want = {}
+    for ps in lists.values():
+        for a in set(ps):
+            for b in set(ps):
+                if a < b:
+                    want[a, b] = want.get((a, b), 0) + 1
+    got = [(r["a"], r["b"], r["movies"]) for r in gold.collaboration_edges(c).collect()]
+    assert len(got) == len(want) and all(want[a, b] == n for a, b, n in got)
