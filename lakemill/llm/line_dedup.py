@@ -4,14 +4,14 @@ A line's leaf is its token count and its leading tokens, with tokens that hold a
 (unless most of them do).
 Inside a leaf, lines whose masked tokens are equal form a template; templates of one leaf that agree in most positions
 merge, and the positions in which they differ become variable. A template seen in ``min_docs`` or more distinct
-documents recurs, and its lines are dropped everywhere but in the document with the smallest doc_id that has it,
+documents recurs (in two, if it has ``long_tokens`` or more tokens; in ``short_docs``, if fewer than ``min_tokens``), and its lines are dropped everywhere but in the document with the smallest doc_id that has it,
 where its first line stays: the text is thus kept once.
 
 Lines become (document, line number, template, leaf) hashes first. Only templates of ``merge_tokens`` or more tokens
 that share a leaf with another are compared, against their leaf's consensus tokens and never pair by pair; shorter
 lines recur only if their masked tokens are equal, so that short phrases of common words are left alone.
 
-Defined results: null and empty texts stay as they are; lines of fewer than ``min_tokens`` tokens are never dropped;
+Defined results: null and empty texts stay as they are; lines without tokens are never dropped;
 rows that repeat a doc_id count as one document; documents that lose all their words are removed, since everything
 in them stands in other documents; line order is kept.
 """
@@ -67,14 +67,16 @@ def merged_templates(docs: DataFrame, keys: DataFrame, depth: int, similarity: f
     return like.where(share >= similarity).select("template", F.col("leaf").alias("merged"))
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = 3, depth: int = 3, similarity: float = 0.8, min_tokens: int = 5, merge_tokens: int = 8) -> DataFrame:
+def recurring_lines(docs: DataFrame, min_docs: int = 3, depth: int = 3, similarity: float = 0.8, min_tokens: int = 5, merge_tokens: int = 8, long_tokens: int = 50, short_docs: int = 50) -> DataFrame:
     """doc_id, gone: the line numbers to drop of each document that has any."""
     base = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    keys = written(_keyed(_masked_lines(base, min_tokens), depth).select("doc_id", "line_no", "template", "leaf", F.size("masked").alias("n_tokens")))
+    keys = written(_keyed(_masked_lines(base, 1), depth).select("doc_id", "line_no", "template", "leaf", F.size("masked").alias("n_tokens")))
     merged = written(merged_templates(base, keys, depth, similarity, merge_tokens))
-    lines = keys.select("doc_id", "line_no", "template").join(merged, "template", "left").select("doc_id", "line_no", F.coalesce("merged", "template").alias("form"))
-    per_doc = lines.groupBy("form", "doc_id").agg(F.min("line_no").alias("line_no"))
-    often = per_doc.groupBy("form").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "line_no")).alias("first")).where(F.col("n_docs") >= min_docs)
+    lines = keys.select("doc_id", "line_no", "template", "n_tokens").join(merged, "template", "left").select("doc_id", "line_no", "n_tokens", F.coalesce("merged", "template").alias("form"))
+    per_doc = lines.groupBy("form", "doc_id").agg(F.min("line_no").alias("line_no"), F.max("n_tokens").alias("n_tokens"))
+    # all lines of a form have the same number of tokens
+    enough = F.when(F.col("n_tokens") >= long_tokens, F.least(F.lit(2), F.lit(min_docs))).when(F.col("n_tokens") < min_tokens, F.greatest(F.lit(short_docs), F.lit(min_docs))).otherwise(min_docs)
+    often = per_doc.groupBy("form").agg(F.count("*").alias("n_docs"), F.max("n_tokens").alias("n_tokens"), F.min(F.struct("doc_id", "line_no")).alias("first")).where(F.col("n_docs") >= enough)
     often = written(often.select("form", F.col("first.doc_id").alias("keep_doc"), F.col("first.line_no").alias("keep_line")))
     gone = lines.join(often, "form").where((F.col("doc_id") != F.col("keep_doc")) | (F.col("line_no") != F.col("keep_line")))
     return gone.groupBy("doc_id").agg(F.array_distinct(F.collect_list("line_no")).alias("gone"))

@@ -125,6 +125,14 @@ def test_line_dedup_leaves_pairs_alone(spark):
     assert {r["text"] for r in line_dedup.drop_recurring(docs(spark, *texts)).collect()} == {texts[0]}
 
 
+def test_line_dedup_of_long_pairs_and_short_notices(spark):
+    own, passage, line = [" ".join(words(900 + i, 30)) for i in range(60)], " ".join(words(33, 60)), " ".join(words(34, 20))
+    texts = [f"{x}\nall rights reserved" + (f"\n{passage}\n{line}\nto be continued" if i in (5, 9) else "") for i, x in enumerate(own)]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.drop_recurring(docs(spark, *texts)).collect()}
+    assert out[0] == texts[0] and all(out[i] == own[i] for i in range(1, 60) if i not in (5, 9))
+    assert out[5] == f"{own[5]}\n{passage}\n{line}\nto be continued" and out[9] == f"{own[9]}\n{line}\nto be continued"
+
+
 # ---- 3 --------------------------------------------------------------------------------------------------------------
 
 
