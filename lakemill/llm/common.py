@@ -55,3 +55,20 @@ def chunks(texts: list[str], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
         total += len(t)
     if a < len(texts):
         yield a, len(texts)
+
+
+#: rows of a few dozen bytes each that may be sent to every executor
+BROADCAST_ROWS = 500_000
+
+
+def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if its counted rows are few enough; otherwise joins shuffle it. df is best written before."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def free_name(names: list[str], base: str) -> str:
+    """base, with underscores until no column has this name."""
+    taken = {n.lower() for n in names}
+    while base.lower() in taken:
+        base += "_"
+    return base
