@@ -128,14 +128,17 @@ def recurring_lines(docs: DataFrame, min_docs: int = 3, long_tokens: int = 50, d
 def drop_recurring(docs: DataFrame, **settings) -> DataFrame:
     """docs (doc_id, text and any others) without recurring lines, and without the rows that have no words left."""
     names = docs.columns
-    doc, row, drop = (free_name(names, n) for n in ("_doc", "_row", "_gone"))
+    doc, row, drop, lines = (free_name(names, n) for n in ("_doc", "_row", "_gone", "_lines"))
     gone = recurring_lines(docs, **settings).select(F.col("doc_id").alias(doc), F.col("row").alias(row), F.col("gone").alias(drop))
-    out = docs.join(gone, (docs["doc_id"] == F.col(doc)) & (_row(docs["doc_id"], docs["text"]) == F.col(row)), "left")
-    lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop)
+    own = free_name(names, "_own")
+    # texts travel as lines, so that they are parted once
+    parted = docs.select(*[n for n in names if n != "text"], F.split("text", "\n").alias(lines), _row().alias(own))
+    out = parted.join(gone, (F.col("doc_id") == F.col(doc)) & (F.col(own) == F.col(row)), "left")
     changed = F.col(drop).isNotNull()
-    text = F.when(changed, F.concat_ws("\n", F.transform(kept, lambda i: F.get(lines, i)))).otherwise(F.col("text"))
-    out = out.withColumn("text", text).where(~changed | F.col("text").rlike(r"\S"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop)
+    out = out.where(~changed | F.exists(kept, lambda i: F.get(lines, i).rlike(r"\S")))
+    left = F.when(changed, F.transform(kept, lambda i: F.get(lines, i))).otherwise(F.col(lines))
+    out = out.withColumn("text", F.when(F.col(lines).isNotNull(), F.concat_ws("\n", left)))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*names)
