@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: words of the decontamination and licence contracts, after lower-casing A-Z
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: what stands between them; splitting at it is several times faster than extracting words
+NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

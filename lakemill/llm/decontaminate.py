@@ -1,18 +1,26 @@
 """Benchmark decontamination with a positional inverted index.
 
-The index maps terms to postings (document, position). Its terms are pairs of adjacent words, which are the words'
-own lists intersected at an offset of one while the postings are made: single words of a language are far too frequent
-to start from. Corpus frequencies of the benchmark's terms pick the rarest term of each window of ten item words; its
-postings, less the term's offset in the item, give the diagonals (document, item, position - offset) on which the item
-may stand. On these diagonals alone the remaining words' postings, shifted likewise, are intersected, and runs of
-matches as long as a window are exact occurrences; proximity asks that a window's words all lie within a slack.
-
-What is shuffled follows the diagonals found and not the corpus: only the postings of the rarest terms, and of
-documents with a diagonal, leave a task. A diagonal is one row however many windows it serves. Everything is native.
+The index is written once per call: of every row a block with the hashes of its words in order, from which a scan
+yields postings (term, row, position). Terms are pairs of adjacent words, which are the words' own lists intersected at
+an offset of one; single words of a language are far too frequent to start from. Corpus frequencies of the
+benchmark's terms pick the rarest term of each window of ten item words; its postings, less the term's offset in the
+item, give the diagonals (row, item, position - offset) on which the item may stand. On these diagonals alone the
+remaining words' postings, shifted likewise, are intersected, and runs of matches as long as a window are exact
+occurrences.
+
+Proximity: a window is near a start s of a row if one of its slack + 1 rarest terms stands at its own place, counted
+from s, and all its distinct words stand in the row between s - slack and s + window - 1 + slack. An insertion breaks
+one term, so of a window with up to slack insertions one of these terms is whole.
+
+Texts are tokenised once. What is shuffled follows the diagonals found and not the corpus: only the postings of the
+rarest terms, and of rows with a diagonal, leave a task. A diagonal is one row however many windows it serves.
+Everything is native. Words are compared by 64-bit hashes.
 
 Defined results: null text has no words; a row without words is never hit; an item of fewer than ten words is one
-window, an item without words has none; equal windows of several items count for each; repeated rows of a document
-give equal result rows; a benchmark without words hits nothing; an item_id that occurs twice counts once.
+window, an item without words has none; equal windows of several items count for each; every row is judged by its own
+text, also those with a null or a repeated doc_id; repeated rows give equal result rows; a benchmark without words hits
+nothing; an item_id that occurs twice counts once, and a null item_id counts as an item of no name; other columns are
+passed on by drop_contaminated, whatever their names; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -20,20 +28,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import ALNUM_WORD, lower_ascii, written
-
-#: terms whose postings stay small enough to be sent to every executor (about 100 bytes each)
-BROADCAST_TERMS = 200_000
+from lakemill.llm.common import NOT_ALNUM, free_name, lower_ascii, sized, written
 
 
 def words_of(col: Column) -> Column:
     """The words of a text, in order."""
-    return F.regexp_extract_all(lower_ascii(F.coalesce(col, F.lit(""))), F.lit(ALNUM_WORD), F.lit(0))
+    return F.filter(F.split(lower_ascii(F.coalesce(col, F.lit(""))), NOT_ALNUM), lambda x: x != "")
+
+
+def _hashed(col: Column) -> Column:
+    return F.transform(words_of(col), lambda x: F.xxhash64(x))
+
+
+def positional_index(docs: DataFrame) -> DataFrame:
+    """row (a number), doc_id, h (tells rows of one doc_id apart), n_words, w (the words' hashes): written, one block a row of docs."""
+    d = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("h"), _hashed(F.col("text")).alias("w"))
+    # the ids are those of the written table, whatever tasks were run twice
+    return written(d.select(F.monotonically_increasing_id().alias("row"), "doc_id", "h", F.size("w").alias("n_words"), "w"))
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """item (a number for each row, as ids may repeat), item_id, w (its words): the items that have words."""
-    b = benchmark.select("item_id", words_of(F.col("text")).alias("w")).where(F.size("w") > 0).distinct()
+    """item (a number for each id and text), item_id, w (its words' hashes): the items that have words."""
+    b = benchmark.select("item_id", _hashed(F.col("text")).alias("w")).where(F.size("w") > 0).distinct()
     return b.select(F.xxhash64("item_id", "w").alias("item"), "item_id", "w")
 
 
@@ -42,88 +58,98 @@ def _pairs(w: str) -> Column:
     return F.arrays_zip(F.col(w).alias("term"), F.slice(w, 2, F.greatest(F.size(w), F.lit(1))).alias("next"))
 
 
-def _sized(df: DataFrame, rows: int) -> DataFrame:
-    """df with a broadcast hint if its counted rows are few enough; otherwise joins shuffle it."""
-    return F.broadcast(df) if rows <= BROADCAST_TERMS else df
+def postings(index: DataFrame) -> DataFrame:
+    """row, pos, term, next of every word of the index."""
+    return index.select("row", F.posexplode(_pairs("w")).alias("pos", "p")).select("row", "pos", "p.term", "p.next")
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, term, next: the positional index of docs (doc_id, text)."""
-    w = docs.select("doc_id", words_of(F.col("text")).alias("w"))
-    return w.select("doc_id", F.posexplode(_pairs("w")).alias("pos", "p")).select("doc_id", "pos", "p.term", "p.next")
+def counted_terms(index: DataFrame, items: DataFrame) -> DataFrame:
+    """item, len, off, term, next, cf: the terms of the items with the number of their postings, 0 included."""
+    terms = items.select("item", F.size("w").alias("len"), F.posexplode(_pairs("w")).alias("off", "p")).select("item", "len", "off", "p.term", "p.next").where("next is not null")
+    kinds = written(terms.select("term", "next").distinct())
+    seen = postings(index).select("term", "next").join(sized(kinds), ["term", "next"], "left_semi").groupBy("term", "next").agg(F.count("*").alias("cf"))
+    return written(terms.join(sized(written(seen)), ["term", "next"], "left").select("item", "len", "off", "term", "next", F.coalesce("cf", F.lit(0)).alias("cf")))
 
 
-def anchors(docs: DataFrame, items: DataFrame, length: int, exact: bool = True) -> DataFrame:
-    """item, first, n, off, term, next: of every window (its first word and size) the rarest term and its place in the item.
+def anchors(terms: DataFrame, items: DataFrame, length: int, tries: int = 1) -> DataFrame:
+    """item, first, n, off, term, next: of every window (its first word and size) the `tries` rarest terms and their places in the item.
 
-    Terms that the corpus lacks are no anchors; for exact matches a window with such a term cannot occur and is left
-    out. A window of one word has a null next.
+    Terms without postings are left out, and with tries = 1, for exact matches, so are windows that hold such a term. A
+    window of one word has a null next.
     """
-    terms = items.select("item", F.size("w").alias("len"), F.posexplode(_pairs("w")).alias("off", "p")).select("item", "len", "off", "p.term", "p.next")
-    kinds = written(terms.where("next is not null").select("term", "next").distinct())
-    seen = postings(docs.select("doc_id", "text")).select("term", "next").join(_sized(kinds, kinds.count()), ["term", "next"], "left_semi").groupBy("term", "next").agg(F.count("*").alias("cf"))
-    counted = terms.where("next is not null").join(seen, ["term", "next"])
     n = F.least(F.col("len"), F.lit(length))
     # a window holds the terms that begin in it, but for its last word
-    spread = counted.select("item", n.alias("n"), "off", "term", "next", "cf", F.explode(F.sequence(F.greatest(F.lit(0), F.col("off") - n + 2), F.least(F.col("off"), F.col("len") - n))).alias("first"))
-    rare = spread.groupBy("item", "first", "n").agg(F.min(F.struct("cf", "off", "term", "next")).alias("a"), F.count("*").alias("known"))
-    rare = rare.where("known = n - 1") if exact else rare
-    single = terms.where("len = 1").select("item", F.lit(0).alias("first"), F.lit(1).alias("n"), "off", "term", "next")
-    return written(rare.select("item", "first", "n", "a.off", "a.term", "a.next").unionByName(single))
+    spread = terms.select("item", n.alias("n"), "off", "term", "next", "cf", F.explode(F.sequence(F.greatest(F.lit(0), F.col("off") - n + 2), F.least(F.col("off"), F.col("len") - n))).alias("first"))
+    rare = spread.groupBy("item", "first", "n").agg(F.sort_array(F.collect_list(F.struct("cf", "off", "term", "next"))).alias("all"))
+    rare = rare.select("item", "first", "n", F.explode(F.slice("all", 1, tries)).alias("a")).where("a.cf > 0").select("item", "first", "n", "a.off", "a.term", "a.next")
+    single = items.where("size(w) = 1").select("item", F.lit(0).alias("first"), F.lit(1).alias("n"), F.lit(0).alias("off"), F.get("w", F.lit(0)).alias("term"), F.lit(None).cast("long").alias("next"))
+    return rare.unionByName(single)
 
 
-def places(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id and the columns of anchors, with diag: where each window's rarest term puts its item's first word."""
-    base = docs.select("doc_id", "text")
+def places(index: DataFrame, found: DataFrame) -> DataFrame:
+    """row and the columns of anchors, with diag: where each window's term puts its item's first word."""
+    found = written(found)
     two, one = found.where("next is not null"), found.where("next is null")
-    out = postings(base).join(_sized(two, two.count()), ["term", "next"])
-    if (n := one.count()):  # items of a single word
-        out = out.unionByName(postings(base).drop("next").join(_sized(one, n), "term").select(*out.columns))
-    return out.select("doc_id", "item", "first", "n", (F.col("pos") - F.col("off")).alias("diag")).where("diag + first >= 0")
+    out = postings(index).join(sized(two), ["term", "next"])
+    if one.head(1):  # items of a single word
+        out = out.unionByName(postings(index).drop("next").join(sized(one), "term").select(*out.columns))
+    return out.select("row", "item", "first", "n", (F.col("pos") - F.col("off")).alias("diag")).where("diag + first >= 0")
+
+
+def _blocks(index: DataFrame, rows: DataFrame) -> DataFrame:
+    """row, pos, term of the rows listed (distinct, written)."""
+    few = index.select("row", "w").join(sized(rows), "row", "left_semi")
+    return few.select("row", F.posexplode("w").alias("pos", "term"))
 
 
-def exact_matches(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
-    """doc_id, item, start, n: every longest run of an item's words in a document that is a window or more."""
+def exact_matches(index: DataFrame, items: DataFrame, terms: DataFrame, length: int = 10) -> DataFrame:
+    """row, item, start, n: every longest run of an item's words in a row that is a window or more."""
     # one row for each place of the item, with the last window that it serves
-    rare = written(anchors(docs, items, length).groupBy("item", "off", "term", "next").agg(F.max("first").alias("first"), F.max("n").alias("n")))
-    diagonals = written(places(docs, rare).select("doc_id", "item", "diag").distinct())
-    # the item may begin before the document does
-    need = diagonals.join(items.select("item", "w"), "item").select("doc_id", "item", "diag", F.size("w").alias("len"), F.posexplode("w").alias("off", "term")).withColumn("pos", F.col("diag") + F.col("off")).where("pos >= 0")
-    few = docs.select("doc_id", "text").join(diagonals.select("doc_id").distinct(), "doc_id", "left_semi")
-    index = few.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "term")).distinct()
-    hit = need.join(index, ["doc_id", "pos", "term"]).select("doc_id", "item", "diag", "len", "pos")
-    run = F.col("pos") - F.row_number().over(Window.partitionBy("doc_id", "item", "diag").orderBy("pos"))
-    runs = hit.withColumn("run", run).groupBy("doc_id", "item", "diag", "run", "len").agg(F.min("pos").alias("start"), F.count("*").alias("n"))
-    return runs.where(F.col("n") >= F.least(F.col("len"), F.lit(length))).select("doc_id", "item", "start", F.col("n").cast("int").alias("n"))
-
-
-def proximity_matches(docs: DataFrame, items: DataFrame, length: int = 10, slack: int = 3) -> DataFrame:
-    """doc_id, item, first, start: windows all of whose distinct words stand within slack words of where the window would."""
-    cand = written(places(docs, anchors(docs, items, length, exact=False)).distinct().withColumn("start", F.col("diag") + F.col("first")))
-    ws = F.array_distinct(F.slice("w", F.col("first") + 1, F.col("n")))
-    need = cand.join(items.select("item", "w"), "item").select("doc_id", "item", "first", "start", "n", F.size(ws).alias("kinds"), F.explode(ws).alias("term"))
-    few = docs.select("doc_id", "text").join(cand.select("doc_id").distinct(), "doc_id", "left_semi")
-    index = few.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "term"))
-    near = need.join(index, ["doc_id", "term"]).where(F.col("pos").between(F.col("start") - slack, F.col("start") + F.col("n") - 1 + slack))
-    return near.groupBy("doc_id", "item", "first", "start", "kinds").agg(F.count_distinct("term").alias("found")).where("found = kinds").select("doc_id", "item", "first", "start")
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
-    """Per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    base = docs.select("doc_id", "text")
-    items = written(items_of(benchmark))
-    hits = written(exact_matches(base, items, length))
+    rare = anchors(terms, items, length).groupBy("item", "off", "term", "next").agg(F.max("first").alias("first"), F.max("n").alias("n"))
+    diagonals = written(places(index, rare).select("row", "item", "diag").distinct())
+    # the item may begin before the row does
+    need = diagonals.join(items.select("item", "w"), "item").select("row", "item", "diag", F.size("w").alias("len"), F.posexplode("w").alias("off", "term")).withColumn("pos", F.col("diag") + F.col("off")).where("pos >= 0")
+    hit = need.join(_blocks(index, written(diagonals.select("row").distinct())), ["row", "pos", "term"]).select("row", "item", "diag", "len", "pos")
+    run = F.col("pos") - F.row_number().over(Window.partitionBy("row", "item", "diag").orderBy("pos"))
+    runs = hit.withColumn("run", run).groupBy("row", "item", "diag", "run", "len").agg(F.min("pos").alias("start"), F.count("*").alias("n"))
+    return runs.where(F.col("n") >= F.least(F.col("len"), F.lit(length))).select("row", "item", "start", F.col("n").cast("int").alias("n"))
+
+
+def proximity_matches(index: DataFrame, items: DataFrame, terms: DataFrame, length: int = 10, slack: int = 3) -> DataFrame:
+    """row, item, first, start: the windows that are near a start of a row."""
+    cand = places(index, anchors(terms, items, length, slack + 1)).select("row", "item", "first", "n", (F.col("diag") + F.col("first")).alias("start")).distinct()
+    cand = written(cand)
+    need = cand.join(items.select("item", "w"), "item").withColumn("ws", F.array_distinct(F.slice("w", F.col("first") + 1, F.col("n"))))
+    need = need.select("row", "item", "first", "start", "ws", F.explode(F.sequence(F.greatest(F.lit(0), F.col("start") - slack), F.col("start") + F.col("n") - 1 + slack)).alias("pos"))
+    near = need.join(_blocks(index, written(cand.select("row").distinct())), ["row", "pos"]).where(F.array_contains("ws", F.col("term")))
+    near = near.groupBy("row", "item", "first", "start", F.size("ws").alias("kinds")).agg(F.count_distinct("term").alias("found"))
+    return near.where("found = kinds").select("row", "item", "first", "start")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10, slack: int = 3) -> DataFrame:
+    """Per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near (items with a window near a start of the row)."""
+    index, items = positional_index(docs.select("doc_id", "text")), written(items_of(benchmark))
+    terms = counted_terms(index, items)
+    hits = written(exact_matches(index, items, terms, length))
+    name = items.select("item", F.col("item_id").cast("string").alias("item_id"))
     # words covered by the union of the occurrences
-    words_hit = hits.select("doc_id", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("pos")).distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-    items = hits.select("doc_id", "item").distinct().join(items.select("item", "item_id"), "item").select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
-    # a document's items are at most the benchmark's
-    items = items.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.concat_ws(",", F.sort_array(F.collect_list("item"))).alias("ids"))
-    found = words_hit.join(items, "doc_id")
-    out = base.select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words")).join(found, "doc_id", "left")
-    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"))
+    words_hit = hits.select("row", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("pos")).distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
+    # a row's items are at most the benchmark's
+    ids = hits.select("row", "item").distinct().join(name, "item").groupBy("row").agg(F.sort_array(F.collect_set(F.coalesce("item_id", F.lit("")))).alias("ids"))
+    near = proximity_matches(index, items, terms, length, slack).select("row", "item").distinct().join(name, "item").groupBy("row").agg(F.count_distinct(F.coalesce("item_id", F.lit(""))).alias("n_near"))
+    out = index.select("row", "doc_id", F.col("n_words").cast("long").alias("n_words")).join(words_hit, "row", "left").join(ids, "row", "left").join(near, "row", "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return out.select(
+        "doc_id", "n_words", count(F.col("n_hit")).alias("n_hit"), F.size(F.coalesce("ids", F.array().cast("array<string>"))).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.concat_ws(",", "ids"), F.lit("")), 256).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"), count(F.col("n_near")).alias("n_near"),
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
     """The rows of docs, unchanged, in which no window of the benchmark occurs."""
-    hits = exact_matches(docs.select("doc_id", "text"), written(items_of(benchmark)), length)
-    return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    index, items = positional_index(docs.select("doc_id", "text")), written(items_of(benchmark))
+    hits = exact_matches(index, items, counted_terms(index, items), length).select("row").distinct()
+    doc, own, h = (free_name(docs.columns, n) for n in ("_doc", "_own", "_h"))
+    gone = written(index.select("row", F.col("doc_id").alias(doc), F.col("h").alias(h)).join(hits, "row", "left_semi").select(doc, h).distinct())
+    rows = docs.withColumn(own, F.xxhash64("doc_id", "text"))
+    return rows.join(sized(gone), (F.col(own) == F.col(h)) & F.col("doc_id").eqNullSafe(F.col(doc)), "left_anti").select(*docs.columns)
