@@ -119,11 +119,13 @@ def proximity_matches(index: DataFrame, items: DataFrame, terms: DataFrame, leng
     """row, item, first, start: the windows that are near a start of a row."""
     cand = places(index, anchors(terms, items, length, slack + 1)).select("row", "item", "first", "n", (F.col("diag") + F.col("first")).alias("start")).distinct()
     cand = written(cand)
-    need = cand.join(items.select("item", "w"), "item").withColumn("ws", F.array_distinct(F.slice("w", F.col("first") + 1, F.col("n"))))
-    need = need.select("row", "item", "first", "start", "ws", F.explode(F.sequence(F.greatest(F.lit(0), F.col("start") - slack), F.col("start") + F.col("n") - 1 + slack)).alias("pos"))
-    near = need.join(_blocks(index, written(cand.select("row").distinct())), ["row", "pos"]).where(F.array_contains("ws", F.col("term")))
-    near = near.groupBy("row", "item", "first", "start", F.size("ws").alias("kinds")).agg(F.count_distinct("term").alias("found"))
-    return near.where("found = kinds").select("row", "item", "first", "start")
+    ws = F.array_distinct(F.slice("w", F.col("first") + 1, F.col("n")))
+    need = cand.join(sized(items).select("item", "w"), "item").select("row", "item", "first", "start", "n", ws.alias("ws"))
+    # only the words around a start are looked at; blocks meet their candidates whole, and no position is a row
+    begin = F.greatest(F.col("start") - slack, F.lit(0))
+    around = F.slice("w", begin + 1, F.col("start") + F.col("n") + slack - begin)
+    near = need.join(index.select("row", "w"), "row").where(F.size(F.array_except("ws", around)) == 0)
+    return near.select("row", "item", "first", "start")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10, slack: int = 3) -> DataFrame:
