@@ -6,8 +6,10 @@ the rest, and is kept while it is precise enough. Each step is one Spark aggrega
 ``len(STATS) * bins`` counts. The list becomes one ordered conditional expression (CASE WHEN ... THEN reject).
 
 Defined results: a null or empty text has no words, and so fails the base rule; statistics that divide by zero are 0;
-rows with a null label teach nothing; without labelled rows, or without a rule precise enough, the list is empty and
-keeps every row that passes the base rule.
+rows with a null label teach nothing; a document labelled twice is learned with its larger label; without labelled
+rows, or without a rule precise enough, the list is empty and keeps every row that passes the base rule; every row is
+judged by its own text, also those with a null or a repeated doc_id; an empty table gives an empty one; other columns
+of docs are ignored.
 """
 
 from __future__ import annotations
@@ -41,8 +43,11 @@ def text_stats(docs: DataFrame) -> DataFrame:
     # one 64-bit hash for each window of three words; equal neighbours in sorted order are the repeated ones
     d = d.withColumn("h", F.when(F.col("n_words") >= 3, F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)))).otherwise(F.array().cast("array<bigint>")))
     d = d.withColumn("s", F.sort_array("h"))
-    d = d.withColumn("twice", F.array_distinct(F.filter("s", lambda x, i: (i > 0) & (x == F.get("s", i - 1)))))
-    d = d.withColumn("at", F.when(F.size("twice") > 0, F.filter(F.transform("h", lambda x, i: F.when(F.array_contains("twice", x), i)), lambda x: x.isNotNull())).otherwise(F.array().cast("array<int>")))
+    # only a text with a repeated window has them sorted again, with their places
+    d = d.withColumn("any", F.size("s") > F.size(F.array_distinct("s")))
+    d = d.withColumn("p", F.when(F.col("any"), F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
+    twice = F.filter("p", lambda y, i: ((i > 0) & (y["x"] == F.get("p", i - 1)["x"])) | (F.coalesce(y["x"] == F.get("p", i + 1)["x"], F.lit(False))))
+    d = d.withColumn("at", F.coalesce(F.sort_array(F.transform(twice, lambda y: y["i"])), F.array().cast("array<int>")))
     # every start covers three words, or as many as lie before the next start
     covered = F.aggregate(F.transform("at", lambda x, i: F.least(F.lit(3), F.coalesce(F.get("at", i + 1) - x, F.lit(3)))), F.lit(0), lambda a, x: a + x)
     d = d.withColumn("n_repeat_words", covered.cast("long"))
@@ -78,9 +83,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int) -> DataF
 
 def learn(sample: DataFrame, bins: int = 24, max_rules: int = 6, max_tests: int = 3, min_precision: float = 0.9, min_rows: int = 5) -> list[list[tuple[str, str, float]]]:
     """The decision list: each rule is a list of (statistic, '>' or '<=', threshold) that together mean reject."""
-    cuts = sample.agg(*[F.percentile_approx(c, [i / bins for i in range(1, bins)], 1000).alias(c) for c in STATS]).first()
+    # most statistics are 0 in most texts: their cut points are 0 and the quantiles of what is not 0
+    some = {c: F.when(F.col(c) > 0, F.col(c)) for c in STATS}
+    cuts = sample.agg(*[F.percentile_approx(some[c], [i / bins for i in range(1, bins)], 1000).alias(c) for c in STATS]).first()
     # each statistic becomes the number of its cut points below the value
-    edges = {c: sorted(set(cuts[c] or [])) for c in STATS}
+    edges = {c: sorted({0.0, *(cuts[c] or [])}) for c in STATS}
     level = {c: sum([(F.col(c) > e).cast("int") for e in edges[c]], F.lit(0)) for c in STATS}
     grow = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) < 2
     data = written(sample.select("doc_id", "y", grow.alias("grow"), *[level[c].alias(c) for c in STATS]))
@@ -115,7 +122,7 @@ def learn(sample: DataFrame, bins: int = 24, max_rules: int = 6, max_tests: int
                 for k, bad, good in by[c][:-1]:
                     p, n = p + bad, n + good
                     for op, pp, nn in (("<=", p, n), (">", p0 - p, n0 - n)):
-                        if pp >= min_rows and (g := gain(pp, nn, p0, n0)) > best[0] + 1e-9:
+                        if pp >= min_rows and nn < n0 and (g := gain(pp, nn, p0, n0)) > best[0] + 1e-9:
                             best = (g, (c, op, k))
             if best[1] is None:
                 break
