@@ -19,9 +19,9 @@ import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -333,11 +333,6 @@ def compile_template(source: str) -> Callable[[Iterable[dict]], Iterator[Piece]]
 PART = 1 << 20
 
 
-def _id(x):
-    """An id as pandas hands it over; a column with nulls has come as floats."""
-    return None if pd.isna(x) else int(x) if isinstance(x, float) else x
-
-
 def format_conversations(rows: DataFrame, template: str = TEMPLATE) -> DataFrame:
     """conv_id, part, formatted, loss_start, loss_end of each conversation of rows (conv_id, turn, role, text).
 
@@ -350,9 +345,13 @@ def format_conversations(rows: DataFrame, template: str = TEMPLATE) -> DataFrame
     # rows stream through in order
     dealt = text.repartition(F.col("conv_id")).sortWithinPartitions("conv_id", "turn", "role", "text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         render = compile_template(template)
-        stream = ((_id(c), r, t) for b in batches for c, r, t in zip(b["conv_id"], b["role"], b["text"]))
+        first = next(batches, None)
+        if first is None:
+            return
+        id_type = first.schema.field(0).type
+        stream = (x for b in chain((first,), batches) for x in zip(*(c.to_pylist() for c in b.columns)))
         out: list[tuple] = []
         size = 0
         for conv, messages in groupby(stream, key=lambda x: x[0]):
@@ -361,7 +360,7 @@ def format_conversations(rows: DataFrame, template: str = TEMPLATE) -> DataFrame
                 if n and n + len(piece) > PART:
                     out.append((conv, part, "".join(buf), [s for s, _ in spans], [e for _, e in spans]))
                     size, part, buf, n, spans = size + n, part + 1, [], 0, []
-                    yield _frame(out)
+                    yield _batch(out, id_type)
                     out, size = [], 0
                 if marked and piece:
                     if spans and spans[-1][1] == n:
@@ -373,18 +372,18 @@ def format_conversations(rows: DataFrame, template: str = TEMPLATE) -> DataFrame
             out.append((conv, part, "".join(buf), [s for s, _ in spans], [e for _, e in spans]))
             size += n
             if size > PART:
-                yield _frame(out)
+                yield _batch(out, id_type)
                 out, size = [], 0
         if out:
-            yield _frame(out)
+            yield _batch(out, id_type)
 
-    return dealt.select("conv_id", "role", "text").mapInPandas(run, f"conv_id {kind}, part int, formatted string, loss_start array<int>, loss_end array<int>")
+    return dealt.select("conv_id", "role", "text").mapInArrow(run, f"conv_id {kind}, part int, formatted string, loss_start array<int>, loss_end array<int>")
 
 
-def _frame(out: list[tuple]) -> pd.DataFrame:
-    f = pd.DataFrame(out, columns=["conv_id", "part", "formatted", "loss_start", "loss_end"])
-    f["conv_id"] = f["conv_id"].astype(object)
-    return f
+def _batch(out: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+    """Rows as Arrow: ids keep their type, with or without nulls."""
+    types = [id_type, pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["conv_id", "part", "formatted", "loss_start", "loss_end"])
 
 
 @dataclass
@@ -414,23 +413,35 @@ class _Reader:
         self.loss_sha.update(plain.encode("utf-8", "surrogatepass"))
 
 
-def read_back(parts: DataFrame) -> DataFrame:
-    """n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, read from format_conversations' output alone."""
+def read_back(parts: DataFrame, ordered: bool = False) -> DataFrame:
+    """n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, read from format_conversations' output alone.
+
+    ordered: parts come straight from format_conversations, whose partitions hold whole conversations in order.
+    """
     kind = parts.schema["conv_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stream = ((_id(c), t, list(zip(s, e))) for b in batches for c, t, s, e in zip(b["conv_id"], b["formatted"], b["loss_start"], b["loss_end"]))
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        out = []
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    # parts that come from files may lie in any order and place
+    dealt = parts.select("conv_id", "part", "formatted", "loss_start", "loss_end")
+    if not ordered:
+        dealt = dealt.repartition(F.col("conv_id")).sortWithinPartitions("conv_id", "part")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next(batches, None)
+        if first is None:
+            return
+        types = [first.schema.field(0).type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        stream = (x for b in chain((first,), batches) for x in zip(*(c.to_pylist() for c in b.columns)))
+        out: list[tuple] = []
         for conv, group in groupby(stream, key=lambda x: x[0]):
             r = _Reader()
-            for _, text, spans in group:
-                r.feed(text, spans)
+            for _, _, text, start, end in group:
+                r.feed(text, list(zip(start, end)))
             out.append((conv, r.turns, r.turn_sha.hexdigest(), r.loss, r.loss_sha.hexdigest(), r.chars))
             if len(out) == 5000:
-                yield pd.DataFrame(out, columns=names).astype({"conv_id": object})
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
                 out = []
         if out:
-            yield pd.DataFrame(out, columns=names).astype({"conv_id": object})
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    return parts.mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return dealt.mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -6,7 +6,8 @@ the distance is the sum of rank differences, and an n-gram the profile lacks cos
 
 Defined results: text null or without a letter gives ``und`` with score 0; ties between n-grams go to the smaller code,
 ties between languages to the smaller name; rows with null lang or null text teach nothing; without any learned
-profile every row is ``und``. The score is 1 minus the distance over the largest possible one.
+profile every row is ``und``; every row is judged by its own text, also those with a null or a repeated doc_id; more
+than ``max_langs`` different values of lang are an error; an empty table gives an empty one; other columns are ignored. The score is 1 minus the distance over the largest possible one.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import chunks, crc_mod
+from lakemill.llm.common import chunks, crc_mod, written
 
 SIZE = 300
 _BITS = np.uint64(21)
@@ -68,7 +70,7 @@ def top(keys: np.ndarray, size: int) -> np.ndarray:
     return kind[np.lexsort((kind, -count))][:size]
 
 
-def profiles(docs: DataFrame, size: int = SIZE) -> dict[str, list[int]]:
+def profiles(docs: DataFrame, size: int = SIZE, max_langs: int = 2000) -> dict[str, list[int]]:
     """The top n-gram codes of each language of docs (text, lang); at most `size` codes a language reach the driver."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,7 +85,10 @@ def profiles(docs: DataFrame, size: int = SIZE) -> dict[str, list[int]]:
     counts = docs.where("lang is not null and text is not null").select("lang", "text").mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # negative codes are 3-grams: as unsigned numbers they come last, as in top()
     order = Window.partitionBy("lang").orderBy(F.desc("n"), (F.col("gram") < 0).cast("int"), "gram")
-    best = counts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= size)
+    best = written(counts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= size))
+    # a profile is a few KB; a column with this many names holds no languages
+    if (n := best.agg(F.count_distinct("lang")).first()[0]) > max_langs:
+        raise ValueError(f"{n} languages to learn; at most {max_langs} are sent to the executors")
     out: dict[str, list[int]] = {}
     for row in best.orderBy("lang", "r").collect():
         out.setdefault(row["lang"], []).append(row["gram"])
@@ -117,14 +122,15 @@ def predict(docs: DataFrame, learned: dict[str, list[int]], size: int = SIZE) ->
     """doc_id, lang_pred, score of every row of docs (doc_id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(learned)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker, known = Ranker(shared.value, size), {}
         for b in batches:
-            got = [ranker.best(ngrams(t, known)) if t else ("und", 0.0) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "lang_pred": [g[0] for g in got], "score": [g[1] for g in got]})
+            got = [ranker.best(ngrams(t, known)) if t else ("und", 0.0) for t in b.column(1).to_pylist()]
+            # ids stay in Arrow: pandas would turn a column of numbers with a null into floats
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, size: int = SIZE) -> DataFrame:

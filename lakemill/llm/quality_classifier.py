@@ -5,7 +5,9 @@ sparse dot product in Arrow batches. The model is one float vector of ``2**bits`
 executors does not grow with the input.
 
 Defined results: a null or empty text has the bias as its only feature; rows with a null label are not learned from;
-a document labelled twice is learned with its larger label; without any labelled row every score is 0.5.
+a document labelled twice is learned with its larger label; without any labelled row every score is 0.5; every row
+is scored by its own text, also those with a null or a repeated doc_id; other columns are passed on by keep_good
+unchanged, whatever their types and names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,27 +71,27 @@ def features(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return offsets, bucket, value
 
 
-def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], p: Ftrl) -> np.ndarray:
-    """Weights after p.epochs passes of FTRL-proximal over (buckets, values, label)."""
-    z, n = np.zeros(1 << p.bits), np.zeros(1 << p.bits)
-    ones = sum(y for *_, y in examples)
-    if not examples:
-        return z.astype(np.float32)
-    weight = (len(examples) / (2 * max(1, len(examples) - ones)), len(examples) / (2 * max(1, ones)))  # both classes count alike
+class Learner:
+    """FTRL-proximal, one example after the other."""
 
-    def current(i: np.ndarray) -> np.ndarray:
-        zi = z[i]
-        w = (np.sign(zi) * p.l1 - zi) / ((p.beta + np.sqrt(n[i])) / p.alpha + p.l2)
+    def __init__(self, p: Ftrl, zeros: int, ones: int):
+        self.p, self.z, self.n = p, np.zeros(1 << p.bits), np.zeros(1 << p.bits)
+        self.weight = ((zeros + ones) / (2 * max(1, zeros)), (zeros + ones) / (2 * max(1, ones)))  # both classes count alike
+
+    def current(self, i: np.ndarray) -> np.ndarray:
+        zi, p = self.z[i], self.p
+        w = (np.sign(zi) * p.l1 - zi) / ((p.beta + np.sqrt(self.n[i])) / p.alpha + p.l2)
         return np.where(np.abs(zi) <= p.l1, 0.0, w)
 
-    for _ in range(p.epochs):
-        for i, x, y in examples:
-            w = current(i)
-            g = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - y) * x * weight[y]
-            sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / p.alpha
-            z[i] += g - sigma * w
-            n[i] += g * g
-    return current(np.arange(1 << p.bits)).astype(np.float32)
+    def learn(self, i: np.ndarray, x: np.ndarray, y: int) -> None:
+        w = self.current(i)
+        g = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - y) * x * self.weight[y]
+        sigma = (np.sqrt(self.n[i] + g * g) - np.sqrt(self.n[i])) / self.p.alpha
+        self.z[i] += g - sigma * w
+        self.n[i] += g * g
+
+    def weights(self) -> np.ndarray:
+        return self.current(np.arange(1 << self.p.bits)).astype(np.float32)
 
 
 def _with_bias(i: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,13 +116,19 @@ def train(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl(), label: str = "qu
                 off, i, x = features(texts[a:z], p.bits)
                 yield pd.DataFrame({"h": b["h"].to_numpy()[a:z], "y": b["_y"].to_numpy()[a:z], "i": [i[s:e].astype(np.int32) for s, e in zip(off[:-1], off[1:])], "x": [x[s:e] for s, e in zip(off[:-1], off[1:])]})
 
+    zeros, ones = chosen.agg(F.count_if(F.col("_y") == 0), F.count_if(F.col("_y") != 0)).first()
+
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [(h, *_with_bias(np.asarray(i, np.int64), np.asarray(x)), int(y)) for b in batches for h, y, i, x in zip(b["h"], b["y"], b["i"], b["x"])]
-        rows.sort(key=lambda r: r[0])
-        yield pd.DataFrame({"w": [fit([r[1:] for r in rows], p).tobytes()]})
+        m = Learner(p, zeros, ones)
+        for b in batches:
+            for i, x, y in zip(b["i"], b["x"], b["y"]):
+                m.learn(*_with_bias(np.asarray(i, np.int64), np.asarray(x)), int(y))
+        yield pd.DataFrame({"w": [m.weights().tobytes()]})
 
     vectors = sample.mapInPandas(grams, "h long, y int, i array<int>, x array<double>")
-    got = vectors.repartition(1).mapInPandas(learn, "w binary").collect()
+    # every epoch goes through the sample in the order of its hashes; rows stream through the one task
+    turns = vectors.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(p.epochs)))).repartition(1).sortWithinPartitions("epoch", "h", "y")
+    got = turns.select("y", "i", "x").mapInPandas(learn, "w binary").collect() if zeros + ones else []
     return np.frombuffer(got[0]["w"], np.float32) if got else np.zeros(1 << p.bits, np.float32)
 
 
@@ -127,20 +136,22 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = Ftrl.bits, keep: tup
     """The columns `keep` of docs and, under `name`, the probability of label 1, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     fields = [f for f in docs.schema.fields if f.name in keep]
+    columns = list(dict.fromkeys([f.name for f in fields] + ["text"]))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value.astype(np.float64)
         for b in batches:
-            texts = b["text"].fillna("").tolist()
+            texts = [t or "" for t in b.column(columns.index("text")).to_pylist()]
             out = np.empty(len(texts))
-            for a, z in chunks(texts):
+            for a, z in chunks(texts, 1 << 19):
                 off, i, x = features(texts[a:z], bits)
                 dots = np.concatenate(([0.0], np.cumsum(w[i] * x)))
                 out[a:z] = 1 / (1 + np.exp(-np.clip(w[0] + dots[off[1:]] - dots[off[:-1]], -30, 30)))
-            yield b[[f.name for f in fields]].assign(**{name: out})
+            # what is kept stays in Arrow, whatever its type
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(fields)], pa.array(out)], names=[*(f.name for f in fields), name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{name}` double"
-    return docs.select(*dict.fromkeys([f.name for f in fields] + ["text"])).mapInPandas(run, schema)
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFrame:

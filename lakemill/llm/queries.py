@@ -50,7 +50,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
-    return chat_template.read_back(chat_template.format_conversations(rows.unionByName(probe)))
+    return chat_template.read_back(chat_template.format_conversations(rows.unionByName(probe)), ordered=True)
 
 
 QUERIES = {
