@@ -46,7 +46,27 @@ def test_band_distance_is_the_edit_distance():
         b = [x for x in a if r.random() < 0.8] + [r.randrange(4) for _ in range(r.randrange(3))]
         most = r.randrange(6)
         d = distance(a, b)
-        assert near_dedup.band_distance(a, b, most) == (d if d <= most else None)
+        assert near_dedup.band_distance(np.array(a, np.uint64), np.array(b, np.uint64), most) == (d if d <= most else None)
+    # wide bands
+    for _ in range(60):
+        a = [r.randrange(30) for _ in range(r.randrange(60, 140))]
+        b = [x for x in a if r.random() < 0.9]
+        for _ in range(r.randrange(12)):
+            b.insert(r.randrange(len(b) + 1), r.randrange(30))
+        most, d = r.randrange(40), distance(a, b)
+        assert near_dedup.band_distance(np.array(a, np.uint64), np.array(b, np.uint64), most) == (d if d <= most else None)
+
+
+def test_band_distance_of_long_texts_is_quick():
+    import time
+
+    r = np.random.default_rng(3)
+    a = r.integers(0, 5000, 20_000).astype(np.uint64)
+    b = a.copy()
+    at = r.choice(20_000, 3000, replace=False)
+    b[at] = r.integers(5000, 9000, 3000)
+    start = time.process_time()
+    assert near_dedup.band_distance(a, b, 4000) == 3000 and time.process_time() - start < 2
 
 
 def test_near_duplicates(spark):
@@ -85,7 +105,7 @@ def test_buckets_are_exhausted(spark):
             if any(x == y for x, y in zip(sk[a], sk[b])) and sum(x != y for x, y in zip(texts[a].split(), texts[b].split())) <= 30:
                 old, new = max(cls[a], cls[b]), min(cls[a], cls[b])
                 cls = [new if c == old else c for c in cls]
-    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_duplicates(d).collect()}
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_duplicates(d, m=24).collect()}
     assert [got[i] for i in range(150)] == cls and len(set(cls)) < 75
 
 
@@ -183,26 +203,86 @@ def test_segmentations_decode_and_differ(spark):
     assert all(tuple(r["ids"]) == again[r["doc_id"], r["sample_no"]] for r in out)
 
 
+def sampled(texts, keys, k):
+    """Per text the list of (ids, log probability, perturbed value) and the threshold."""
+    paths, kappa = piece_sampling.sample(texts, keys, k, lat := piece_sampling.Lattice())
+    out = []
+    for i in range(len(texts)):
+        own = [p for p in paths if p.value[i] > -np.inf]
+        out.append(([(tuple(lat.id[p.edge[p.offset[i] : p.offset[i + 1]]].tolist()), p.logp[i], p.value[i]) for p in own], kappa[i]))
+    return out
+
+
+def enumerated(text):
+    """All segmentations of a text with their probabilities, unit by unit, from the vocabulary itself."""
+    pieces, raw, _ = piece_sampling.vocabulary(piece_sampling.MODEL)
+
+    def unit(u):
+        if not u:
+            return [((), 0.0)]
+        heads = [(1, tuple(raw[x] for x in u[0].encode()), piece_sampling.FALLBACK / 2)] if u[0] not in pieces else []
+        heads += [(n, (pieces[u[:n]][0],), pieces[u[:n]][1] / 2) for n in range(1, len(u) + 1) if u[:n] in pieces]
+        return [(ids + more, w + v) for n, ids, w in heads for more, v in unit(u[n:])]
+
+    out = [((), 0.0)]
+    for u in re.findall(r" *[^ ]+| +", text):
+        out = [(a + b, v + w) for a, v in out for b, w in unit(u)]
+    total = np.logaddexp.reduce([w for _, w in out])
+    return {ids: w - total for ids, w in out}
+
+
 def test_sampling_follows_the_lattice():
-    """First samples come with their exact probabilities, and a pair's second is drawn from what the first leaves."""
+    """Samples are the lattice's segmentations with their exact probabilities; a second is drawn from what the first leaves."""
     n, text = 4000, "hello the"
-    got = piece_sampling.sample([text] * n, piece_sampling.mix(np.arange(n, dtype=np.uint64)), 2)
-    first = {}
-    for f in got:
-        ids, lp, _ = f[0]
-        first.setdefault(tuple(ids), [0, lp])[0] += 1
-        assert f[0][2] > f[1][2] > f[2][2]
-    assert sum(np.exp(lp) for _, lp in first.values()) == pytest.approx(1, abs=0.05)
-    for c, lp in first.values():
+    every, keys = enumerated(text), piece_sampling.mix(np.arange(n, dtype=np.uint64))
+    got = sampled([text] * n, keys, 2)
+    first, pairs = {}, {}
+    for (a, b), kappa in got:
+        assert a[2] > b[2] > kappa and a[0] != b[0]
+        assert a[1] == pytest.approx(every[a[0]]) and b[1] == pytest.approx(every[b[0]])
+        first[a[0]] = first.get(a[0], 0) + 1
+        pairs[a[0], b[0]] = pairs.get((a[0], b[0]), 0) + 1
+    for ids, lp in every.items():
         p = np.exp(lp)
-        assert abs(c - n * p) < 5 * (n * p * (1 - p)) ** 0.5 + 3
-    pairs = {}
-    for f in got:
-        pairs[tuple(f[0][0]), tuple(f[1][0])] = pairs.get((tuple(f[0][0]), tuple(f[1][0])), 0) + 1
+        assert abs(first.get(ids, 0) - n * p) < 5 * (n * p * (1 - p)) ** 0.5 + 3
     for (a, b), c in pairs.items():
-        if b in first:
-            p = np.exp(first[a][1]) * np.exp(first[b][1]) / (1 - np.exp(first[a][1]))
-            assert abs(c - n * p) < 5 * (n * p) ** 0.5 + 3
+        p = np.exp(every[a] + every[b]) / (1 - np.exp(every[a]))
+        assert abs(c - n * p) < 5 * (n * p) ** 0.5 + 3
+
+
+def test_all_segmentations_come_out_and_thresholds_are_the_next_value():
+    for text in ("is", "é!", "日", "a", "ab", "the"):
+        every = enumerated(text)
+        (found, kappa), key = sampled([text], np.array([5], np.uint64), len(every) + 3)[0], np.array([5], np.uint64)
+        assert {f[0] for f in found} == set(every) and kappa == -np.inf
+        values = [f[2] for f in found]
+        assert values == sorted(values, reverse=True)
+        for k in range(1, len(every)):
+            (some, bound) = sampled([text], key, k)[0]
+            assert [f[0] for f in some] == [f[0] for f in found[:k]] and bound == pytest.approx(values[k])
+
+
+def test_samples_do_not_depend_on_neighbours(monkeypatch):
+    texts = [" ".join(words(i, 5 + i)) for i in range(12)] + ["", "  ", "x" * 200]
+    keys = piece_sampling.mix(np.arange(len(texts), dtype=np.uint64))
+    together = sampled(texts, keys, 3)
+    alone = [sampled([t], keys[i : i + 1], 3)[0] for i, t in enumerate(texts)]
+    assert [[f[0] for f in a[0]] for a in together] == [[f[0] for f in a[0]] for a in alone]
+    monkeypatch.setattr(piece_sampling.Lattice, "most", 10)  # a lattice that starts over again and again
+    lat = piece_sampling.Lattice()
+    for i, t in enumerate(texts):
+        row, _, ids, offsets, *_ = piece_sampling.segmentations([t], keys[i : i + 1], 3, lat)
+        assert [tuple(ids[a:b].tolist()) for a, b in zip(offsets, offsets[1:])] == [f[0] for f in alone[i][0]]
+
+
+def test_segmentations_of_odd_tables(spark):
+    rows = [(9007199254740993, "ab cd"), (None, "ab cd"), (9007199254740993, "ab cd"), (2, None)]
+    df = spark.createDataFrame([(i, t, [1], "n") for i, t in rows], "doc_id long, text string, ids array<int>, sample_no string")
+    out = piece_sampling.decode(piece_sampling.encode(df)).collect()
+    assert sorted({str(r["doc_id"]) for r in out}) == ["2", "9007199254740993", "None"] and all(r["round_trip"] for r in out)
+    twice = [tuple(r["ids"]) for r in out if r["doc_id"] == 9007199254740993]
+    assert len(twice) == 4 and len(set(twice)) == 2
+    assert piece_sampling.encode(df.limit(0)).count() == 0
 
 
 # ---- 5 --------------------------------------------------------------------------------------------------------------
@@ -242,14 +322,57 @@ def test_contamination(spark):
     assert decontaminate.contamination(docs(spark, "x").limit(0), bench).count() == 0
 
 
-def test_proximity(spark):
-    q = words(8, 12)
-    swapped = q[:4] + [q[5], q[4]] + q[6:]
+def brute_near(texts, items, slack):
+    """(text, item, first, start) of all windows near a start, by trying every start: one of the slack + 1 rarest pairs at its place, and all words around."""
+    from collections import Counter
+
+    ws = [WORD.findall((t or "").translate(FOLD)) for t in texts]
+    cf = Counter(p for w in ws for p in zip(w, w[1:]))
+    out = set()
+    for i, t in items:
+        w = WORD.findall((t or "").translate(FOLD))
+        n = min(10, len(w))
+        for f in range(len(w) - n + 1) if w else ():
+            win = w[f : f + n]
+            pairs = sorted(((cf[p], k) for k, p in enumerate(zip(win, win[1:]))), key=lambda x: x)[: slack + 1]
+            for d, x in enumerate(ws):
+                for s in range(-n, len(x)):
+                    if s < 0:
+                        continue
+                    anchored = any(s + k + 1 < len(x) and (x[s + k], x[s + k + 1]) == (win[k], win[k + 1]) for c, k in pairs if c)
+                    if n == 1:
+                        anchored = x[s] == win[0]
+                    if anchored and set(win) <= set(x[max(0, s - slack) : s + n + slack]):
+                        out.add((d, i, f, s))
+    return out
+
+
+def test_proximity_is_what_brute_force_finds(spark):
+    q, z = words(8, 30), words(21, 14, 12)
+    edited = q[:6] + ["new"] + q[6:13] + ["words", "in"] + q[13:]
+    texts = [" ".join(q[:4] + [q[5], q[4]] + q[6:]), " ".join(words(9, 30)), " ".join(edited), "pad " + " ".join(q), " ".join(z + z[::-1]), " ".join(words(22, 60, 12)), None, "one two", q[3] + " " + " ".join(q[:10])]
+    items = [(1, " ".join(q)), (2, " ".join(z)), (3, "two"), (4, "one  TWO"), (5, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    index, its = decontaminate.positional_index(docs(spark, *texts)), decontaminate.items_of(bench)
+    ids, names = {r["row"]: r["doc_id"] for r in index.collect()}, {r["item"]: r["item_id"] for r in its.collect()}
+    terms = decontaminate.counted_terms(index, its)
+    got = {(ids[r["row"]], names[r["item"]], r["first"], r["start"]) for r in decontaminate.proximity_matches(index, its, terms).collect()}
+    want = brute_near(texts, items, 3)
+    assert got == want and {0, 2, 3} <= {d for d, *_ in want}
+    out = {r["doc_id"]: r for r in decontaminate.contamination(docs(spark, *texts), bench).collect()}
+    assert {d: r["n_near"] for d, r in out.items()} == {d: len({i for x, i, *_ in want if x == d}) for d in range(len(texts))}
+    assert out[0]["n_hit"] > 0 or out[0]["n_near"] > 0
+
+
+def test_rows_are_judged_by_their_own_words(spark):
+    q = words(31, 12)
     bench = spark.createDataFrame([(1, " ".join(q))], "item_id long, text string")
-    items = decontaminate.items_of(bench)
-    d = docs(spark, " ".join(swapped), " ".join(words(9, 30)))
-    assert decontaminate.exact_matches(d, items).count() == 0
-    assert {r["doc_id"] for r in decontaminate.proximity_matches(d, items).collect()} == {0}
+    halves, whole = [(7, " ".join(q[:6])), (7, "a b " + " ".join(q[6:]))], [(None, " ".join(q)), (8, " ".join(q)), (8, " ".join(q)), (8, "clean words"), (9007199254740993, " ".join(q))]
+    d = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in halves + whole], DOC).withColumn("row", F.lit(1)).withColumn("_h", F.lit(2))
+    out = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"]) for r in decontaminate.contamination(d, bench).collect())
+    assert out == sorted([("7", 6, 0), ("7", 8, 0), ("None", 12, 12), ("8", 12, 12), ("8", 12, 12), ("8", 2, 0), ("9007199254740993", 12, 12)])
+    kept = decontaminate.drop_contaminated(d, bench)
+    assert kept.columns == d.columns and sorted(r["text"] for r in kept.collect()) == sorted([t for _, t in halves] + ["clean words"])
 
 
 # ---- 6 --------------------------------------------------------------------------------------------------------------
@@ -266,20 +389,60 @@ def test_license_scan(spark):
 
 
 def test_pigeonhole_finds_what_a_full_search_finds():
+    """Candidates are those of a fuzzy search of every notice over the whole text, with span, label and similarity."""
     import regex
 
     r = random.Random(3)
-    scanner = license_scan.Scanner(license_scan.NOTICES)
-    for notice, label in license_scan.NOTICES:
-        k = license_scan.edits(notice)
-        for _ in range(20):
+    some = [license_scan.NOTICES[i] for i in range(0, len(license_scan.NOTICES), 5)]
+    scanner = license_scan.Scanner(some)
+    for notice, label in some:
+        k, words_ = license_scan.edits(notice), license_scan.telling(notice)
+        for _ in range(6):
             t = list(notice)
-            for _ in range(k):
+            for _ in range(r.randrange(k + 2)):
                 p = r.randrange(len(t))
                 t[p] = r.choice("abz ") if r.random() < 0.5 else t[p] + "q"
             text = "zz yy " + "".join(t) + " xx"
-            if regex.search(f"(?:{regex.escape(notice)}){{e<={k}}}", text):
-                assert scanner.find(text), (notice, text)
+            m = regex.search(f"(?b)(?:{regex.escape(notice)}){{e<={k}}}", text)
+            fits = m and license_scan.telling(license_scan.grown(text, m.start(), m.end())) == words_
+            got = [c for c in scanner.candidates(text) if c[2] == label]
+            if fits:
+                best = 1 - sum(m.fuzzy_counts) / len(notice)
+                assert any(c[3] >= best - 1e-9 and c[0] < m.end() and m.start() < c[1] for c in got), (notice, text)
+            for a, z, _, like in got:  # and nothing that a full search denies
+                assert any(regex.fullmatch(f"(?:{regex.escape(n)}){{e<={round((1 - like) * len(n))}}}", text[a:z]) for n, x in some if x == label)
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("licensed under cc by-nd 4.0", {"cc-by", "cc-by-nd-4.0"}),
+        ("licensed under cc by 3.0", {"cc-by", "cc-by-3.0"}),
+        ("Licensed under CC BY-NC-SA 4.0.", {"cc-by", "cc-by-nc-sa-4.0"}),
+        ("licensed under the gnu general public license, version 1", {"gpl", "gpl-1.0"}),
+        ("licensed under the gnu generl public licence, version 3", {"gpl-3.0"}),
+        ("licensed under the apache license, version 1.1", {"apache", "apache-1.1"}),
+        ("licensed under the apache licence, version 2.0", {"apache-2.0"}),
+        ("licensed under the bsd 2-clause license", {"bsd-2-clause"}),
+        ("licensed under the ms license", set()),
+        ("relased under the mit licence", {"mit"}),
+        ("you need a permit license here", set()),
+        ("gnu lesser general public license version 2.1", {"lgpl-2.1"}),
+        ("a short note on public places", set()),
+    ],
+)
+def test_what_tells_licences_apart_is_not_edited(spark, text, labels):
+    r = license_scan.scan(docs(spark, text)).first()
+    assert set(filter(None, r["labels"].split(","))) == labels and 0 <= r["score"] <= 1
+    for f in r["found"]:
+        assert text.lower()[f["start"] : f["end"]].strip()
+
+
+def test_license_scan_of_odd_tables(spark):
+    d = spark.createDataFrame([(9007199254740993, "mit license", 1), (None, "x", 2), (9007199254740993, "mit license", 1)], "doc_id long, text string, found int")
+    out = [tuple(r)[:2] for r in license_scan.scan(d).collect()]
+    assert sorted(map(str, out)) == sorted(map(str, [(9007199254740993, 2), (9007199254740993, 2), (None, 1)]))
+    assert license_scan.scan(d.limit(0)).count() == 0
 
 
 # ---- 7 --------------------------------------------------------------------------------------------------------------
@@ -296,15 +459,97 @@ def test_html(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in out.values())
 
 
+def pages(spark, *rows):
+    return spark.createDataFrame(list(rows), "page_id long, url string, html string")
+
+
 def test_style_tree_cuts_unmarked_templates(spark):
     page = "<html><body><div class=x1><p>the same strip on all pages</p></div><div class=x2>{}</div></body></html>"
     rows = [(i, "http://a.example/", page.format("".join(f"<p>{' '.join(words(i * 10 + k, 12))}</p>" for k in range(1 + i % 4)))) for i in range(20)]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df = pages(spark, *rows)
     assert all("same strip" not in r["text"] and len(r["text"]) > 20 for r in html_extract.extract(df).collect())
-    alike = df.withColumn("html", F.lit("<div><p>only text</p></div>"))
-    assert {r["text"] for r in html_extract.extract(alike).collect()} == {"only text"}
-    few = html_extract.extract(df.where("page_id < 3"))
-    assert all("same strip" in r["text"] for r in few.collect())
+    alike = df.withColumn("html", F.lit("<div><h1>head</h1><p>only text of them all</p></div>"))
+    assert {r["text"] for r in html_extract.extract(alike).collect()} == {"head only text of them all"}
+    assert all("same strip" not in r["text"] for r in html_extract.extract(df.where("page_id < 3")).collect())
+    assert "same strip" in html_extract.extract(df.where("page_id < 1")).first()["text"]
+
+
+def test_style_tree_extracts_pages_whose_names_say_nothing(spark):
+    """No article, no main, no nav, classes at random for each host: what the pages have in common goes, what they are about stays."""
+    r, rows, want = random.Random(9), [], {}
+    for host in range(3):
+        c = [f"q{r.randrange(10**6)}" for _ in range(6)]
+        for i in range(7):
+            n = host * 10 + i
+            title, body = " ".join(words(500 + n, 6)), [" ".join(words(600 + 20 * n + k, 25)) for k in range(2 + i % 3)]
+            rows.append((n, f"http://h{host}.example/{i}", f'<html><head><title>t</title></head><body><div class={c[0]}><ul><li><a href=/>home</a><li><a href=/n>news {host}</a></ul></div><div class={c[1]}>we use biscuits on this site</div><div class={c[2]}><h1 class={c[5]}>{title}</h1>{"".join(f"<p>{x}</p>" for x in body)}</div><div class={c[3]}><p>about us</p><p>all rights reserved {host}</p></div></body></html>'))
+            want[n] = " ".join([title, *body])
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages(spark, *rows)).collect()}
+    assert got == want
+    plain = {r["page_id"]: r["text"] for r in html_extract.extract(pages(spark, *rows), tree=False).collect()}
+    assert all(plain[n] != want[n] for n in want)  # it is the tree that does it
+
+
+def test_importance_is_that_of_the_plain_recursion(spark):
+    from math import log
+
+    r = random.Random(4)
+    htmls = [f"<body><div class=a><p>menu</p><p>{'x' if i % 3 else 'y'}</p></div><div class=b><h2>{' '.join(words(i, 3))}</h2>{'<p>z ' + str(i // 2) + '</p>' * (i % 2)}<b>{r.choice('uv')}</b>tail</div></body>" for i in range(7)]
+    each = [{n[0]: n for n in html_extract.page_nodes(h)} for h in htmls]
+    kids = {}
+    for page in each:
+        for k, n in page.items():
+            if k:
+                kids.setdefault(n[1], set()).add(k)
+
+    def at(k):
+        on = [p for p in each if k in p]
+        m = len(on)
+        if m == 1:
+            return 1.0
+        count = lambda xs: [xs.count(x) for x in set(xs)]
+        styles = count([p[k][3] for p in on])
+        node = -sum(c / m * log(c / m, m) for c in styles)
+        texts = [p[k][4] for p in on if p[k][4] is not None]
+        unlike = 1 - sum(c * log(c) for c in count(texts)) / len(texts) / log(m) if texts else 1.0
+        mean = 0.0
+        for p in on:
+            mean += (p[k][6] * unlike + sum(p[c][5] * at(c) for c in kids.get(k, ()) if c in p)) / m
+        w = 0.9 ** len(styles)
+        return (1 - w) * node + w * min(1.0, mean)
+
+    got = {r["node"]: r["importance"] for r in html_extract.style_tree(pages(spark, *((i, "http://a/", h) for i, h in enumerate(htmls)))).collect()}
+    assert len(got) >= 6 and all(v == pytest.approx(at(k)) for k, v in got.items())
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<div class="sidebar-left"><article><p>body</p></article></div>', "body"),
+        ('<div class="entry comments-open"><p>body of it</p></div>', "body of it"),
+        ('<div id="notice-board-history"><p>body</p></div>', "body"),
+        ("<form action=x><div><h1>t</h1><p>the whole page is in a form</p></div></form>", "t the whole page is in a form"),
+        ("<main><h1>Title</h1><article><p>body</p></article></main>", "Title body"),
+        ('<article><div class="article-header"><h1>Title</h1></div><p>body</p></article>', "Title body"),
+        ("<article><header><h1>Title</h1></header><p>body</p><footer>f</footer></article>", "Title body"),
+        ('<article><h2 id="related-work">Related work</h2><p>body</p></article><aside>a</aside>', "Related work body"),
+        ("<article><p>a</p><select><option>x</article><p>b</p>", "a"),
+        ("<p>a<button>go</p><p>b</p>", "a b"),
+        ('<body><nav>menu</nav><p>body text</p><div class="cookie-banner">c</div><div id="comment-list"><p>c1</p></div></body>', "body text"),
+        ("<body><nav>menu only</nav><footer>f</footer></body>", ""),
+        ("<article><p>x &lt;b&gt; &amp; y&nbsp;z</p><script>var a='</p>';</script><textarea>t</textarea></article>", "x <b> & y z"),
+    ],
+)
+def test_pages_by_what_they_declare(html, text):
+    assert html_extract.page_text(html) == text
+
+
+def test_html_of_odd_tables(spark):
+    df = pages(spark, (9007199254740993, "http://a/", "<p>x</p>"), (None, None, "<p>y</p>"), (9007199254740993, "http://a/", "<p>x</p>"), (3, "http://a/", "<p>" + "long " * 50_000)).withColumn("host", F.lit("mine")).withColumn("cut", F.lit(1))
+    out = html_extract.extract(df)
+    assert out.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(str((r["page_id"], r["n_chars"])) for r in out.collect()) == sorted(["(9007199254740993, 1)", "(9007199254740993, 1)", "(None, 1)", "(3, 249999)"])
+    assert html_extract.extract(df.limit(0)).count() == 0
 
 
 # ---- 8 --------------------------------------------------------------------------------------------------------------
