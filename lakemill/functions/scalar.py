@@ -45,8 +45,8 @@ def safe_timestamp(x: Column | str) -> Column:
 
 
 def event_time(ms: Column | str) -> Column:
-    """Epoch milliseconds as a timestamp of whole seconds."""
-    return F.timestamp_seconds(F.floor(c(ms) / 1000).cast("long"))
+    """Epoch milliseconds as a timestamp of whole seconds, cut towards 1970."""
+    return F.timestamp_seconds((c(ms) / 1000).cast("long"))
 
 
 def map_genres(ids: Column | str, names: dict[int, str] | None = None, default: str = "Unknown") -> Column:

@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from lakemill.functions.scalar import c
 
 #: fixed values: default word lists
-POSITIVE = ["amazing", "awesome", "beautiful", "best", "brilliant", "enjoyed", "excellent", "fantastic", "good", "great", "incredible", "love", "loved", "masterpiece", "outstanding", "perfect", "wonderful"]
-NEGATIVE = ["awful", "bad", "boring", "disappointed", "disappointing", "dull", "hate", "hated", "horrible", "mediocre", "poor", "terrible", "ugly", "waste", "weak", "worse", "worst"]
+POSITIVE = [
+    "excellent", "amazing", "great", "wonderful", "fantastic", "perfect",
+    "love", "loved", "best", "brilliant", "outstanding", "superb",
+    "masterpiece", "incredible", "awesome", "beautiful", "good",
+]
+NEGATIVE = [
+    "terrible", "awful", "bad", "worst", "horrible", "poor",
+    "boring", "waste", "disappointing", "disappointed", "dull",
+    "weak", "fail", "failed", "hate", "hated", "trash",
+]
 
 
 def tokens(text: Column | str) -> Column:
@@ -19,11 +27,12 @@ def tokens(text: Column | str) -> Column:
 
 def word_score(text: Column | str, positive: list[str] = POSITIVE, negative: list[str] = NEGATIVE) -> Column:
     """(positive - negative hits) / tokens * 10 within [-1, 1]; 0 for null, empty or no hit."""
-    toks = tokens(text)
-    hits = lambda words: F.size(F.filter(toks, lambda x: x.isin(words)))
-    raw = (hits(positive) - hits(negative)).cast("double") / F.size(toks).cast("double") * 10
+    # one pass over the tokens, which are made once
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("hits"))
+    step = lambda a, x: F.struct((a["n"] + 1).alias("n"), (a["hits"] + x.isin(positive).cast("int") - x.isin(negative).cast("int")).alias("hits"))
     # greatest() and least() skip nulls, so the empty case is asked for first
-    return F.when(F.size(toks) > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw))).otherwise(0.0)
+    done = lambda a: F.when(a["n"] > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), a["hits"].cast("double") / a["n"].cast("double") * 10))).otherwise(0.0)
+    return F.coalesce(F.aggregate(tokens(text), zero, step, done), F.lit(0.0))
 
 
 def word_label(score: Column | str, edge: float = 0.2) -> Column:
@@ -48,19 +57,31 @@ def compound_score(df: DataFrame, text: str, lexicon: dict[str, float], out: str
     """
     table = F.create_map(*[x for k, v in lexicon.items() for x in (F.lit(k), F.lit(float(v)))])
     vals = F.transform(tokens(text), lambda x: F.coalesce(F.try_element_at(table, x), F.lit(0.0)))
-    add = lambda a, x: a + x
-    total = F.aggregate(vals, F.lit(0.0), add)
-    pos = F.aggregate(F.filter(vals, lambda x: x > 0), F.lit(0.0), lambda a, x: a + x + 1)
-    neg = F.aggregate(F.filter(vals, lambda x: x < 0), F.lit(0.0), lambda a, x: a - x + 1)
-    neu = F.size(F.filter(vals, lambda x: x == 0)).cast("double")
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("total", "pos", "neg", "neu")])
+
+    def step(a: Column, x: Column) -> Column:
+        none = F.lit(0.0)
+        return F.struct(
+            (a["total"] + x).alias("total"), (a["pos"] + F.when(x > 0, x + 1).otherwise(none)).alias("pos"),
+            (a["neg"] + F.when(x < 0, 1 - x).otherwise(none)).alias("neg"), (a["neu"] + F.when(x == 0, 1.0).otherwise(none)).alias("neu"),
+        )
+
+    # one pass, kept in a column of its own
+    tally = "_tally"
+    while tally in df.columns:
+        tally += "_"
+    names = df.columns
+    df = df.withColumn(tally, F.aggregate(vals, zero, step))
+    total, pos, neg, neu = (F.col(f"{tally}.{n}") for n in ("total", "pos", "neg", "neu"))
     mass = pos + neg + neu
-    zero = lambda x: F.coalesce(x, F.lit(0.0))
-    return df.withColumn(
+    or_zero = lambda x: F.coalesce(x, F.lit(0.0))
+    out_df = df.withColumn(
         out,
         F.struct(
-            zero(total / F.sqrt(total * total + 15)).alias("compound"),
-            zero(F.try_divide(pos, mass)).alias("positive"),
-            zero(F.try_divide(neg, mass)).alias("negative"),
-            zero(F.try_divide(neu, mass)).alias("neutral"),
+            or_zero(total / F.sqrt(total * total + 15)).alias("compound"),
+            or_zero(F.try_divide(pos, mass)).alias("positive"),
+            or_zero(F.try_divide(neg, mass)).alias("negative"),
+            or_zero(F.try_divide(neu, mass)).alias("neutral"),
         ),
     )
+    return out_df.select(*names, out) if out not in names else out_df.drop(tally)

@@ -114,8 +114,8 @@ def enforce(results: DataFrame, layer: str) -> dict:
 
 SUITES: dict[str, list[Expectation]] = {
     "bronze_movies": [not_null("id"), not_null("title"), has_type("id", "bigint"), not_null("extraction_timestamp"), unique("id", "extraction_timestamp")],
-    "silver_movies": [unique("movie_id"), not_null("movie_id"), not_null("title", 0.99), not_null("release_date", 0.95), between("vote_average", 0, 10), between("vote_count", 0), between("popularity", 0), in_set("quality_flag", "OK", "WARNING")],
-    "silver_reviews": [unique("review_id"), not_null("movie_id"), between("sentiment_score", -1, 1), in_set("sentiment_label", "positive", "negative", "neutral")],
-    "gold_genre_analytics": [not_null("genre"), not_null("year"), between("avg_rating", 0, 10, 0.99), between("total_movies", 1), unique("genre", "year", "month")],
+    "silver_movies": [unique("movie_id"), not_null("title", 0.95), not_null("release_date", 0.95), between("vote_average", 0, 10), between("vote_count", 0), between("popularity", 0)],
+    "silver_reviews": [between("sentiment_score", -1, 1, 0.95)],
+    "gold_genre_analytics": [not_null("total_movies"), not_null("avg_rating"), between("total_movies", 0), between("avg_rating", 0, 10)],
     "gold_trending_scores": [not_null("movie_id"), in_set("window", "7d", "30d", "90d"), between("trend_score", 0, 100)],
 }

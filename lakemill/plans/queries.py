@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -15,6 +14,7 @@ from lakemill.functions import scalar, sentiment
 from lakemill.operators import dedup, expectations, rank, rolling
 from lakemill.plans import fixtures as fx
 from lakemill.plans import gold, serving, silver
+from lakemill.session import shared_folder
 from lakemill.sources import layers, streams, views
 from lakemill.streaming import detect, windows
 
@@ -112,13 +112,13 @@ def budget_analysis(spark, sf):
 @query(
     """SELECT target, CAST(rank AS INTEGER) AS rank, movie_id, similarity, popularity FROM (SELECT t.movie_id AS target, m.movie_id, CAST(len(list_intersect(t.f, m.f)) AS DOUBLE) / len(list_distinct(list_concat(t.f, m.f))) AS similarity, m.popularity,
     row_number() OVER (PARTITION BY t.movie_id ORDER BY CAST(len(list_intersect(t.f, m.f)) AS DOUBLE) / len(list_distinct(list_concat(t.f, m.f))) DESC, m.popularity DESC, m.movie_id) AS rank
-    FROM (SELECT *, list_concat(genres, [CAST(year(release_date) AS VARCHAR)]) AS f FROM movies WHERE movie_id % 1000 = 0) t JOIN (SELECT *, list_concat(genres, [CAST(year(release_date) AS VARCHAR)]) AS f FROM movies) m
+    FROM (SELECT *, list_concat(genres, [CAST(year(release_date) AS VARCHAR)]) AS f FROM movies WHERE movie_id % 50 = 0) t JOIN (SELECT *, list_concat(genres, [CAST(year(release_date) AS VARCHAR)]) AS f FROM movies) m
     ON t.movie_id <> m.movie_id AND len(list_intersect(t.f, m.f)) > 0) WHERE rank <= 5""",
     "similarity popularity",
 )
 def similar_movies(spark, sf):
     m = fx.movies(spark, sf).withColumn("features", F.concat("genres", F.array(F.year("release_date").cast("string"))))
-    return gold.similar_movies(m, m.where("movie_id % 1000 = 0"))
+    return gold.similar_movies(m, m.where("movie_id % 50 = 0"))
 
 
 @query(
@@ -207,9 +207,27 @@ def lexicon_sentiment(spark, sf):
     return _scored(spark, sf).select("review_id", "sentiment_score", sentiment.word_label("sentiment_score").alias("label"))
 
 
+#: the default word lists as the oracle has them, written out and not taken from the library
+_GOOD = "'excellent', 'amazing', 'great', 'wonderful', 'fantastic', 'perfect', 'love', 'loved', 'best', 'brilliant', 'outstanding', 'superb', 'masterpiece', 'incredible', 'awesome', 'beautiful', 'good'"
+_BAD = "'terrible', 'awful', 'bad', 'worst', 'horrible', 'poor', 'boring', 'waste', 'disappointing', 'disappointed', 'dull', 'weak', 'fail', 'failed', 'hate', 'hated', 'trash'"
+_OTHER = "'enjoyed', 'mediocre', 'ugly', 'worse', 'Superb', 'good.'"
+
+
+@query(
+    f"""SELECT CAST(doc_id AS VARCHAR) AS review_id, word, CASE WHEN lower(word) IN ({_GOOD}) THEN 1.0 WHEN lower(word) IN ({_BAD}) THEN -1.0 ELSE 0.0 END AS sentiment_score,
+    CASE WHEN lower(word) IN ({_GOOD}) THEN 'positive' WHEN lower(word) IN ({_BAD}) THEN 'negative' ELSE 'neutral' END AS label FROM (SELECT doc_id, list_extract([{_GOOD}, {_BAD}, {_OTHER}], CAST(doc_id % 40 AS INTEGER) + 1) AS word FROM documents)""",
+    "sentiment_score",
+)
+def default_word_sentiment(spark, sf):
+    """Each document gets one of the default words, or one that is none, in a short sentence."""
+    words = F.array(*[F.lit(w.strip(" '")) for w in f"{_GOOD}, {_BAD}, {_OTHER}".split(",")])
+    df = fx.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("review_id"), F.get(words, (F.col("doc_id") % 40).cast("int")).alias("word"))
+    return df.withColumn("sentiment_score", sentiment.word_score(F.concat_ws(" ", F.lit("a"), "word", F.lit(" film\n")))).withColumn("label", sentiment.word_label("sentiment_score"))
+
+
 @query(
     "SELECT CAST(doc_id AS VARCHAR) AS review_id, CASE WHEN n = 0 THEN 0.0 ELSE greatest(-1.0, least(1.0, h * 10.0 / n)) END AS score, CASE WHEN n > 0 AND h * 10.0 / n > 0.2 THEN 'positive' WHEN n > 0 AND h * 10.0 / n < -0.2 THEN 'negative' ELSE 'neutral' END AS label FROM (SELECT doc_id, len(t) AS n, "
-    f"len(list_filter(t, lambda x: x IN ({', '.join(repr(w) for w in sentiment.POSITIVE)}))) - len(list_filter(t, lambda x: x IN ({', '.join(repr(w) for w in sentiment.NEGATIVE)}))) AS h FROM (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS t FROM documents))",
+    f"len(list_filter(t, lambda x: x IN ({_GOOD}))) - len(list_filter(t, lambda x: x IN ({_BAD}))) AS h FROM (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS t FROM documents))",
     "score",
 )
 def sql_sentiment(spark, sf):
@@ -238,7 +256,7 @@ def time_features(spark, sf):
 
 @query("SELECT movie_id, CASE WHEN movie_id % 5 = 0 THEN '' WHEN movie_id % 2 = 0 THEN 'Action,Unknown' ELSE 'Drama,Unknown' END AS names, CASE WHEN movie_id % 5 = 0 THEN 'Unknown' WHEN movie_id % 2 = 0 THEN 'Action' ELSE 'Drama' END AS primary_genre FROM movies")
 def genre_names(spark, sf):
-    b = fx.bronze_movies(spark, sf).where("raw_data like '%|1'").withColumn("names", scalar.map_genres("genre_ids"))
+    b = dedup.keep_latest(fx.bronze_movies(spark, sf), ["id"], [F.col("extraction_timestamp").desc()]).withColumn("names", scalar.map_genres("genre_ids"))
     return b.select(F.col("id").alias("movie_id"), F.concat_ws(",", "names").alias("names"), scalar.first_or("names").alias("primary_genre"))
 
 
@@ -756,8 +774,7 @@ def _event_stream(spark, sf):
 
 def _run_to_table(spark, df: DataFrame, mode: str = "append") -> DataFrame:
     """The rows that a stream has written when all that is there is read."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lakemill-")
-    path = f"{base.rstrip('/')}/streams/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
     streams.write_stream(df, "parquet", f"{path}/check", mode, None, path=f"{path}/out").awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{path}/out")
 
@@ -770,3 +787,68 @@ def stream_rating_windows(spark, sf):
 @query("SELECT movie_id, hour, vote_count, popularity FROM hour_state WHERE hour + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM ratings) - INTERVAL 10 MINUTE", "popularity")
 def stream_hourly_state(spark, sf):
     return _run_to_table(spark, windows.latest_by_hour(_event_stream(spark, sf))).select("movie_id", "hour", "vote_count", "popularity")
+
+
+# ---- layers, written and read again ---------------------------------------------------------------------------------
+
+
+@query(
+    """SELECT 'bronze' AS layer, 'movies' AS dataset, count(*) AS rows, count(DISTINCT movie_id) AS ids, 0 AS failed, true AS columns_ok FROM movies UNION ALL SELECT 'silver', 'movies', count(*), count(DISTINCT movie_id), 0, true FROM movies
+    UNION ALL SELECT 'gold', 'genre_analytics', count(*), count(*), 0, true FROM (SELECT DISTINCT g, year(d) AS y, month(d) AS m FROM (SELECT unnest(CASE WHEN movie_id % 5 = 0 THEN [] WHEN movie_id % 2 = 0 THEN ['Action', 'Unknown'] ELSE ['Drama', 'Unknown'] END) AS g,
+    CASE WHEN movie_id % 7 <> 0 THEN release_date END AS d FROM movies))"""
+)
+def layer_roundtrip(spark, sf):
+    """Bronze, Silver and Gold written as partitioned tables and read back: rows, ids, failed expectations and columns."""
+    root = f"{shared_folder(spark)}/lake/{uuid.uuid4().hex}"
+    raw = fx.bronze_movies(spark, sf).drop("extraction_timestamp", "raw_data")
+    early, late = raw.where("vote_count % 2 = 0"), raw.where("vote_count % 2 = 1")
+    layers.ingest_bronze([early, late], "id", fx.EXTRACTED - dt.timedelta(hours=1), root, "movies")
+    bronze = layers.read_layer(spark, root, "bronze", "movies")
+    layers.write_layer(silver.silver_movies(bronze, fx.EXTRACTED), root, "silver", "movies")
+    movies = layers.read_layer(spark, root, "silver", "movies")
+    # a stage that runs twice leaves one copy
+    for _ in range(2):
+        layers.write_layer(gold.genre_analytics(movies, as_of=fx.EXTRACTED), root, "gold", "genre_analytics")
+    genres = layers.read_layer(spark, root, "gold", "genre_analytics")
+    out = None
+    for layer, name, df, ids, suite, needed in (
+        ("bronze", "movies", bronze, ["id"], "bronze_movies", {"id", "title", "raw_data", "extraction_timestamp", "partition_hour"}),
+        ("silver", "movies", movies, ["movie_id"], "silver_movies", {"movie_id", "genres", "quality_flag", "processed_timestamp", "partition_genre"}),
+        ("gold", "genre_analytics", genres, ["genre", "year", "month"], "gold_genre_analytics", {"genre", "total_movies", "avg_rating", "computed_at", "partition_year"}),
+    ):
+        # release dates are left out on purpose in the source; every other expectation holds
+        checks = [e for e in expectations.SUITES[suite] if e.column != "release_date"]
+        failed = expectations.run_suite(df, checks, suite).agg(F.count_if(~F.col("success")).cast("int").alias("failed"))
+        n = df.agg(F.count("*").alias("rows"), F.count_distinct(F.struct(*ids)).alias("ids"))
+        one = n.crossJoin(failed).select(F.lit(layer).alias("layer"), F.lit(name).alias("dataset"), "rows", "ids", "failed", F.lit(needed <= set(df.columns)).alias("columns_ok"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    """SELECT movie_id, arg_max(vote_average, hour) AS vote_average, arg_max(vote_count, hour) AS vote_count, max(hour) AS hour, arg_max(origin, hour) AS origin FROM (
+    SELECT *, 'batch' AS origin FROM hour_state WHERE hour < TIMESTAMP '2024-01-15' UNION ALL SELECT *, 'speed' FROM hour_state WHERE hour >= TIMESTAMP '2024-01-15' AND vote_count > 10) GROUP BY 1""",
+    "vote_average",
+)
+def movie_detail_merged(spark, sf):
+    """The latest row of every movie over the merged batch and speed views."""
+    state = windows.latest_by_hour(fx.ratings(spark, sf)).select("movie_id", "hour", "vote_average", "vote_count")
+    merged = serving.merge_views(state.withColumn("origin", F.lit("batch")), state.where("vote_count > 10").withColumn("origin", F.lit("speed")), dt.datetime(2024, 1, 15), ["movie_id", "hour"], "hour")
+    return serving.merged_rows(merged)
+
+
+@query("""SELECT movie_id, event_time, time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end FROM ratings""")
+def standard_window(spark, sf):
+    return windows.standard_window(fx.ratings(spark, sf).select("movie_id", "event_time"))
+
+
+@query("SELECT count(*) FILTER (hour >= TIMESTAMP '2024-01-29') AS kept, count(*) FILTER (hour < TIMESTAMP '2024-01-29') AS deleted, count(*) FILTER (hour >= TIMESTAMP '2024-01-29') AS left_over, count(*) AS written FROM hour_state")
+def purge(spark, sf):
+    """A speed view written by key, then rewritten without what has outlived its time."""
+    root = f"{shared_folder(spark)}/views/{uuid.uuid4().hex}"
+    state = windows.latest_by_hour(fx.ratings(spark, sf)).select("movie_id", "hour", "vote_average", "vote_count", "popularity", "last_updated")
+    views.write_speed_view(state, "movie_stats", root, "last_updated")
+    written = views.write_speed_views({"movie_stats": (state, "last_updated")}, root)["movie_stats"]
+    counts = views.purge(spark, f"{root}/movie_stats", "hour", 48, fx.EVENTS_AS_OF)
+    left = spark.read.parquet(f"{root}/movie_stats").agg(F.count("*").alias("left_over"))
+    return left.select(F.lit(counts["kept"]).cast("long").alias("kept"), F.lit(counts["deleted"]).cast("long").alias("deleted"), "left_over", F.lit(written).cast("long").alias("written"))

@@ -24,8 +24,13 @@ def merged_latest(docs: DataFrame, key: str = "movie_id", ts: str = "event_ts",
 
 def movie_detail(merged: DataFrame, movie_ids: list[int], keys: str = "movie_id", ts: str = "hour") -> DataFrame:
     """The latest merged row of each asked movie."""
-    rest = [c for c in merged.columns if c != keys]
-    return merged.where(F.col(keys).isin(movie_ids)).groupBy(keys).agg(F.max_by(F.struct(*rest), ts).alias("r")).select(keys, "r.*")
+    return merged_rows(merged.where(F.col(keys).isin(movie_ids)), keys, ts)
+
+
+def merged_rows(merged: DataFrame, key: str = "movie_id", ts: str = "hour") -> DataFrame:
+    """The latest row of every movie."""
+    rest = [c for c in merged.columns if c != key]
+    return merged.groupBy(key).agg(F.max_by(F.struct(*rest), ts).alias("r")).select(key, "r.*")
 
 
 def movie_sentiment_summary(windows: DataFrame, as_of: dt.datetime, days: int | None = 7) -> DataFrame:

@@ -12,11 +12,14 @@ from lakemill.functions.sentiment import NEGATIVE, POSITIVE, word_label, word_sc
 from lakemill.operators.dedup import keep_latest
 
 
-def lookback(df: DataFrame, ts: str, as_of: dt.datetime, hours: int, partitioned: bool = False) -> DataFrame:
+def lookback(df: DataFrame, ts: str, as_of: dt.datetime, hours: int, partitioned: bool | None = None) -> DataFrame:
     """Rows of the last hours before as_of. ts may be a string or a timestamp.
 
-    With partitioned, an equal predicate on partition_year/month/day is added, so that only those folders are listed.
+    With partitioned, an equal predicate on partition_year/month/day is added, so that only those folders are listed;
+    by default that is so if df has these columns, as the tables of the lake do.
     """
+    if partitioned is None:
+        partitioned = {"partition_year", "partition_month", "partition_day"} <= set(df.columns)
     start = as_of - dt.timedelta(hours=hours)
     x = safe_timestamp(ts)
     out = df.where(x.between(F.lit(start), F.lit(as_of)))

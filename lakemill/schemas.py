@@ -81,6 +81,9 @@ TTL_HOURS = {
     "movie_ratings_by_window": 48,
     "breakout_movies": 48,
     "declining_movies": 48,
+    "latest_movie_stats": 48,
+    "top_trending_movies": 48,
+    "recent_sentiments": 6,
     "movie_stats_hourly": 168,
     "sentiment_hourly": 168,
     "speed_layer_metrics": 72,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -22,3 +24,14 @@ def build_session(app: str = "lakemill", master: str | None = None, shuffle_part
     for k, v in {**settings, **conf}.items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which all executors share. Only a local session may do without it, in a temporary one."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        return path.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="lakemill-")

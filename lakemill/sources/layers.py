@@ -84,6 +84,21 @@ def expired_partitions(df: DataFrame, layer: str, as_of: dt.date, days: int | No
     return df.select(d.alias("partition_date")).distinct().where(F.col("partition_date") < F.date_sub(F.lit(as_of), days or LAYER_DAYS[layer]))
 
 
+def drop_expired(spark: SparkSession, root: str, layer: str, dataset: str, as_of: dt.date, days: int | None = None) -> int:
+    """Deletes the folders of a layer's partitions older than its retention; returns how many. A second run deletes none."""
+    path = lake_path(root, layer, dataset)
+    df = spark.read.parquet(path)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = 0
+    # as many rows as there are expired dates
+    for row in expired_partitions(df, layer, as_of, days).collect():
+        d = row["partition_date"]
+        folder = f"{path}/partition_year={d.year}/partition_month={d.month}" + (f"/partition_day={d.day}" if "partition_day" in df.columns else "")
+        gone += fs.delete(fs_path(folder), True)
+    return gone
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """table, rows of each named table, in one plan."""
     out = None

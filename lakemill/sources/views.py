@@ -27,26 +27,83 @@ def _orderable(df: DataFrame, c: str) -> bool:
     return not df.schema[c].dataType.simpleString().startswith("map")
 
 
-def upsert_by_key(path: str, source: DataFrame, keys: list[str], order_by: str, partition_by: list[str] = ()) -> None:
-    """Upserts source into the Parquet table at path. Only partitions that source touches are read and rewritten; new
-    files are staged beside the table first, since a table cannot be overwritten while it is read."""
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    return p(path).getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts a table back that a replacement, ended half-way, has left under its old name."""
+    old = f"{path.rstrip('/')}__old"
+    fs, p = _fs(spark, path)
+    if fs.exists(p(old)):
+        if not fs.exists(p(path)):
+            fs.rename(p(old), p(path))
+        else:
+            fs.delete(p(old), True)
+
+
+def _replace(spark: SparkSession, staged: str, path: str) -> None:
+    """The staged folder takes the table's place; until it has, the old one is there, or is found by recover()."""
+    old = f"{path.rstrip('/')}__old"
+    fs, p = _fs(spark, path)
+    if fs.exists(p(path)) and not fs.rename(p(path), p(old)):
+        raise OSError(f"cannot rename {path}")
+    if not fs.rename(p(staged), p(path)):
+        raise OSError(f"cannot rename {staged}; the table is in {old}")
+    fs.delete(p(old), True)
+
+
+def upsert_by_key(path: str, source: DataFrame, keys: list[str], order_by: str, partition_by: list[str] = ()) -> int:
+    """Upserts source into the Parquet table at path; returns the rows written.
+
+    Only partitions that source touches are read and rewritten. New files are staged beside the table first, since a
+    table cannot be overwritten while it is read; the staged folder then takes its place by renaming. Where a partition
+    column is not a key, a row may change its partition: the table's keys are then searched for the old places as well.
+    """
     spark = source.sparkSession
     partition_by = list(partition_by)
+    recover(spark, path)
+    touched = None
     if _exists(spark, path):
         target = spark.read.parquet(path)
         if partition_by:
-            target = target.join(source.select(*partition_by).distinct(), partition_by, "left_semi")
+            touched = source.select(*partition_by)
+            if not set(partition_by) <= set(keys):
+                moving = target.join(source.select(*keys).distinct(), keys, "left_semi").select(*partition_by)
+                touched = touched.unionByName(moving)
+            touched = touched.distinct()
+            target = target.join(touched, partition_by, "left_semi")
         merged = merged_by_key(target, source, keys, order_by)
     else:
         merged = latest_by(source, keys, order_by, [c for c in source.columns if c not in keys and c != order_by and _orderable(source, c)])
     staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
     merged.write.parquet(staged)
-    out = spark.read.schema(merged.schema).parquet(staged).write.mode("overwrite")
+    out = spark.read.schema(merged.schema).parquet(staged)
+    n = out.count()  # from the files' footers
     if partition_by:
-        out = out.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    out.parquet(path)
-    p = spark._jvm.org.apache.hadoop.fs.Path(staged)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        # partitions that lose their last row are not written, and so must be removed; few, as they are touched ones
+        emptied = touched.join(out.select(*partition_by).distinct(), partition_by, "left_anti").collect() if touched is not None else []
+        out.write.mode("overwrite").partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+        fs, p = _fs(spark, staged)
+        for row in emptied:
+            fs.delete(p("/".join([path.rstrip("/"), *(f"{c}={row[c]}" for c in partition_by)])), True)
+        fs.delete(p(staged), True)
+    else:
+        _replace(spark, staged, path)
+    return n
+
+
+def purge(spark: SparkSession, path: str, ts: str, ttl_hours: float, as_of: dt.datetime) -> dict[str, int]:
+    """Rewrites the table at path without the rows whose life has ended; returns the numbers kept and deleted."""
+    recover(spark, path)
+    df = spark.read.parquet(path)
+    counts = expired_count(df, ts, ttl_hours, as_of).first().asDict()
+    if counts["deleted"]:
+        staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
+        expire(df, ts, ttl_hours, as_of).write.parquet(staged)
+        _replace(spark, staged, path)
+    return counts
 
 
 def tag_batch_view(gold: DataFrame, view_type: str) -> DataFrame:
@@ -80,9 +137,14 @@ def speed_documents(sentiments: DataFrame, stats: DataFrame, trending: DataFrame
 DOCUMENT_KEYS = ["movie_id", "hour", "event_ts", "data_type"]
 
 
-def write_speed_view(rows: DataFrame, view: str, root: str, order_by: str) -> None:
-    """Upserts rows into a speed view by its primary key."""
-    upsert_by_key(f"{root}/{view}", rows, SPEED_VIEW_KEYS[view], order_by)
+def write_speed_view(rows: DataFrame, view: str, root: str, order_by: str) -> int:
+    """Upserts rows into a speed view by its primary key; returns the rows written."""
+    return upsert_by_key(f"{root}/{view}", rows, SPEED_VIEW_KEYS[view], order_by)
+
+
+def write_speed_views(rows: dict[str, tuple[DataFrame, str]], root: str) -> dict[str, int]:
+    """Upserts a batch of views, each given with the column that orders its rows; returns the rows written of each."""
+    return {view: write_speed_view(df, view, root, order_by) for view, (df, order_by) in rows.items()}
 
 
 def metric_rows(values: DataFrame, name: str, at: dt.datetime, **tags: object) -> DataFrame:

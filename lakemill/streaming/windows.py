@@ -124,3 +124,9 @@ def chained_rollup(events: DataFrame, value: str, ts: str = "event_time", inner:
 def without_duplicates(df: DataFrame, keys: list[str], ts: str = "event_time", watermark: str = "10 minutes") -> DataFrame:
     """Rows with new keys only; on a stream keys are remembered within the watermark."""
     return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys) if df.isStreaming else df.dropDuplicates(keys)
+
+
+def standard_window(df: DataFrame, ts: str = "event_time", duration: str = "5 minutes", delay: str = "2 minutes") -> DataFrame:
+    """df with window_start and window_end of tumbling windows, and a watermark on ts."""
+    w = F.window(ts, duration)
+    return df.withWatermark(ts, delay).withColumn("_window", w).select(*df.columns, F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"))

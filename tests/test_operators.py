@@ -196,3 +196,40 @@ def test_edges_of_long_casts(spark):
                     want[a, b] = want.get((a, b), 0) + 1
     got = [(r["a"], r["b"], r["movies"]) for r in gold.collaboration_edges(c).collect()]
     assert len(got) == len(want) and all(want[a, b] == n for a, b, n in got)
+
+
+def test_upsert_follows_rows_that_change_their_partition(spark, tmp_path):
+    path = f"{tmp_path}/moving"
+    put = lambda rows: views.upsert_by_key(path, spark.createDataFrame(rows, "id int, t int, part string"), ["id"], "t", ["part"])
+    put([(1, 1, "p"), (2, 1, "q"), (3, 1, "q")])
+    put([(1, 2, "q")])
+    assert sorted((r["id"], r["t"], r["part"]) for r in spark.read.parquet(path).collect()) == [(1, 2, "q"), (2, 1, "q"), (3, 1, "q")]
+
+
+def test_replacement_that_ended_half_way_is_recovered(spark, tmp_path):
+    path = f"{tmp_path}/view"
+    df = spark.createDataFrame([(1, 1)], "id int, t int")
+    assert views.upsert_by_key(path, df, ["id"], "t") == 1
+    (tmp_path / "view").rename(tmp_path / "view__old")
+    assert views.upsert_by_key(path, spark.createDataFrame([(2, 1)], "id int, t int"), ["id"], "t") == 2
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2] and not (tmp_path / "view__old").exists()
+
+
+def test_expired_partitions_are_removed(spark, tmp_path):
+    import datetime as dt
+
+    from lakemill.sources import layers
+
+    df = spark.createDataFrame([(1, 2020, 1), (2, 2024, 1)], "id int, partition_year int, partition_month int")
+    layers.write_layer(df, str(tmp_path), "silver", "reviews")
+    assert [layers.drop_expired(spark, str(tmp_path), "silver", "reviews", dt.date(2024, 2, 1)) for _ in range(2)] == [1, 0]
+    assert [r["id"] for r in spark.read.parquet(f"{tmp_path}/silver/reviews").collect()] == [2]
+
+
+def test_stated_word_lists_and_lifetimes():
+    from lakemill.functions import sentiment
+    from lakemill.schemas import TTL_HOURS
+
+    assert {"superb", "fail", "failed", "trash"} <= {*sentiment.POSITIVE, *sentiment.NEGATIVE} and len(sentiment.POSITIVE) == len(sentiment.NEGATIVE) == 17
+    assert not {"enjoyed", "mediocre", "ugly", "worse"} & {*sentiment.POSITIVE, *sentiment.NEGATIVE}
+    assert len(TTL_HOURS) == 12 and TTL_HOURS["recent_sentiments"] == 6
