@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemill.session import shared_folder
+
 #: words of the decontamination and licence contracts, after lower-casing A-Z
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: what stands between them; splitting at it is several times faster than extracting words
@@ -19,23 +20,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the cluster names none."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="lakemill-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+_WRITTEN: list[str] = []
 
 
 def written(df: DataFrame) -> DataFrame:
     """df, written as Parquet to the shared folder and read back: lineage is cut and lost executors lose nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> int:
+    """Deletes the tables that this process has written so far, once no DataFrame made from them is needed; returns how many."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    n = 0
+    while _WRITTEN:
+        path = p(_WRITTEN.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def crc_mod(col: str, n: int) -> Column:
     """crc32 of the column's text form, modulo n (null stays null)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % n

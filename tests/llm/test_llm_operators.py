@@ -83,6 +83,33 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(d.limit(0)).count() == 0
 
 
+def test_rows_of_one_doc_id_lose_no_link(spark):
+    """Document 3 stands twice: one row is like 1, the other like 4; all three are one class. Ids keep their value."""
+    x, y = words(41, 80), words(42, 80)
+    big = 9007199254740993
+    rows = [(1, x), (3, [*x[:40], "q", *x[41:]]), (3, [*y[:40], "q", *y[41:]]), (4, y), (big, words(43, 60)), (big, words(43, 60)), (None, x)]
+    d = spark.createDataFrame([(i, " ".join(w), "mine", 1) for i, w in rows], "doc_id long, text string, node string, class_id int")
+    got = near_dedup.near_duplicates(d).collect()
+    assert {(r["doc_id"], r["class_id"], r["kept"]) for r in got} == {(1, 1, True), (3, 1, False), (4, 1, False), (big, big, True), (None, None, True)} and len(got) == 7
+    kept = near_dedup.drop_near_duplicates(d)
+    assert kept.columns == d.columns and sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(["1", str(big), str(big), "None"])
+
+
+def test_recall_against_brute_force(spark):
+    """Every id divisible by 50 against all rows: pairs whose word alignment is 0.8 or more are in one class."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    cls = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(d).collect()}
+    ws = {r["doc_id"]: near_dedup.words([r["text"] or ""])[0] for r in d.collect()}
+    want = found = 0
+    for q in (i for i in ws if i % 50 == 0 and len(ws[i])):
+        a = ws[q]
+        for i, b in ws.items():
+            most = int(0.2 * max(len(a), len(b)) + 1e-9)
+            if i != q and len(b) and abs(len(a) - len(b)) <= most and near_dedup.alignable(a, b, most) and near_dedup.band_distance(a, b, most) is not None:
+                want, found = want + 1, found + (cls[i] == cls[q])
+    assert want >= 5 and found >= 0.9 * want, (found, want)
+
+
 def test_large_group_of_copies_is_one_class(spark):
     base = words(3, 120)
     texts = [" ".join(base[:k] + ["y"] + base[k + 1 :]) for k in range(120)] + [" ".join(words(100 + k, 80)) for k in range(40)]
@@ -153,6 +180,84 @@ def test_line_dedup_of_long_pairs_and_short_notices(spark):
     assert out[5] == f"{own[5]}\n{passage}\n{line}\nto be continued" and out[9] == f"{own[9]}\n{line}\nto be continued"
 
 
+def test_every_template_of_a_leaf_is_found(spark):
+    """Two templates begin alike and have as many tokens; the smaller one recurs as well, and so does a line of four tokens."""
+    own = [" ".join(words(700 + i, 30)) for i in range(14)]
+    one = [f"please note that the page {w} was written by the old press" for w in ("abba", "bach", "cher", "dido", "enya", "falco")]
+    two = [f"please note that no dogs or {w} may enter the garden today" for w in ("cats", "cows", "pigs", "rats")]
+    assert len({len(x.split()) for x in one + two}) == 1
+    texts = [f"{o}\n{x}" for o, x in zip(own, one + two)] + [f"{o}\nall rights reserved here" for o in own[10:]]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.drop_recurring(docs(spark, *texts)).collect()}
+    assert [i for i in range(14) if out[i] == texts[i]] == [0, 6, 10] and all(out[i] == own[i] for i in range(14) if i not in (0, 6, 10))
+
+
+def brute_templates(lines, similarity):
+    """The groups of a leaf's masked forms (with their line counts) by the plain recursion."""
+    from collections import Counter
+
+    done, todo = {}, [((), lines)]
+    while todo:
+        name, part = todo.pop()
+        if len(part) < 2 or sum(part.values()) < 3:
+            continue
+        n = len(next(iter(part)))
+        votes = [Counter() for _ in range(n)]
+        for form, c in part.items():
+            for k, t in enumerate(form):
+                votes[k][t] += c
+        total = sum(part.values())
+        top = [max(v.items(), key=lambda x: (x[1], x[0])) for v in votes]
+        fixed = [t if 2 * c > total else None for t, c in top]
+        rest = {}
+        for form, c in part.items():
+            if sum(a == b for a, b in zip(form, fixed)) >= similarity * n - 1e-9:
+                done[form] = name
+            else:
+                rest[form] = c
+        split = [(sum(c * c for c in v.values()) / total / total, -k) for k, v in enumerate(votes) if len(v) > 1]
+        if split:
+            at = -max(split)[1]
+            for tok in {f[at] for f in rest}:
+                todo.append(((*name, at, tok), {f: c for f, c in rest.items() if f[at] == tok}))
+    return done
+
+
+def test_templates_are_those_of_the_plain_recursion(spark):
+    r = random.Random(12)
+    heads = ["start here now", "other leading words"]
+    lines = []
+    for _ in range(260):
+        form = r.choice(["a b c d e f g", "a b x y z f g", "m n o p q r s"]).split()
+        for k in r.sample(range(7), r.randrange(3)):
+            form[k] = r.choice("uvwxyz") * 2
+        lines.append(f"{r.choice(heads)} {' '.join(form)}")
+    d = docs(spark, *lines)
+    keys = line_dedup._keys(d.select("doc_id", "text"), 3)
+    enough = F.when(F.col("n_tokens") >= 50, 2).otherwise(3)
+    got = {x["form"]: x["template"] for x in line_dedup.grouped_forms(d.select("doc_id", "text"), keys, 3, 0.8, enough).collect()}
+    forms = {x["line"]: x["form"] for x in spark.createDataFrame([(x,) for x in set(lines)], "line string").select("line", F.xxhash64("line").alias("form")).collect()}
+    want = {}
+    for h in heads:
+        counts = {}
+        for x in lines:
+            if x.startswith(h):
+                counts[tuple(x.split())] = counts.get(tuple(x.split()), 0) + 1
+        want |= {forms[" ".join(f)]: (h, *name) for f, name in brute_templates(counts, 0.8).items()}
+    assert set(got) == set(want) and len(set(want.values())) > 3
+    assert len(set(zip(got.values(), (want[f] for f in got)))) == len(set(got.values())) == len(set(want.values()))
+
+
+def test_line_dedup_of_odd_tables(spark):
+    """Clashing names, null and repeated ids (each row loses its own lines), white space, many lines in one text."""
+    note, own = "this notice is on many a page", [" ".join(words(800 + i, 20)) for i in range(9)]
+    rows = [(1, f"{own[0]}\n{note}"), (2, f"{own[1]}\r\n  {note}\t"), (3, f"{note}\n{own[2]}"), (3, f"{own[3]}\n{own[4]}"), (None, f"{own[5]}\n{note}"), (4, "\n".join([note, *(f"{own[6]} x{i}y z{i}" for i in range(1)), *([note] * 3000)]))]
+    d = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in rows], "doc_id long, text string, _gone int, _doc int, _row int, _lines int")
+    out = line_dedup.drop_recurring(d)
+    assert out.columns == d.columns
+    got = sorted((str(r["doc_id"]), r["text"]) for r in out.collect())
+    assert got == sorted([("1", rows[0][1]), ("2", f"{own[1]}\r"), ("3", own[2]), ("3", rows[3][1]), ("None", rows[4][1]), ("4", f"{own[6]} x0y z0")])
+
+
 # ---- 3 --------------------------------------------------------------------------------------------------------------
 
 
@@ -186,6 +291,43 @@ def test_rules_learn_and_keep(spark):
     assert none.where("kept").count() == 160
 
 
+def test_base_columns_are_those_of_sql(spark):
+    """The counts of every document by DuckDB SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    path = "/root/testdata/sf0.01/documents.parquet"
+    want = duckdb.sql(f"""
+      WITH d AS (SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM '{path}'),
+      k AS (SELECT doc_id, i, w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)),
+      twice AS (SELECT doc_id, g FROM k GROUP BY 1, 2 HAVING count(*) > 1),
+      covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM k JOIN twice USING (doc_id, g)) GROUP BY 1),
+      l AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]') GROUP BY 1)
+      SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(l.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words FROM d LEFT JOIN l USING (doc_id) LEFT JOIN covered USING (doc_id)""").fetchall()
+    got = quality_rules.text_stats(spark.read.parquet(path)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(map(int, r)) for r in want)
+
+
+def test_rules_on_rows_kept_aside(spark):
+    """Rules learned without the documents whose crc32 is 1 modulo 3, judged on those."""
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality_rules.learn(quality_rules.labelled_sample(d, labels.where(crc_mod("doc_id", 3) != 1), 6000))
+    seen = quality_rules.text_stats(d.join(labels.where(crc_mod("doc_id", 3) == 1).select("doc_id"), "doc_id", "left_semi")).join(labels.select("doc_id", "quality"), "doc_id").where(~F.col("base_failed"))
+    c = {(r["quality"], r["bad"]): r["count"] for r in seen.groupBy("quality", (quality_rules.verdict(rules) > 0).alias("bad")).count().collect()}
+    rejected = c.get((0, True), 0) + c.get((1, True), 0)
+    assert rules and c.get((0, True), 0) >= 0.9 * rejected and rejected > 20, c
+
+
+def test_statistics_of_long_and_repeated_texts_are_quick(spark):
+    import time
+
+    long = " ".join(words(5, 60_000, 40))
+    d = docs(spark, long, long[: len(long) // 2] + " " + long[: len(long) // 2])
+    start = time.time()
+    got = quality_rules.text_stats(d).collect()
+    assert time.time() - start < 20 and sorted(r["n_repeat_words"] for r in got) == sorted(brute_stats(t)[4] for t in (long, long[: len(long) // 2] + " " + long[: len(long) // 2]))
+    assert quality_rules.apply_rules(d.limit(0), spark.createDataFrame([(1, 1)], "doc_id long, quality int")).count() == 0
+
+
 # ---- 4 --------------------------------------------------------------------------------------------------------------
 
 
@@ -587,6 +729,36 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in language_id.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_out_of_place_distance_is_the_plain_one(spark):
+    """Profiles, ranks, ties and distances by dictionaries of n-grams."""
+    size = 40
+    texts = {"en": "the quick brown fox jumps over the lazy dog and the house", "de": "der schnelle braune fuchs springt über den faulen hund und das haus", "fr": "le renard brun saute par dessus le chien paresseux et la maison"}
+
+    def ranks(text):
+        code = lambda g: sum(ord(x) * (1 << 21 * i) for i, x in enumerate(reversed(g.replace(" ", chr(0))))) + (1 << 62 if len(g) == 2 else 1 << 63 if len(g) == 3 else 0)
+        c = brute_rank(text, size)
+        return {g: r for r, g in enumerate(sorted(c, key=lambda g: (-c[g], code(g)))[:size])}
+
+    profiles = {k: ranks(t) for k, t in texts.items()}
+    learned = language_id.profiles(spark.createDataFrame([(t, k) for k, t in texts.items()], "text string, lang string"), size)
+    ranker = language_id.Ranker(learned, size)
+    for t in ["the dog and the fox", "der hund und der fuchs", "le chien et le renard", "zzz", "a", "house maison haus"]:
+        mine = ranks(t)
+        far = {k: sum(abs(p[g] - r) if g in p else size for g, r in mine.items()) for k, p in profiles.items()}
+        best = min(far, key=lambda k: (far[k], k))
+        lang, score = ranker.best(language_id.ngrams(t, {}))
+        assert (lang, score) == (best, pytest.approx(1 - far[best] / (size * len(mine))))
+
+
+def test_language_id_of_odd_tables(spark):
+    big = 9007199254740993
+    d = spark.createDataFrame([(big, "the dog", "en", 1), (None, "der hund", "de", 2), (big, "12", None, 3), (5, "the " * 30_000, None, 4)], "doc_id long, text string, lang string, lang_pred int")
+    got = sorted((str(r["doc_id"]), r["lang_pred"]) for r in language_id.identify(d).collect())
+    assert len(got) == 4 and {g[0] for g in got} == {str(big), "None", "5"} and (str(big), "und") in got
+    with pytest.raises(ValueError):
+        language_id.profiles(d, max_langs=1)
+
+
 # ---- 9 --------------------------------------------------------------------------------------------------------------
 
 
@@ -613,6 +785,48 @@ def test_features_are_unit_vectors():
     assert off.tolist()[1] == off.tolist()[2] and np.allclose([np.square(x[a:b]).sum() for a, b in zip(off[:-1], off[1:])], [1, 0, 1])
 
 
+def test_updates_are_those_of_the_plain_algorithm():
+    """FTRL-proximal coordinate by coordinate, over dictionaries."""
+    from math import copysign, exp, sqrt
+
+    p = quality_classifier.Ftrl(bits=6, epochs=2)
+    r = random.Random(8)
+    rows = [(sorted(r.sample(range(64), 5)), [r.random() for _ in range(5)], r.randrange(2)) for _ in range(60)]
+    zeros, ones = sum(y == 0 for *_, y in rows), sum(y for *_, y in rows)
+    z, n = {}, {}
+    weight = (60 / (2 * zeros), 60 / (2 * ones))
+
+    def w(i):
+        if abs(z.get(i, 0.0)) <= p.l1:
+            return 0.0
+        return -(z[i] - copysign(p.l1, z[i])) / ((p.beta + sqrt(n[i])) / p.alpha + p.l2)
+
+    m = quality_classifier.Learner(p, zeros, ones)
+    for _ in range(p.epochs):
+        for i, x, y in rows:
+            m.learn(np.array(i), np.array(x), y)
+            now = [w(k) for k in i]
+            prob = 1 / (1 + exp(-sum(a * b for a, b in zip(now, x))))
+            for k, v, old in zip(i, x, now):
+                g = (prob - y) * v * weight[y]
+                sigma = (sqrt(n.get(k, 0.0) + g * g) - sqrt(n.get(k, 0.0))) / p.alpha
+                z[k], n[k] = z.get(k, 0.0) + g - sigma * old, n.get(k, 0.0) + g * g
+    assert m.weights() == pytest.approx([w(k) for k in range(64)], abs=1e-5)
+
+
+def test_classifier_of_odd_tables(spark):
+    """Ids over 2^53 beside nulls, nested and time columns, clashing names, an empty table, a very long text."""
+    big = 9007199254740993
+    rows = [(i, " ".join(words(i, 40)), [i], {"a": i}, i) for i in range(30)] + [(big, "x !! " * 200_000, [1], {"a": big}, big), (None, None, None, None, None), (big, "", [], {}, 7)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, tags array<long>, props map<string,long>, n_chars long").withColumn("at", F.lit("2024-01-01 10:00:00").cast("timestamp"))
+    labels = spark.createDataFrame([(i, 1) for i in range(30)] + [(big, 1)], "doc_id long, quality int")
+    kept = quality_classifier.keep_good(d, labels)
+    key = lambda r: (str(r["doc_id"]), r["text"] or "")
+    assert kept.schema == d.schema and sorted(map(str, kept.collect())) == sorted(map(str, (r for r in d.collect() if key(r) in {key(k) for k in kept.collect()}))) and kept.count() >= 30
+    assert {str(r["doc_id"]) for r in quality_classifier.classify(d, labels).collect()} >= {str(big), "None"}
+    assert quality_classifier.classify(d.limit(0), labels).count() == 0 and quality_classifier.keep_good(d.limit(0), labels).count() == 0
+
+
 # ---- 10 -------------------------------------------------------------------------------------------------------------
 
 
@@ -649,6 +863,12 @@ def test_chat_reads_back(spark, monkeypatch):
     parts = ct.format_conversations(df.where("conv_id = 1")).collect()
     assert len(parts) == 1 and out[1]["formatted_chars"] == len(parts[0]["formatted"])
     assert ct.read_back(ct.format_conversations(df.limit(0))).count() == 0
+    # parts in any order and place, and ids as they are
+    monkeypatch.setattr(ct, "PART", 64)
+    big = df.withColumn("conv_id", F.col("conv_id") + F.lit(9007199254740992))
+    mixed = ct.format_conversations(big).orderBy(F.rand(3)).repartition(5)
+    again = {r["conv_id"]: tuple(r)[1:] for r in ct.read_back(mixed).collect()}
+    assert {None if k is None else k - 9007199254740992: v for k, v in again.items()} == {k: tuple(v)[1:] for k, v in out.items()}
 
 
 def test_reader_takes_parts_cut_anywhere():
