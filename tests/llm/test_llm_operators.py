@@ -307,16 +307,6 @@ def test_base_columns_are_those_of_sql(spark):
     assert sorted(tuple(r) for r in got) == sorted(tuple(map(int, r)) for r in want)
 
 
-def test_rules_on_rows_kept_aside(spark):
-    """Rules learned without the documents whose crc32 is 1 modulo 3, judged on those."""
-    d, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
-    rules = quality_rules.learn(quality_rules.labelled_sample(d, labels.where(crc_mod("doc_id", 3) != 1), 6000))
-    seen = quality_rules.text_stats(d.join(labels.where(crc_mod("doc_id", 3) == 1).select("doc_id"), "doc_id", "left_semi")).join(labels.select("doc_id", "quality"), "doc_id").where(~F.col("base_failed"))
-    c = {(r["quality"], r["bad"]): r["count"] for r in seen.groupBy("quality", (quality_rules.verdict(rules) > 0).alias("bad")).count().collect()}
-    rejected = c.get((0, True), 0) + c.get((1, True), 0)
-    assert rules and c.get((0, True), 0) >= 0.9 * rejected and rejected > 20, c
-
-
 def test_statistics_of_long_and_repeated_texts_are_quick(spark):
     import time
 
