@@ -446,9 +446,11 @@ def test_contamination(spark):
     ]
     bench = spark.createDataFrame(items, "item_id long, text string")
     out = {r["doc_id"]: tuple(r)[1:] for r in decontaminate.contamination(docs(spark, *texts), bench).collect()}
-    assert out == brute_contamination(texts, items)
+    assert {d: v[:5] for d, v in out.items()} == brute_contamination(texts, items)
+    near = brute_near(texts, items, 3)
+    assert {d: v[5] for d, v in out.items()} == {d: len({i for x, i, *_ in near if x == d}) for d in range(len(texts))}
     clean = decontaminate.drop_contaminated(docs(spark, *texts), bench)
-    assert sorted(r["doc_id"] for r in clean.collect()) == sorted(d for d, v in out.items() if not v[-1])
+    assert sorted(r["doc_id"] for r in clean.collect()) == sorted(d for d, v in out.items() if not v[4])
     none = decontaminate.contamination(docs(spark, *texts), bench.limit(0))
     assert none.where("contaminated").count() == 0 and none.count() == len(texts)
     assert decontaminate.contamination(docs(spark, "x").limit(0), bench).count() == 0
