@@ -23,12 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _WRITTEN: list[str] = []
 
 
+def fresh_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder, which drop_written() deletes."""
+    _WRITTEN.append(f"{shared_folder(spark)}/{kind}/{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
 def written(df: DataFrame) -> DataFrame:
     """df, written as Parquet to the shared folder and read back: lineage is cut and lost executors lose nothing."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    path = fresh_path(spark, "tables")
     df.write.parquet(path)
-    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

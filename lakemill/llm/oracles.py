@@ -34,4 +34,27 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(whole, '' ORDER BY turn,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM u GROUP BY conv_id"""
 
-ORACLES: dict[str, str] = {"op5_decontamination": DECONTAMINATION, "op10_chat_formatting": CHAT}
+EXACT_DEDUP = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d"""
+
+
+def _vector_codes() -> str:
+    """Every part against every entry, in three assignments with the codebooks made anew between them."""
+    near = """n{r} AS (SELECT vec_id, label, p, x, arg_min(e, (far, e)) AS e, min(far) AS far FROM
+  (SELECT v.*, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS far FROM v JOIN c{r} USING (p)) GROUP BY ALL)"""
+    again = """c{s} AS (SELECT p, e, coalesce(m, c) AS c FROM c{r} LEFT JOIN
+  (SELECT p, e, list(m ORDER BY i) AS m FROM (SELECT p, e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS m FROM n{r}, range(1, 5) t(i) GROUP BY p, e, i) GROUP BY p, e) USING (p, e))"""
+    steps = ",\n".join([near.format(r=0), again.format(r=0, s=1), near.format(r=1), again.format(r=1, s=2), near.format(r=2).replace("n2 AS", "n2 AS MATERIALIZED")])
+    return f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)),
+v AS MATERIALIZED (SELECT vec_id, label, p, x[4 * p + 1 : 4 * p + 4] AS x FROM k, range(16) t(p)),
+c0 AS (SELECT p, dense_rank() OVER (ORDER BY vec_id) - 1 AS e, x AS c FROM v WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 64)),
+{steps},
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2),
+codes AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error FROM n2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM codes, books"""
+
+
+ORACLES: dict[str, str] = {"op12_exact_dedup": EXACT_DEDUP, "op13_vector_codes": _vector_codes(), "op5_decontamination": DECONTAMINATION, "op10_chat_formatting": CHAT}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat_template, decontaminate, html_extract, language_id, license_scan, line_dedup, near_dedup, piece_sampling, quality_classifier, quality_rules
+from lakemill.llm import chat_template, decontaminate, exact_dedup, html_extract, language_id, license_scan, line_dedup, near_dedup, piece_sampling, quality_classifier, quality_rules, vector_codes, whitening
 from lakemill.llm.common import table
 from lakemill.llm.oracles import ORACLES  # noqa: F401  (the entry reads it here)
 
@@ -54,10 +54,23 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_template.read_back(chat_template.format_conversations(rows.unionByName(probe)), ordered=True)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_line_dedup, op3_quality_rules, op4_piece_sampling, op5_decontamination,
         op6_license_scan, op7_html_extraction, op8_language_id, op9_quality_classifier, op10_chat_formatting,
+        op11_embedding_whitening, op12_exact_dedup, op13_vector_codes,
     )
 }
