@@ -26,6 +26,8 @@ BLANK = r"[\x20\x09-\x0D]+"
 ROWS = "doc_id long, text_sha256 string, digest string, file string, at long"
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a store is closed when its task ends: however many partitions there are, only those at work hold files and memory
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
