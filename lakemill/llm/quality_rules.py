@@ -70,24 +70,26 @@ def text_stats(docs: DataFrame) -> DataFrame:
     )
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
-    """Statistics and label y of about max_train labelled rows at most, drawn by a hash of doc_id."""
+def labelled_sample(stats: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
+    """stats and label y of about max_train labelled rows at most, drawn by a hash of doc_id. stats is best written before."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
     total, parts = known.count(), 1 << 20
     take = parts if total <= max_train else int(parts * max_train / total)
     chosen = F.broadcast(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < take))  # bounded by max_train
-    rows = docs.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
-    # written first: a filter on a statistic would otherwise be pushed below, and the statistic computed within itself
-    return written(text_stats(rows)).where(~F.col("base_failed")).join(chosen, "doc_id")
+    return stats.where(~F.col("base_failed")).join(chosen, "doc_id")
 
 
-def learn(sample: DataFrame, bins: int = 24, max_rules: int = 6, max_tests: int = 3, min_precision: float = 0.9, min_rows: int = 5) -> list[list[tuple[str, str, float]]]:
-    """The decision list: each rule is a list of (statistic, '>' or '<=', threshold) that together mean reject."""
-    # most statistics are 0 in most texts: their cut points are 0 and the quantiles of what is not 0
+def cut_points(sample: DataFrame, bins: int) -> dict[str, list[float]]:
+    """Of each statistic 0 and the quantiles of what is not 0, as most statistics are 0 in most texts."""
     some = {c: F.when(F.col(c) > 0, F.col(c)) for c in STATS}
     cuts = sample.agg(*[F.percentile_approx(some[c], [i / bins for i in range(1, bins)], 1000).alias(c) for c in STATS]).first()
+    return {c: sorted({0.0, *(cuts[c] or [])}) for c in STATS}
+
+
+def learn(sample: DataFrame, bins: int = 24, max_rules: int = 6, max_tests: int = 3, min_precision: float = 0.9, min_rows: int = 5) -> list[list[tuple[str, str, float]]]:
+    """The decision list: each rule is a list of (statistic, '>' or '<=', threshold) that together mean reject."""
     # each statistic becomes the number of its cut points below the value
-    edges = {c: sorted({0.0, *(cuts[c] or [])}) for c in STATS}
+    edges = cut_points(sample, bins)
     level = {c: sum([(F.col(c) > e).cast("int") for e in edges[c]], F.lit(0)) for c in STATS}
     grow = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) < 2
     data = written(sample.select("doc_id", "y", grow.alias("grow"), *[level[c].alias(c) for c in STATS]))
@@ -154,6 +156,8 @@ def verdict(rules: list[list[tuple[str, str, float]]]) -> Column:
 
 def apply_rules(docs: DataFrame, labels: DataFrame, max_train: int = 6000, **settings) -> DataFrame:
     """Per row of docs: the contract's counts, base_failed, kept and the number of the rule that rejected it."""
-    rules = learn(labelled_sample(docs, labels, max_train), **settings)
-    s = text_stats(docs).withColumn("rule", F.when(F.col("base_failed"), 0).otherwise(verdict(rules)))
+    # written: a filter on the result must not be pushed below the statistics, where it would make their arrays again within array functions
+    stats = written(text_stats(docs))
+    rules = learn(labelled_sample(stats, labels, max_train), **settings)
+    s = stats.withColumn("rule", F.when(F.col("base_failed"), 0).otherwise(verdict(rules)))
     return s.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept"), "rule")
