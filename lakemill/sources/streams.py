@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakemill.functions.scalar import event_time
 from lakemill.schemas import STREAMS
+from lakemill.sources.tables import KeyedTable
 from lakemill.sources.views import upsert_by_key
 
 
@@ -126,6 +127,32 @@ def upsert_stream(df: DataFrame, path: str, keys: list[str], order_by: str, chec
     return (w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)).start()
 
 
+def table_stream(df: DataFrame, table: KeyedTable, name: str, checkpoint: str, combine: dict[str, str] | None = None, transform: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append", trigger: str | None = "30 seconds", vacuum_hours: float = 24.0) -> StreamingQuery:
+    """foreachBatch into a versioned table, each micro-batch once, however often it is run.
+
+    name: the stream's name in the table's ledger; keep it with the checkpoint. The ledger is committed with the rows, so a
+    batch that was written and is run again (the driver was lost before the checkpoint knew) is passed over, and one
+    that was staged but not committed is written anew. Without combine rows replace rows of their key; with it (column
+    -> sum, min, max) they add up, as for views that count for ever. Empty batches are skipped.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        if table.seen((name, number)):
+            return
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                rows = transform(batch) if transform else batch
+                table.add(rows, combine, (name, number)) if combine else table.upsert(rows, (name, number))
+                if number % 100 == 99:
+                    table.vacuum(vacuum_hours)
+        finally:
+            batch.unpersist()
+
+    w = df.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", checkpoint).queryName(name)
+    return (w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)).start()
+
+
 def stop_all(spark: SparkSession) -> int:
     """Stops all active queries; returns how many."""
     active = list(spark.streams.active)

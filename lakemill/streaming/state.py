@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from lakemill.functions.scalar import weighted
 from lakemill.operators.rank import numbered
+from lakemill.operators.rolling import velocity
 from lakemill.sources.views import upsert_by_key
 
 
@@ -53,25 +55,170 @@ def sorted_batches(batches: Iterator[pd.DataFrame], ts: str) -> Iterator[pd.Data
         yield pd.concat(frames).sort_values(ts, kind="stable")
 
 
-def movie_state_stream(ratings: DataFrame, ts: str = "event_time") -> DataFrame:
-    """movie_id, last_vote_count, vote_delta, last_updated after each micro-batch (update mode): the incremental state."""
+def use_disk_state(spark: SparkSession) -> None:
+    """Streams that this session starts from now on keep their state in RocksDB, which keyed processors with timers need."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        votes, seen = state.get if state.exists else (None, None)
-        before = votes
-        for b in batches:
-            if not len(b):
-                continue
-            i = b[ts].idxmax()
-            micros = int(b.loc[i, ts].value // 1000)
-            if seen is None or micros >= seen:
-                votes, seen = int(b.loc[i, "vote_count"]), micros
-        state.update((votes, seen))
-        yield pd.DataFrame([(k[0], votes, votes - (before if before is not None else votes), pd.Timestamp(seen, unit="us"))], columns=["movie_id", "last_vote_count", "vote_delta", "last_updated"])
 
+def _ms(duration: str) -> int:
+    return int(pd.Timedelta(duration).total_seconds() * 1000)
+
+
+def _reset_timer(handle: StatefulProcessorHandle, at_ms: int) -> None:
+    """at_ms becomes the key's only timer."""
+    old = list(handle.listTimers())
+    if at_ms not in old:
+        handle.registerTimer(at_ms)
+    for t in old:
+        if t != at_ms:
+            handle.deleteTimer(t)
+
+
+class _MovieState(StatefulProcessor):
+    """Votes and time of a movie's latest rating; forgotten when the watermark has passed it by a lifetime."""
+
+    def __init__(self, ts: str, life_ms: int, clock: str):
+        self.ts, self.life_ms, self.clock = ts, life_ms, clock
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("latest", "votes long, seen long", self.life_ms if self.clock == "processing" else None)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        votes, seen = self.state.get() if self.state.exists() else (None, None)
+        # rows of a micro-batch come before its timers: a life that has ended is closed here
+        if self.clock == "event" and seen is not None and seen // 1000 + self.life_ms <= timerValues.getCurrentWatermarkInMs():
+            yield self._row(key, votes, 0, seen, True)
+            votes = seen = None
+        before = votes
+        for b in rows:
+            # of equal times the larger count, whatever the order of the rows
+            order = b.sort_values([self.ts, "vote_count"])
+            if len(order):
+                last = order.iloc[-1]
+                found = (int(last[self.ts].value // 1000), int(last["vote_count"]))
+                if seen is None or found >= (seen, votes if before is None else -1):
+                    seen, votes = found
+        self.state.update((votes, seen))
+        if self.clock == "event":
+            _reset_timer(self.handle, seen // 1000 + self.life_ms)
+        yield self._row(key, votes, votes - (before if before is not None else votes), seen, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        votes, seen = self.state.get()
+        self.state.clear()
+        yield self._row(key, votes, 0, seen, True)
+
+    @staticmethod
+    def _row(key, votes, delta, seen, expired) -> pd.DataFrame:
+        return pd.DataFrame({"movie_id": [key[0]], "last_vote_count": [votes], "vote_delta": [delta], "last_updated": [pd.Timestamp(seen, unit="us")], "expired": [expired]})
+
+    def close(self) -> None:
+        pass
+
+
+def movie_state_stream(ratings: DataFrame, ts: str = "event_time", lifetime: str = "48 hours", watermark: str = "10 minutes", clock: str = "event") -> DataFrame:
+    """movie_id, last_vote_count, vote_delta, last_updated, expired after each micro-batch (update mode): the incremental state.
+
+    The state of a movie that has been silent for a lifetime goes, and a movie that comes again starts anew. By the event
+    clock it goes when the watermark passes last_updated + lifetime, with a last row marked expired; by the processing
+    clock it goes silently when no row came for so long; such a query always has a next batch, so it wants a processing
+    time trigger, and an available-now one does not end. Rows stream through; none of a key's are gathered.
+    """
+    if clock not in ("event", "processing"):
+        raise ValueError("clock is event or processing")
+    use_disk_state(ratings.sparkSession)
     kind = dict(ratings.dtypes)["movie_id"]
-    src = ratings.select("movie_id", F.col("vote_count").cast("long").alias("vote_count"), F.col(ts).cast("timestamp").alias(ts)).where("vote_count is not null")
-    return src.groupBy("movie_id").applyInPandasWithState(step, f"movie_id {kind}, last_vote_count long, vote_delta long, last_updated timestamp", "votes long, seen long", "update", GroupStateTimeout.NoTimeout)
+    src = ratings.select("movie_id", F.col("vote_count").cast("long").alias("vote_count"), F.col(ts).cast("timestamp").alias(ts)).where("vote_count is not null").withWatermark(ts, watermark)
+    out = f"movie_id {kind}, last_vote_count long, vote_delta long, last_updated timestamp, expired boolean"
+    return src.groupBy("movie_id").transformWithStateInPandas(_MovieState(ts, _ms(lifetime), clock), out, "Update", "EventTime" if clock == "event" else "ProcessingTime")
+
+
+HOUR_MS = 3_600_000
+
+
+class _HourVelocity(StatefulProcessor):
+    """The last state of each recent hour of a movie, in order, and the change of its rating from hour to hour."""
+
+    def __init__(self, ts: str, life_ms: int):
+        self.ts, self.life_ms = ts, life_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        # hour -> time, votes, popularity, rating: the tuple's order is that of latest_by_hour
+        self.hours = handle.getMapState("hours", "hour long", "seen long, votes long, popularity double, rating double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new: dict[int, tuple] = {}
+        for b in rows:
+            for seen, votes, popularity, rating in zip((b[self.ts].astype("int64") // _per_us(b[self.ts])).tolist(), b["vote_count"].tolist(), b["popularity"].tolist(), b["vote_average"].tolist()):
+                hour, row = seen // (HOUR_MS * 1000) * HOUR_MS, (seen, votes, popularity, rating)
+                if hour not in new or row > new[hour]:
+                    new[hour] = row
+        changed = set()
+        self._forget(timerValues)  # rows of a micro-batch come before its timers
+        for hour, row in new.items():
+            if not self.hours.containsKey((hour,)) or row > tuple(self.hours.getValue((hour,))):
+                self.hours.updateValue((hour,), row)
+                changed.add(hour)
+        known = {k[0]: tuple(v) for k, v in self.hours.iterator()}
+        order = sorted(known)
+        if order:
+            _reset_timer(self.handle, order[0] + HOUR_MS + self.life_ms)
+        # a changed hour also changes the velocity of the hour after it, late rows included
+        out = [(key[0], order[i], known[order[i]], known[order[i - 1]][3] if i else None) for i in range(len(order)) if order[i] in changed or i and order[i - 1] in changed]
+        yield pd.DataFrame(
+            {
+                "movie_id": [m for m, *_ in out], "hour": pd.to_datetime([h for _, h, _, _ in out], unit="ms"), "vote_average": [r[3] for *_, r, _ in out], "vote_count": [r[1] for *_, r, _ in out],
+                "popularity": [r[2] for *_, r, _ in out], "rating_velocity": [0.0 if p is None or p == -1 else (r[3] - p) / (p + 1) for *_, r, p in out], "last_updated": pd.to_datetime([r[0] for *_, r, _ in out], unit="us"),
+            }
+        )
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._forget(timerValues)
+        left = [hour for (hour,) in self.hours.keys()]
+        if left:
+            self.handle.registerTimer(min(left) + HOUR_MS + self.life_ms)
+        return iter([])
+
+    def _forget(self, timerValues) -> None:
+        end = timerValues.getCurrentWatermarkInMs() - self.life_ms - HOUR_MS
+        for (hour,) in list(self.hours.keys()):
+            if hour <= end:
+                self.hours.removeKey((hour,))
+
+    def close(self) -> None:
+        pass
+
+
+def _per_us(col: pd.Series) -> int:
+    return {"ns": 1000, "us": 1}[col.dt.unit]
+
+
+HOURLY = "hour timestamp, vote_average double, vote_count long, popularity double, rating_velocity double, last_updated timestamp"
+
+
+def hourly_velocity_stream(ratings: DataFrame, ts: str = "event_time", lifetime: str = "48 hours", watermark: str = "10 minutes") -> DataFrame:
+    """movie_id, hour, the hour's last state and rating_velocity, its change from the movie's hour before it (update mode).
+
+    rating_velocity is (rating - before) / (before + 1), 0 for a movie's first hour, as `hourly_velocity` gives it for a
+    batch. Rows of one hour in several micro-batches, and late ones within the watermark, are merged: the hour and the
+    one after it are put out again. Put them in a table by (movie_id, hour): a later row replaces the one before. State
+    is versioned with the micro-batch, so a batch that is run again gives the same rows. An hour is forgotten when the
+    watermark is a lifetime behind its end; the hour after it then counts as the first. Rows without a rating are left out.
+    """
+    use_disk_state(ratings.sparkSession)
+    kind = dict(ratings.dtypes)["movie_id"]
+    src = ratings.select("movie_id", *[F.col(c).cast(t).alias(c) for c, t in (("vote_average", "double"), ("vote_count", "long"), ("popularity", "double"), (ts, "timestamp"))])
+    src = src.where("movie_id is not null and vote_average is not null").na.fill(0, ["vote_count"]).na.fill(0.0, ["popularity"]).withWatermark(ts, watermark)
+    return src.groupBy("movie_id").transformWithStateInPandas(_HourVelocity(ts, _ms(lifetime)), f"movie_id {kind}, {HOURLY}", "Update", "EventTime")
+
+
+def hourly_velocity(hours: DataFrame, metric: str = "vote_average", out: str = "rating_velocity", change: str | None = None) -> DataFrame:
+    """hours (movie_id, hour, metric) with the velocity of metric from each movie's hour before it, and its change if named."""
+    df = velocity(hours, metric, ["movie_id"], ["hour"])
+    df = df.withColumnsRenamed({f"{metric}_velocity": out} | ({f"{metric}_acceleration": change} if change else {}))
+    return df.select(*hours.columns, out, *([change] if change else []))
 
 
 def put_hour_state(batch: DataFrame, path: str) -> None:
