@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -73,15 +73,7 @@ def run_suite(df: DataFrame, suite: list[Expectation], name: str = "suite", batc
         elif e.kind == "unique":
             uniques.append((i, e))
         else:
-            x = F.col(e.column)
-            if e.kind == "not_null":
-                hold = x.isNotNull()
-            elif e.kind == "in_set":
-                hold = x.isin(*e.values)
-            else:
-                hold = (F.lit(True) if e.low is None else x >= e.low) & (F.lit(True) if e.high is None else x <= e.high)
-                hold = F.when(x.isNotNull(), hold)
-            shares[f"e{i}"] = (i, e, F.avg(hold.cast("double")))
+            shares[f"e{i}"] = (i, e, F.avg(_holds(e).cast("double")))
     parts = []
     if shares:
         one = df.agg(*[F.coalesce(f, F.lit(1.0)).alias(k) for k, (_, _, f) in shares.items()])
@@ -98,6 +90,58 @@ def run_suite(df: DataFrame, suite: list[Expectation], name: str = "suite", batc
     return out.select(F.lit(name).alias("suite"), F.lit(batch).alias("batch"), "expectation", "observed", "success")
 
 
+def _holds(e: Expectation) -> Column:
+    """Whether a row holds e; null where it is left out."""
+    x = F.col(e.column)
+    if e.kind == "not_null":
+        return x.isNotNull()
+    if e.kind == "in_set":
+        return x.isin(*e.values)
+    hold = (F.lit(True) if e.low is None else x >= e.low) & (F.lit(True) if e.high is None else x <= e.high)
+    return F.when(x.isNotNull(), hold)
+
+
+#: registers of the distinct sketches are 2**SKETCH_K; their relative standard error is about 1.04 / sqrt(2**SKETCH_K)
+SKETCH_K = 14
+
+
+def partial_results(df: DataFrame, suite: list[Expectation], partition_by: list[str], name: str = "suite") -> DataFrame:
+    """suite, part, rule, expectation, mostly, rows, held, sketch: what each partition of df adds to a suite, one pass over df.
+
+    Results of partitions merge (merged_results), so that a new partition is checked without reading the old ones. rows
+    counts the rows that an expectation looks at; a unique expectation has a sketch of its keys instead of held. Column
+    and type expectations have nothing to add up: check them where the table is written.
+    """
+    rules = [e for e in suite if e.kind not in ("columns", "type")]
+    aggs = []
+    for i, e in enumerate(rules):
+        if e.kind == "unique":
+            held, n = F.lit(None).cast("long"), F.count(F.lit(1))
+            sketch = F.hll_sketch_agg(F.xxhash64(*e.columns), F.lit(SKETCH_K))
+        else:
+            held, n, sketch = F.count_if(_holds(e)), F.count(_holds(e)), F.lit(None).cast("binary")
+        aggs.append(F.struct(F.lit(i).alias("rule"), F.lit(e.name).alias("expectation"), F.lit(float(e.mostly)).alias("mostly"), n.alias("rows"), held.alias("held"), sketch.alias("sketch")).alias(f"e{i}"))
+    part = F.concat_ws("/", *[F.coalesce(F.concat(F.lit(f"{c}="), F.col(c).cast("string")), F.lit(f"{c} is null")) for c in partition_by])
+    one = df.groupBy(part.alias("part")).agg(*aggs)
+    return one.select(F.lit(name).alias("suite"), "part", F.explode(F.array(*[f"e{i}" for i in range(len(rules))])).alias("r")).select("suite", "part", "r.*")
+
+
+def merged_results(partials: DataFrame) -> DataFrame:
+    """suite, rule, expectation, observed, error, success of all partitions together.
+
+    Shares are exact (error 0). observed of a unique expectation is the rows less the estimated distinct keys; error is
+    three standard errors of that estimate, and it succeeds where observed lies within it: few duplicates can hide there.
+    """
+    sums = partials.groupBy("suite", "rule", "expectation").agg(F.max("mostly").alias("mostly"), F.sum("rows").alias("rows"), F.sum("held").alias("held"), F.hll_union_agg("sketch").alias("sketch"))
+    unique_ = F.col("expectation").startswith("unique:")
+    error = F.when(unique_, 3 * 1.04 / 2 ** (SKETCH_K / 2) * F.col("rows")).otherwise(0.0)
+    spare = F.greatest(F.col("rows") - F.hll_sketch_estimate("sketch"), F.lit(0)).cast("double")
+    share = F.when(F.col("rows") == 0, 1.0).otherwise(F.col("held") / F.col("rows"))
+    df = sums.select("suite", "rule", "expectation", "mostly", F.when(unique_, spare).otherwise(share).alias("observed"), error.alias("error"))
+    success = F.when(F.col("expectation").startswith("unique:"), F.col("observed") <= F.col("error")).otherwise(F.col("observed") >= F.col("mostly"))
+    return df.select("suite", "rule", "expectation", "observed", "error", success.alias("success"))
+
+
 def summarise(results: DataFrame) -> DataFrame:
     """suite, batch, evaluated, successful, unsuccessful, success_percent, success."""
     n, ok = F.count("*"), F.count_if("success")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemill.functions.scalar import sentiment_band
 
@@ -101,10 +102,11 @@ def trend_summary(daily: DataFrame, tolerance: float = 0.01) -> DataFrame:
     return out.withColumn("trend", direction(F.col("change_rate"), tolerance))
 
 
-def search(movies: DataFrame, text: str | None = None, genre: str | None = None, years: tuple[int | None, int | None] = (None, None), ratings: tuple[float | None, float | None] = (None, None), sort_by: str = "popularity", limit: int = 20, offset: int = 0) -> DataFrame:
-    """A page of matching movies with page number and the total of matches, as one plan."""
-    if sort_by not in ("popularity", "rating", "release_date") or not 1 <= limit <= 100 or offset < 0:
-        raise ValueError("sort_by, limit or offset out of range")
+SORT_COLUMNS = {"popularity": "popularity", "rating": "vote_average", "release_date": "release_date"}
+
+
+def matches(movies: DataFrame, text: str | None = None, genre: str | None = None, years: tuple[int | None, int | None] = (None, None), ratings: tuple[float | None, float | None] = (None, None)) -> DataFrame:
+    """Movies whose title holds text, of a genre, and within ranges of release year and rating."""
     df = movies
     if text:
         df = df.where(F.contains(F.lower("title"), F.lit(text.lower())))
@@ -115,11 +117,40 @@ def search(movies: DataFrame, text: str | None = None, genre: str | None = None,
             df = df.where(col >= lo)
         if hi is not None:
             df = df.where(col <= hi)
-    order = {"popularity": "popularity", "rating": "vote_average", "release_date": "release_date"}[sort_by]
-    page = df.orderBy(F.desc(order), "movie_id").offset(offset).limit(limit)
+    return df
+
+
+def search(movies: DataFrame, text: str | None = None, genre: str | None = None, years: tuple[int | None, int | None] = (None, None), ratings: tuple[float | None, float | None] = (None, None), sort_by: str = "popularity", limit: int = 20, offset: int = 0) -> DataFrame:
+    """A page of matching movies with page number and the total of matches, as one plan."""
+    if sort_by not in SORT_COLUMNS or not 1 <= limit <= 100 or offset < 0:
+        raise ValueError("sort_by, limit or offset out of range")
+    df = matches(movies, text, genre, years, ratings)
+    page = df.orderBy(F.desc(SORT_COLUMNS[sort_by]), "movie_id").offset(offset).limit(limit)
     return page.withColumn("total", df.agg(F.count("*").alias("n")).scalar()).withColumn("page", F.lit(offset // limit + 1)).select("movie_id", "title", "popularity", "vote_average", "release_date", "page", "total")
 
 
+def search_after(movies: DataFrame, after: tuple[object, int] | None = None, sort_by: str = "popularity", limit: int = 20, **filters) -> DataFrame:
+    """The matching movies that follow `after`, the (sort value, movie_id) of the last row seen, with the total of matches.
+
+    A page deep in the result costs what the first one does: rows before the cursor are left out by a comparison instead
+    of being sorted and skipped. The total is observed in the same scan. Rows without a sort value come last. The
+    page itself (at most 100 rows) is made here.
+    """
+    if sort_by not in SORT_COLUMNS or not 1 <= limit <= 100:
+        raise ValueError("sort_by or limit out of range")
+    name, seen = SORT_COLUMNS[sort_by], Observation()
+    cols = ["movie_id", "title", "popularity", "vote_average", "release_date"]
+    df = matches(movies, **filters).select(*cols).observe(seen, F.count(F.lit(1)).alias("total"))
+    if after is not None:
+        value, last = after
+        tied = F.col(name).isNull() if value is None else F.col(name) == F.lit(value)
+        later = F.lit(False) if value is None else (F.col(name) < F.lit(value)) | F.col(name).isNull()
+        df = df.where(F.coalesce(later, F.lit(False)) | (F.coalesce(tied, F.lit(False)) & (F.col("movie_id") > last)))
+    page = df.orderBy(F.desc(name), "movie_id").limit(limit).collect()
+    spark = movies.sparkSession
+    return spark.createDataFrame([(*r, seen.get["total"]) for r in page], T.StructType([*df.schema.fields, T.StructField("total", T.LongType())]))
+
+
 def sentiment_history(windows: DataFrame, movie_id: int, as_of: dt.datetime, hours_back: int = 24) -> DataFrame:
     """Newest first."""
     df = windows.where((F.col("movie_id") == movie_id) & (F.col("hour") >= F.lit(as_of - dt.timedelta(hours=hours_back))))

@@ -58,6 +58,17 @@ def write_layer(df: DataFrame, root: str, layer: str, dataset: str, append: bool
         out.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(lake_path(root, layer, dataset))
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, compact: bool = False) -> DataFrame:
+    """df as a table of the catalog, in buckets of key, sorted within; returns the table.
+
+    Tables of one number of buckets are joined and grouped by key without moving a row. Every task writes a file for each
+    bucket it holds, which a hot key does not slow down; compact deals rows by key first, for one file a bucket.
+    """
+    out = df.repartition(buckets, key) if compact else df
+    out.write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("overwrite").format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def ingest_bronze(sources: list[DataFrame], key: str, extracted_at: dt.datetime, root: str, dataset: str) -> DataFrame:
     """Sources united, one row a key (the last source wins), metadata added, appended to Bronze; returns what was written."""
     from lakemill.operators.dedup import union_latest

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -56,6 +56,38 @@ def avro_schema(schema: T.StructType, name: str) -> str:
     return json.dumps({"type": "record", "name": name, "fields": [{"name": f.name, "type": ["null", of(f.dataType)], "default": None} for f in schema.fields]})
 
 
+def schema_id(value: str = "value") -> Column:
+    """The number in the registry's 5-byte header (a zero byte, then 4 bytes, most significant first); null without one."""
+    v = F.col(value)
+    return F.when((F.length(v) > 5) & (F.hex(F.substring(v, 1, 1)) == "00"), F.conv(F.hex(F.substring(v, 2, 4)), 16, 10).cast("long"))
+
+
+def decode_registered(df: DataFrame, kind: str, writers: dict[int, T.StructType], fmt: str = "avro") -> tuple[DataFrame, DataFrame]:
+    """(decoded, unknown) of framed messages that several writer schemas share a topic for.
+
+    writers: registry number -> the schema that the message was written with. Each message is read with its own and
+    resolved to the stream's: fields that the writer did not know are null, those that the stream does not know are left
+    out, numbers are widened. avro leaves the resolution to the decoder (writer and reader schema; it needs the spark-avro
+    package); json does it by name. Messages without a header or of an unknown number keep their columns.
+    """
+    reader, body = STREAMS[kind], F.expr("substring(value, 6)")
+
+    def read(writer: T.StructType) -> Column:
+        if fmt == "avro":
+            from pyspark.sql.avro.functions import from_avro
+
+            return from_avro(body, avro_schema(writer, kind), {"avroSchema": avro_schema(reader, kind)})
+        data = F.from_json(body.cast("string"), writer)
+        return F.when(data.isNotNull(), F.struct(*[(data[f.name].try_cast(f.dataType) if f.name in writer.names else F.lit(None).cast(f.dataType)).alias(f.name) for f in reader.fields]))
+
+    tagged = df.withColumn("_id", schema_id())
+    data = F.coalesce(*[F.when(F.col("_id") == n, read(w)) for n, w in writers.items()])
+    known = F.coalesce(F.col("_id").isin(*writers), F.lit(False))
+    when = F.col("timestamp") if "timestamp" in df.columns else F.lit(None).cast("timestamp")
+    decoded = tagged.where(known).select("_id", data.alias("data"), when.alias("kafka_timestamp")).select("data.*", "kafka_timestamp", F.col("_id").alias("schema_id"))
+    return decoded, tagged.where(~known).withColumnRenamed("_id", "schema_id")
+
+
 def with_event_time(df: DataFrame, ms: str = "timestamp") -> DataFrame:
     return df.withColumn("event_time", event_time(ms))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakemill.operators.dedup import latest_by
 from lakemill.schemas import BATCH_VIEW_KEYS, SPEED_VIEW_KEYS, TTL_HOURS
+from lakemill.sources.tables import KeyedTable
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -101,11 +102,18 @@ def purge(spark: SparkSession, path: str, ts: str, ttl_hours: float, as_of: dt.d
     counts = expired_count(df, ts, ttl_hours, as_of).first().asDict()
     if counts["deleted"]:
         staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
-        expire(df, ts, ttl_hours, as_of).write.parquet(staged)
+        expire(df, ts, ttl_hours, as_of).write.partitionBy(*folder_columns(df, path)).parquet(staged)
         _replace(spark, staged, path)
     return counts
 
 
+def folder_columns(df: DataFrame, path: str) -> list[str]:
+    """The partition columns of the table at path, in the order of its folders, which a rewrite must keep."""
+    files = df.inputFiles()
+    below = files[0].split(path.rstrip("/").split("/")[-1], 1)[-1].split("/")[:-1] if files else []
+    return [c for c in (x.split("=", 1)[0] for x in below if "=" in x) if c in df.columns]
+
+
 def tag_batch_view(gold: DataFrame, view_type: str) -> DataFrame:
     """Gold rows without partition columns, tagged for serving. An unknown view_type is an error."""
     if view_type not in BATCH_VIEW_KEYS:
@@ -113,6 +121,16 @@ def tag_batch_view(gold: DataFrame, view_type: str) -> DataFrame:
     return gold.drop("partition_year", "partition_month").withColumn("view_type", F.lit(view_type))
 
 
+def batch_view_table(spark: SparkSession, root: str, view_type: str) -> KeyedTable:
+    """The versioned table of a batch view, keyed by its natural key; the row computed last stays."""
+    return KeyedTable(spark, f"{root}/{view_type}", BATCH_VIEW_KEYS[view_type], "computed_at")
+
+
+def speed_view_table(spark: SparkSession, root: str, view: str, order_by: str, partition_by: list[str] = ()) -> KeyedTable:
+    """The versioned table of a speed view, by its primary key."""
+    return KeyedTable(spark, f"{root}/{view}", SPEED_VIEW_KEYS[view], order_by, partition_by)
+
+
 def export_batch_views(gold: dict[str, DataFrame], path: str) -> dict[str, str]:
     """Upserts each Gold dataset into path/<view_type>; returns ok or the error of each, going on after a failure."""
     done = {}
