@@ -70,13 +70,15 @@ def text_stats(docs: DataFrame) -> DataFrame:
     )
 
 
-def labelled_sample(stats: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
-    """stats and label y of about max_train labelled rows at most, drawn by a hash of doc_id. stats is best written before."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
+    """Statistics and label y of about max_train labelled rows at most, drawn by a hash of doc_id."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
     total, parts = known.count(), 1 << 20
     take = parts if total <= max_train else int(parts * max_train / total)
     chosen = F.broadcast(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < take))  # bounded by max_train
-    return stats.where(~F.col("base_failed")).join(chosen, "doc_id")
+    rows = docs.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
+    # written first: a filter on a statistic would otherwise be pushed below, and the statistic computed within itself
+    return written(text_stats(rows)).where(~F.col("base_failed")).join(chosen, "doc_id")
 
 
 def cut_points(sample: DataFrame, bins: int) -> dict[str, list[float]]:
@@ -156,8 +158,11 @@ def verdict(rules: list[list[tuple[str, str, float]]]) -> Column:
 
 def apply_rules(docs: DataFrame, labels: DataFrame, max_train: int = 6000, **settings) -> DataFrame:
     """Per row of docs: the contract's counts, base_failed, kept and the number of the rule that rejected it."""
-    # written: a filter on the result must not be pushed below the statistics, where it would make their arrays again within array functions
-    stats = written(text_stats(docs))
-    rules = learn(labelled_sample(stats, labels, max_train), **settings)
+    rules = learn(labelled_sample(docs, labels, max_train), **settings)
+    used = {c for rule in rules for c, _, _ in rule}
+    # written: a filter on the result must not be pushed below the statistics, where it would make their arrays again
+    # within array functions; statistics that no rule tests are left out
+    stats = text_stats(docs)
+    stats = written(stats.select(*[c for c in stats.columns if c not in STATS or c in used]))
     s = stats.withColumn("rule", F.when(F.col("base_failed"), 0).otherwise(verdict(rules)))
     return s.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept"), "rule")

@@ -112,8 +112,7 @@ def test_covering_equals_its_plain_restatement(spark, kind):
     elif kind == "noise":
         sample = stats_table(spark, [(i, int(i * 7919 % 11 > 3) if s["symbol_share"] < 0.8 else y, s) for i, y, s in conjunction_rows()])
     else:
-        stats = q.written(q.text_stats(spark.read.parquet(f"{SF}/documents.parquet")))
-        sample = q.labelled_sample(stats, spark.read.parquet(f"{SF}/labels.parquet"), 6000)
+        sample = q.labelled_sample(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"), 6000)
     sample = q.written(sample)
     edges = q.cut_points(sample, 24)
     rows = [r.asDict() for r in sample.withColumn("grow", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) < 2).collect()]
