@@ -124,7 +124,8 @@ def proximity_matches(index: DataFrame, items: DataFrame, terms: DataFrame, leng
     # only the words around a start are looked at; blocks meet their candidates whole, and no position is a row
     begin = F.greatest(F.col("start") - slack, F.lit(0))
     around = F.slice("w", begin + 1, F.col("start") + F.col("n") + slack - begin)
-    near = need.join(index.select("row", "w"), "row").where(F.size(F.array_except("ws", around)) == 0)
+    blocks = index.select("row", "w").join(sized(written(cand.select("row").distinct())), "row", "left_semi")
+    near = need.join(blocks, "row").where(F.size(F.array_except("ws", around)) == 0)
     return near.select("row", "item", "first", "start")
 
 
