@@ -110,6 +110,29 @@ def test_recall_against_brute_force(spark):
     assert want >= 5 and found >= 0.9 * want, (found, want)
 
 
+@pytest.mark.parametrize("even", [False, True])
+def test_nine_of_ten_edited_texts_are_found(spark, even):
+    """Pairs at and little above the similarity, their edits spread at random or evenly."""
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(5000)]
+    texts, at = [], [0.80, 0.82, 0.85]
+    for similarity in at:
+        for n in [50, 100, 300, 1000] * 25:
+            one = [vocab[min(int(rng.paretovariate(1) * 20), 4999)] for _ in range(n)]
+            # rounded down, so that no pair is below the similarity
+            edits = int((1 - similarity) * n + 1e-9)
+            two = list(one)
+            for p in [i * n // edits for i in range(edits)] if even else rng.sample(range(n), edits):
+                two[p] = f"new{rng.randrange(10**12)}"
+            texts += [" ".join(one), " ".join(two)]
+    cls = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs(spark, *texts)).collect()}
+    same = [cls[i] == cls[i + 1] for i in range(0, len(texts), 2)]
+    found = [sum(same[i : i + 100]) for i in range(0, len(same), 100)]
+    assert min(found) >= 90, dict(zip(at, found))
+    # texts that are not alike stay apart
+    assert len(set(cls.values())) == len(texts) - sum(found)
+
+
 def test_large_group_of_copies_is_one_class(spark):
     base = words(3, 120)
     texts = [" ".join(base[:k] + ["y"] + base[k + 1 :]) for k in range(120)] + [" ".join(words(100 + k, 80)) for k in range(40)]
@@ -125,7 +148,7 @@ def test_buckets_are_exhausted(spark):
         at = set(r.sample(range(150), r.randrange(12, 22)))
         texts.append(" ".join(f"e{i}x{k}" if k in at else w for k, w in enumerate(base)))
     d = docs(spark, *texts).repartition(5)
-    sk = {x["doc_id"]: x["sk"] for x in near_dedup.sketches(d, 5, 24, 2).collect()}
+    sk = {x["doc_id"]: x["sk"] for x in near_dedup.sketches(d, [(5, 24), (3, 36)], 2).collect()}
     cls = list(range(150))
     for a in range(150):
         for b in range(a):
