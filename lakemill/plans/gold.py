@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.operators.rank import global_percent_rank
@@ -90,8 +90,6 @@ def similar_movies(movies: DataFrame, targets: DataFrame, k: int = 5) -> DataFra
     near = want.select("fs").distinct().select(F.col("fs").alias("ts"), F.explode("fs").alias("f")).join(kinds, "f").groupBy("ts", "fs").agg(F.count("*").alias("n"))
     near = near.select("ts", "fs", (F.col("n") / (F.size("ts") + F.size("fs") - F.col("n"))).alias("similarity"))
     # of each set only its k + 1 most popular movies can be among a target's k
-    from pyspark.sql import Window
-
     best = sets.withColumn("r", F.row_number().over(Window.partitionBy("fs").orderBy(F.desc("popularity"), "movie_id"))).where(F.col("r") <= k + 1)
     out = want.withColumnRenamed("fs", "ts").join(near, "ts").join(best, "fs").where("movie_id <> target")
     w = Window.partitionBy("target").orderBy(F.desc("similarity"), F.desc("popularity"), "movie_id")
@@ -107,20 +105,21 @@ def demand_forecast(points: DataFrame, key: str, x: str, y: str, ahead: float) -
 def collaboration_edges(credits: DataFrame, block: int = 50) -> DataFrame:
     """a, b, movies: how many movies two people share.
 
-    The pairs of a list of at most `block` people are made from its own array. A longer list is cut into blocks, and
-    each pair of its blocks meets in a row of its own, which gives at most block^2 pairs whatever the list's length.
+    The distinct people of a movie are numbered in rising order as rows and gathered by block, so no row holds more than
+    `block` people. The pairs of a block are made from its own array, and each pair of a movie's blocks meets in a row
+    of its own, which gives at most block^2 pairs whatever the list's length.
     """
-    people = F.filter(F.transform("cast", lambda x: x["person_id"]), lambda x: x.isNotNull())
-    lists = credits.where("movie_id is not null").groupBy("movie_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(people)))).alias("ids"))
+    person = F.explode(F.transform("cast", lambda x: x["person_id"])).alias("person")
+    people = credits.where("movie_id is not null").select("movie_id", person).where("person is not null").distinct()
+    w = Window.partitionBy("movie_id").orderBy("person")
+    at = F.floor((F.row_number().over(w) - 1) / block).cast("int")
+    blocks = people.withColumn("at", at).groupBy("movie_id", "at").agg(F.array_sort(F.collect_list("person")).alias("ids"))
     # each block with itself: in sorted order a is before b
-    last = F.ceil(F.size("ids") / block) - 1
-    blocks = lists.where(F.size("ids") > 1).select("movie_id", last.alias("last"), F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("ids", (i * block + 1).cast("int"), block))).alias("at", "ids"))
     own = F.flatten(F.transform("ids", lambda a, i: F.transform(F.slice("ids", i + 2, block), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    inner = blocks.select(F.explode(own).alias("p"))
-    # and with each later block of the list
-    long = blocks.where("last > 0")
-    one = long.where("at < last").select("movie_id", F.col("ids").alias("xs"), F.explode(F.sequence(F.col("at") + 1, F.col("last").cast("int"))).alias("at"))
-    both = one.join(long.select("movie_id", "at", F.col("ids").alias("ys")), ["movie_id", "at"])
+    inner = blocks.where(F.size("ids") > 1).select(F.explode(own).alias("p"))
+    # and with each earlier block of the list
+    one = blocks.where("at > 0").select("movie_id", F.col("ids").alias("ys"), F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("at"))
+    both = one.join(blocks.where(F.size("ids") == block).select("movie_id", "at", F.col("ids").alias("xs")), ["movie_id", "at"])
     cross = F.flatten(F.transform("xs", lambda a: F.transform("ys", lambda b: F.struct(a.alias("a"), b.alias("b")))))
     pairs = inner.unionByName(both.select(F.explode(cross).alias("p")))
     return pairs.groupBy("p.a", "p.b").agg(F.count("*").alias("movies"))

@@ -143,7 +143,8 @@ def collaboration_edges(spark, sf):
 
 
 @query(
-    """SELECT CAST(movie_id AS INTEGER) AS movie_id, title, CASE WHEN movie_id % 7 = 0 THEN NULL ELSE CAST(release_date AS VARCHAR) END AS release_date, popularity, vote_average, CAST(vote_count + 1 AS INTEGER) AS vote_count,
+    """SELECT CAST(movie_id AS INTEGER) AS movie_id, title, title AS original_title, '' AS overview, false AS adult, CAST(NULL AS VARCHAR) AS poster_path, CAST(NULL AS VARCHAR) AS backdrop_path, 'en' AS original_language,
+    CASE WHEN movie_id % 7 = 0 THEN NULL ELSE CAST(release_date AS VARCHAR) END AS release_date, popularity, vote_average, CAST(vote_count + 1 AS INTEGER) AS vote_count,
     TIMESTAMP '2024-01-30 23:00:00' AS processed_timestamp, CASE WHEN movie_id % 5 = 0 THEN '' WHEN movie_id % 2 = 0 THEN 'Action,Unknown' ELSE 'Drama,Unknown' END AS genres,
     CASE WHEN movie_id % 7 = 0 THEN 'WARNING' ELSE 'OK' END AS quality_flag, CAST(CASE WHEN movie_id % 7 = 0 THEN 2024 ELSE year(release_date) END AS INTEGER) AS partition_year,
     CAST(CASE WHEN movie_id % 7 = 0 THEN 1 ELSE month(release_date) END AS INTEGER) AS partition_month, CASE WHEN movie_id % 5 = 0 THEN 'Unknown' WHEN movie_id % 2 = 0 THEN 'Action' ELSE 'Drama' END AS partition_genre FROM movies""",
@@ -151,7 +152,7 @@ def collaboration_edges(spark, sf):
 )
 def silver_movies(spark, sf):
     df = silver.silver_movies(fx.bronze_movies(spark, sf), fx.EXTRACTED, 4)
-    return df.drop("original_title", "overview", "adult", "poster_path", "backdrop_path", "original_language").withColumns({"genres": F.concat_ws(",", "genres"), "release_date": F.col("release_date").cast("string")})
+    return df.withColumns({"genres": F.concat_ws(",", "genres"), "release_date": F.col("release_date").cast("string")})
 
 
 @query(
@@ -808,6 +809,24 @@ def stream_hourly_state(spark, sf):
     return _run_to_table(spark, windows.latest_by_hour(_event_stream(spark, sf))).select("movie_id", "hour", "vote_count", "popularity")
 
 
+def _review_stream(spark, sf):
+    """The documents file as a stream of reviews."""
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    df = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    return df.select((F.col("doc_id") % 50).alias("movie_id"), F.col("text").alias("content"), F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 60).alias("event_time"))
+
+
+@query("SELECT * FROM hour_sentiment WHERE window_end <= (SELECT max(created_at) FROM reviews) - INTERVAL 10 MINUTE", "avg_sentiment")
+def stream_sentiment_windows(spark, sf):
+    scored = sentiment.compound_score(_review_stream(spark, sf), "content", fx.LEXICON)
+    return _run_to_table(spark, windows.sentiment_windows(scored, duration="1 hour"))
+
+
+@query("SELECT movie_id, hour, 0.5 * popularity + 0.5 * vote_count AS trending_score FROM hour_state WHERE hour + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM ratings) - INTERVAL 10 MINUTE", "trending_score")
+def stream_hourly_trend(spark, sf):
+    return _run_to_table(spark, detect.hourly_trend(_event_stream(spark, sf))).select("movie_id", "hour", "trending_score")
+
+
 # ---- layers, written and read again ---------------------------------------------------------------------------------
 
 

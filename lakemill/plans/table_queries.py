@@ -113,6 +113,14 @@ for _name in ("hourly_velocity", "stream_hourly_velocity"):
 SELECT movie_id, hour, round(vote_average, 9) + 0.0 AS vote_average, vote_count, round(popularity, 9) + 0.0 AS popularity, last_updated, round(rating_velocity, 9) + 0.0 AS rating_velocity FROM hv"""
 
 
+@query("SELECT hour, rank, movie_id, trending_score FROM hour_top", "trending_score")
+def stream_trending_topn(spark, sf):
+    """The hours' lists, made anew with each of three micro-batches of rising time."""
+    path = _root(spark)
+    state.trending_topn_stream(_rating_slices(spark, sf), path, f"{path}/check", trigger=None).awaitTermination()
+    return state.hour_tables(spark, path)[1].read().select("hour", "rank", "movie_id", "trending_score")
+
+
 @query("SELECT movie_id, count(*) AS ratings, CAST(sum(vote_count) AS BIGINT) AS votes, max(popularity) AS top, max(event_time) AS last FROM ratings GROUP BY 1", "top")
 def stream_running_totals(spark, sf):
     """Totals that add up over micro-batches; every batch is offered twice and counted once."""

@@ -1,4 +1,4 @@
-"""Stateful streaming operators: per-key velocity and movie state, and cumulative hour tables for foreachBatch."""
+"""Stateful streaming operators: per-key velocity and movie state, and cumulative hour tables and top lists for foreachBatch."""
 
 from __future__ import annotations
 
@@ -7,13 +7,16 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from lakemill.functions.scalar import weighted
 from lakemill.operators.rank import numbered
 from lakemill.operators.rolling import velocity
+from lakemill.sources.tables import KeyedTable
 from lakemill.sources.views import upsert_by_key
+from lakemill.streaming.windows import latest_by_hour
 
 
 def velocity_stream(df: DataFrame, key: str, metric: str, ts: str = "event_time", idle: str = "2 hours", watermark: str = "10 minutes") -> DataFrame:
@@ -236,6 +239,48 @@ def put_hour_state(batch: DataFrame, path: str) -> None:
     upsert_by_key(path, rows, ["movie_id", "hour"], "last_updated", ["date_hour"])
 
 
+def hour_tables(spark: SparkSession, root: str) -> tuple[KeyedTable, KeyedTable]:
+    """The tables of trending_topn_stream: the last state of each movie and hour, and the hours' lists, both by day."""
+    return KeyedTable(spark, f"{root}/hours", ["day", "hour", "movie_id"], "last_updated", ["day"]), KeyedTable(spark, f"{root}/top", ["day", "hour", "rank"], "", ["day"])
+
+
+def trending_topn_stream(ratings: DataFrame, root: str, checkpoint: str, n: int = 100, min_popularity: float = 10.0, min_votes: int = 10, ts: str = "event_time", name: str = "trending_topn", trigger: str | None = "30 seconds", vacuum_hours: float = 24.0) -> StreamingQuery:
+    """The top n of each hour, kept while ratings arrive; hour_tables(spark, root)[1].read() is the list at any time.
+
+    Each micro-batch competes with the stored state of its movies and hours, where the later event stays, however late
+    it comes: there is no watermark. The lists of the days it touches are then ranked anew from the state and put in
+    the place of the old ones in one commit, so a rank is never given twice and a movie that falls below the limits
+    leaves. Both tables have the batch in their ledgers: one that is run again after the state was committed and
+    before the lists were only makes the lists. Rows without a movie or a time are left out. Only the touched days'
+    state is read; purge() of both tables ends their lives.
+    """
+    spark = ratings.sparkSession
+    hours, top = hour_tables(spark, root)
+
+    def put(batch: DataFrame, number: int) -> None:
+        at = (name, number)
+        if top.seen(at):
+            return
+        last = latest_by_hour(batch.where(F.col(ts).isNotNull()), ts, None)
+        # the order of the columns is that of the comparison of equal times
+        rows = last.select(F.to_date("hour").alias("day"), "hour", "movie_id", "vote_count", "popularity", "vote_average", "last_updated").persist()
+        try:
+            if rows.isEmpty():
+                return
+            days = hours.partitions(rows)
+            hours.add(rows, {}, at)
+            lists = hour_top_list(hours.read(only=days), n, min_popularity, min_votes)
+            top.replace(lists.withColumn("day", F.to_date("hour")), days, at)
+            if number % 100 == 99:
+                hours.vacuum(vacuum_hours)
+                top.vacuum(vacuum_hours)
+        finally:
+            rows.unpersist()
+
+    w = ratings.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).queryName(name)
+    return (w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)).start()
+
+
 def hour_top_list(state: DataFrame, n: int = 100, min_popularity: float = 10.0, min_votes: int = 10) -> DataFrame:
     """The hours' lists ranked anew from cumulative state, so no rank is given twice."""
     df = state.where((F.col("popularity") >= min_popularity) & (F.col("vote_count") >= min_votes)).withColumn("trending_score", weighted((0.5, "popularity"), (0.5, "vote_count")))

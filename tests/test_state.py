@@ -223,6 +223,54 @@ def counting_source(spark, n):
     return spark.range(n).mapInPandas(pass_on, "id long"), made
 
 
+def _lists(spark, root):
+    return sorted((r["hour"], r["rank"], r["movie_id"], r["trending_score"]) for r in state.hour_tables(spark, root)[1].read().collect())
+
+
+def test_top_lists_follow_late_rows_and_shrink(spark, tmp_path):
+    day = dt.timedelta(days=1)
+    put(spark, f"{tmp_path}/in", [(1, 5.0, 20, 40.0, T0), (2, 5.0, 20, 60.0, T0), (3, 5.0, 5, 90.0, T0), (1, 5.0, 20, 20.0, T0 + day), (None, 5.0, 20, 20.0, T0)])
+    run = lambda: state.trending_topn_stream(source(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/check", n=2, trigger=None).awaitTermination()
+    run()
+    next_day = (T0 + day, 1, 1, 20.0)
+    assert _lists(spark, f"{tmp_path}/out") == [(T0, 1, 2, 40.0), (T0, 2, 1, 30.0), next_day]
+    # a day late: 3 enters, 2 falls below the least popularity; an older row of 1 changes nothing
+    minute = dt.timedelta(minutes=1)
+    put(spark, f"{tmp_path}/in", [(3, 5.0, 20, 80.0, T0 + minute), (2, 5.0, 20, 1.0, T0 + minute), (1, 5.0, 99, 99.0, T0 - minute)])
+    run()
+    assert _lists(spark, f"{tmp_path}/out") == [(T0 - dt.timedelta(hours=1), 1, 1, 99.0), (T0, 1, 3, 50.0), (T0, 2, 1, 30.0), next_day]
+    # nothing of the day is left in the list
+    put(spark, f"{tmp_path}/in", [(1, 5.0, 1, 1.0, T0 + day + minute)])
+    run()
+    assert next_day[0] not in {r[0] for r in _lists(spark, f"{tmp_path}/out")}
+
+
+def test_top_lists_are_made_when_the_driver_died_after_the_state(spark, tmp_path, monkeypatch):
+    put(spark, f"{tmp_path}/in", [(1, 5.0, 20, 40.0, T0), (2, 5.0, 20, 60.0, T0)])
+    run = lambda: state.trending_topn_stream(source(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/check", trigger=None).awaitTermination()
+
+    def dies(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(KeyedTable, "replace", dies)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    hours, top = state.hour_tables(spark, f"{tmp_path}/out")
+    assert hours.manifest().version == 1 and not top.exists()
+    run()
+    assert hours.manifest().version == 1 and _lists(spark, f"{tmp_path}/out") == [(T0, 1, 2, 40.0), (T0, 2, 1, 30.0)]
+
+
+def test_replaced_partitions_lose_their_old_rows(spark, tmp_path):
+    table = KeyedTable(spark, f"{tmp_path}/lists", ["p", "k"], "", ["p"])
+    rows = lambda *r: spark.createDataFrame(r, "p string, k int")
+    table.replace(rows(("a", 1), ("a", 2), ("b", 1), (None, 1)))
+    table.replace(rows(("a", 3)), table.partitions(rows((None, 0))))
+    assert sorted((r["p"], r["k"]) for r in table.read().collect()) == [("a", 3), ("b", 1)]
+    assert table.replace(rows(("c", 1)), batch=("s", 0)) == 1 and table.replace(rows(("c", 2)), batch=("s", 0)) == 0
+
+
 def test_counts_come_from_the_run_that_writes(spark, tmp_path):
     src, made = counting_source(spark, 1000)
     counts = StageCounts()
