@@ -23,8 +23,13 @@ def global_percent_rank(df: DataFrame, metric: str, keys: list[str] = (), ascend
     """
     keys = list(keys)
     counts = df.groupBy(*keys, metric).agg(F.count("*").alias("_n")).withColumn("_v", F.col(metric) if ascending else -F.col(metric))
-    cuts = counts.agg(F.percentile_approx("_v", [i / ranges for i in range(1, ranges)]).alias("c")).scalar()
-    dealt = counts.withColumn("_cuts", cuts).withColumn("_p", F.size(F.filter(F.coalesce("_cuts", F.array()), lambda x: x < F.col("_v")))).drop("_cuts")
+    # the number of cuts below a value, by every step-th cut first and then by the step cuts behind those
+    step = max(2, round(ranges**0.5))
+    cuts = counts.agg(F.percentile_approx("_v", [i / ranges for i in range(1, ranges)]).alias("all"))
+    cuts = cuts.select(F.struct("all", F.filter("all", lambda x, i: (i + 1) % step == 0).alias("coarse"))).scalar()
+    below = lambda xs: F.size(F.filter(F.coalesce(xs, F.array()), lambda x: x < F.col("_v")))
+    dealt = counts.withColumn("_cuts", cuts).withColumn("_p", below(F.col("_cuts.coarse")) * step)
+    dealt = dealt.withColumn("_p", F.col("_p") + below(F.slice("_cuts.all", F.col("_p") + 1, step))).drop("_cuts")
     within = Window.partitionBy(*keys, "_p").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     part = dealt.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0)))
     totals = dealt.groupBy(*keys, "_p").agg(F.sum("_n").alias("_t"))
