@@ -75,6 +75,19 @@ def weighted(*parts: tuple[float, Column | str]) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(c(x).cast("double"), F.lit(0.0)) * w for w, x in parts])
 
 
+def stable_mean(x: Column | str) -> Column:
+    """avg of doubles that is the same whatever order rows arrive and partial sums merge in, so that equal groups tie.
+
+    The multiple of 2^-20 nearest to each value adds up without rounding (sums below 2^33), and the rests are so small
+    that the rounding of their sum is lost in that of the total. Larger values add up as they come.
+    """
+    v = c(x).cast("double")
+    near = F.rint(v * 1048576.0) / 1048576.0
+    small = F.abs(v) < 8589934592.0
+    total = F.sum(F.when(small, near).otherwise(v)) + F.sum(F.when(v.isNotNull(), F.when(small, v - near).otherwise(0.0)))
+    return F.try_divide(total, F.count(v))
+
+
 def ratio(a: Column | str, b: Column | str, when: Column | None = None, default: float = 0.0) -> Column:
     """a / b where b (and the condition) allows, else the default."""
     q = F.try_divide(c(a).cast("double"), c(b).cast("double"))

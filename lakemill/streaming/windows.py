@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.functions.scalar import ratio, sentiment_band
+from lakemill.functions.scalar import ratio, sentiment_band, stable_mean
 
 
 def _watermarked(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
@@ -64,10 +64,13 @@ def popularity_windows(events: DataFrame, duration: str = "5 minutes", watermark
 
 
 def trend_velocity(events: DataFrame, duration: str = "5 minutes", watermark: str | None = "10 minutes", ts: str = "event_time") -> DataFrame:
-    """Per movie and window: trend means, volume, velocity (max - mean) / count and acceleration (|delta| + |rating velocity|) / 2."""
+    """Per movie and window: trend means, volume, velocity (max - mean) / count and acceleration (|delta| + |rating velocity|) / 2.
+
+    The means do not depend on the order of rows, as ranks by score would tell equal movies apart by their last bits.
+    """
     aggs = [
-        F.min_by("title", ts).alias("title"), F.avg("trend_score").alias("avg_trend_score"), F.max("trend_score").alias("max_trend_score"), F.avg("popularity_delta").alias("avg_popularity_delta"),
-        F.avg("rating_velocity").alias("avg_rating_velocity"), F.sum("review_volume").alias("total_review_volume"), F.count("*").alias("event_count"),
+        F.min_by("title", ts).alias("title"), stable_mean("trend_score").alias("avg_trend_score"), F.max("trend_score").alias("max_trend_score"), stable_mean("popularity_delta").alias("avg_popularity_delta"),
+        stable_mean("rating_velocity").alias("avg_rating_velocity"), F.sum("review_volume").alias("total_review_volume"), F.count("*").alias("event_count"),
     ]
     out = time_windows(events, ts, duration, None, watermark, ["movie_id"], aggs)
     vel = ratio(F.col("max_trend_score") - F.col("avg_trend_score"), "event_count", F.col("event_count") > 1)

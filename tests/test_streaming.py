@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.functions.scalar import stable_mean
 from lakemill.plans import fixtures as fx
 from lakemill.sources import streams
-from lakemill.streaming import state, windows
+from lakemill.streaming import detect, state, windows
 
 SCHEMA = T.StructType([T.StructField("movie_id", T.IntegerType()), T.StructField("vote_average", T.DoubleType()), T.StructField("vote_count", T.IntegerType()), T.StructField("popularity", T.DoubleType()), T.StructField("event_time", T.TimestampType())])
 T0 = dt.datetime(2024, 1, 1)
@@ -126,3 +127,19 @@ def test_key_value_and_avro_schema(spark):
 def test_kafka_needs_its_package(spark):
     with pytest.raises(Exception):
         streams.read_stream(spark, "kafka", subscribe="x", **{"kafka.bootstrap.servers": "localhost:1"})
+
+
+def test_equal_days_tie_whatever_order_their_events_come_in(spark):
+    values = (0.1, 0.2, 0.3, 60.7, 70.9)
+    rows = [(m, "t", v, 2.0, 2.0, 50, dt.datetime(2024, 1, 1, 0, i)) for m, vs in ((1, values), (2, values[::-1]), (3, values[2:] + values[:2])) for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "movie_id long, title string, trend_score double, popularity_delta double, rating_velocity double, review_volume long, event_time timestamp")
+    for split in (1, 4):
+        got = windows.trend_velocity(df.repartition(split, "event_time"), "1 day")
+        assert got.select("avg_trend_score", "trend_velocity").distinct().count() == 1
+        assert [r["movie_id"] for r in detect.breakout_movies(got).orderBy("rank").collect()] == [1, 2, 3]
+
+
+def test_stable_mean_of_odd_values(spark):
+    rows = [("none", None), ("some", None), ("some", 2.0), ("inf", float("inf")), ("inf", 1.0), ("large", 1e300), ("large", 3e300), ("nan", float("nan"))]
+    got = {r["k"]: r["m"] for r in spark.createDataFrame(rows, "k string, x double").groupBy("k").agg(stable_mean("x").alias("m")).collect()}
+    assert got["none"] is None and got["some"] == 2.0 and got["inf"] == float("inf") and got["large"] == 2e300 and got["nan"] != got["nan"]
