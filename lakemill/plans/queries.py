@@ -786,9 +786,14 @@ def decode_framed(spark, sf):
 # ---- streams run to their end (no SQL oracle but for the closed windows) --------------------------------------------
 
 
+def _table_stream(spark, sf, name: str, schema: T.StructType) -> DataFrame:
+    """A given table, one file or a folder of them, as a stream; by a pattern, as a path of its own would have to be a folder."""
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
+
+
 def _event_stream(spark, sf):
     schema = T.StructType.fromDDL("event_id long, ts timestamp, user_id long, event_type string, value double, props string")
-    df = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    df = _table_stream(spark, sf, "events", schema)
     return df.select(F.col("user_id").alias("movie_id"), F.least(F.col("value") / 20, F.lit(10.0)).alias("vote_average"), F.get_json_object("props", "$.k").cast("int").alias("vote_count"), F.col("value").alias("popularity"), F.col("ts").alias("event_time"))
 
 
@@ -810,9 +815,9 @@ def stream_hourly_state(spark, sf):
 
 
 def _review_stream(spark, sf):
-    """The documents file as a stream of reviews."""
+    """The documents as a stream of reviews."""
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
-    df = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    df = _table_stream(spark, sf, "documents", schema)
     return df.select((F.col("doc_id") % 50).alias("movie_id"), F.col("text").alias("content"), F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 60).alias("event_time"))
 
 

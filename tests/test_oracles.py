@@ -43,3 +43,11 @@ def test_query_equals_oracle(spark, sf, con, name):
     for x, y in zip(a, b):
         for u, v in zip(x, y):
             assert u == v or (isinstance(u, float) and isinstance(v, float) and abs(u - v) < 1e-8) or str(u) == str(v), (x, y)
+
+
+def test_streams_read_tables_that_are_folders(spark, sf, tmp_path):
+    for name in ("documents", "events"):
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name in ("stream_sentiment_windows", "stream_hourly_state"):
+        one, parts = (QUERIES[name](spark, d).toPandas() for d in (sf, str(tmp_path)))
+        assert len(one) and _rows(one) == _rows(parts)
