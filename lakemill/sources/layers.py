@@ -49,9 +49,10 @@ def partition_columns(layer: str, dataset: str) -> list[str]:
 
 def write_layer(df: DataFrame, root: str, layer: str, dataset: str, append: bool = False) -> None:
     """Writes by the layer's partition columns. Without append the partitions that df touches are replaced, so a
-    stage that runs twice leaves one copy. Rows are dealt by partition columns first, so that files stay few."""
+    stage that runs twice leaves one copy. Rows are dealt by partition columns first, so that files stay few; a large
+    partition, as one extraction's hour is, goes to several tasks of the advisory size and not to one."""
     keys = partition_columns(layer, dataset)
-    out = df.repartition(*keys).write.partitionBy(*keys)
+    out = df.hint("rebalance", *keys).write.partitionBy(*keys)
     if append:
         out.mode("append").parquet(lake_path(root, layer, dataset))
     else:
