@@ -82,18 +82,22 @@ def similar_movies(movies: DataFrame, targets: DataFrame, k: int = 5) -> DataFra
     """For each movie_id of targets the k movies with the largest Jaccard overlap of features, then popularity.
 
     features is an array of strings. Feature sets are compared as sets: movies with equal sets meet once, as one set,
-    so a feature shared by many movies costs its distinct sets and not its movies.
+    so a feature shared by many movies costs its distinct sets and not its movies. Of equal sets the targets have one
+    list, of which each leaves out itself, so rows are ranked once a set and not once a target. movie_id is a key of movies.
     """
     sets = movies.select("movie_id", "popularity", F.array_sort(F.array_distinct("features")).alias("fs"))
     want = targets.select("movie_id").join(sets, "movie_id").select(F.col("movie_id").alias("target"), "fs")
     kinds = sets.select("fs").distinct().select("fs", F.explode("fs").alias("f"))
     near = want.select("fs").distinct().select(F.col("fs").alias("ts"), F.explode("fs").alias("f")).join(kinds, "f").groupBy("ts", "fs").agg(F.count("*").alias("n"))
     near = near.select("ts", "fs", (F.col("n") / (F.size("ts") + F.size("fs") - F.col("n"))).alias("similarity"))
-    # of each set only its k + 1 most popular movies can be among a target's k
-    best = sets.withColumn("r", F.row_number().over(Window.partitionBy("fs").orderBy(F.desc("popularity"), "movie_id"))).where(F.col("r") <= k + 1)
-    out = want.withColumnRenamed("fs", "ts").join(near, "ts").join(best, "fs").where("movie_id <> target")
-    w = Window.partitionBy("target").orderBy(F.desc("similarity"), F.desc("popularity"), "movie_id")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("target", "rank", "movie_id", "similarity", "popularity")
+    # of each set only its k + 1 most popular movies can be among a target's k, and of all these only the first k + 1
+    best = sets.where("movie_id is not null").withColumn("r", F.row_number().over(Window.partitionBy("fs").orderBy(F.desc("popularity"), "movie_id"))).where(F.col("r") <= k + 1)
+    w = Window.partitionBy("ts").orderBy(F.desc("similarity"), F.desc("popularity"), "movie_id")
+    first = near.join(best, "fs").withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1)
+    lists = first.groupBy("ts").agg(F.array_sort(F.collect_list(F.struct("r", "movie_id", "similarity", "popularity"))).alias("list"))
+    own = F.slice(F.filter("list", lambda x: x["movie_id"] != F.col("target")), 1, k)
+    out = want.withColumnRenamed("fs", "ts").join(lists, "ts").select("target", F.posexplode(own).alias("i", "m"))
+    return out.select("target", (F.col("i") + 1).alias("rank"), "m.movie_id", "m.similarity", "m.popularity")
 
 
 def demand_forecast(points: DataFrame, key: str, x: str, y: str, ahead: float) -> DataFrame:
