@@ -106,15 +106,19 @@ def demand_forecast(points: DataFrame, key: str, x: str, y: str, ahead: float) -
     return df.withColumn("forecast", F.col("intercept") + F.col("slope") * (F.col("last_x") + ahead))
 
 
-def collaboration_edges(credits: DataFrame, block: int = 50) -> DataFrame:
+def collaboration_edges(credits: DataFrame, block: int = 50, rows: int = 1_000_000) -> DataFrame:
     """a, b, movies: how many movies two people share.
 
     The distinct people of a movie are numbered in rising order as rows and gathered by block, so no row holds more than
     `block` people. The pairs of a block are made from its own array, and each pair of a movie's blocks meets in a row
-    of its own, which gives at most block^2 pairs whatever the list's length.
+    of its own, which gives at most block^2 pairs whatever the list's length. The pairs are counted first: both the
+    movies and the pairs are dealt to tasks of about `rows` pairs each, so tasks grow in number and not in size.
     """
+    known, size = credits.where("movie_id is not null"), F.size("cast").cast("double")
+    total = known.agg(F.sum(F.when(size > 1, size * (size - 1) / 2)).alias("n")).first()["n"] or 0
+    tasks = int(min(max(total // rows, credits.sparkSession.sparkContext.defaultParallelism), 20_000))
     person = F.explode(F.transform("cast", lambda x: x["person_id"])).alias("person")
-    people = credits.where("movie_id is not null").select("movie_id", person).where("person is not null").distinct()
+    people = known.select("movie_id", person).where("person is not null").repartition(tasks, "movie_id").distinct()
     w = Window.partitionBy("movie_id").orderBy("person")
     at = F.floor((F.row_number().over(w) - 1) / block).cast("int")
     blocks = people.withColumn("at", at).groupBy("movie_id", "at").agg(F.array_sort(F.collect_list("person")).alias("ids"))
@@ -125,5 +129,5 @@ def collaboration_edges(credits: DataFrame, block: int = 50) -> DataFrame:
     one = blocks.where("at > 0").select("movie_id", F.col("ids").alias("ys"), F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("at"))
     both = one.join(blocks.where(F.size("ids") == block).select("movie_id", "at", F.col("ids").alias("xs")), ["movie_id", "at"])
     cross = F.flatten(F.transform("xs", lambda a: F.transform("ys", lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    pairs = inner.unionByName(both.select(F.explode(cross).alias("p")))
-    return pairs.groupBy("p.a", "p.b").agg(F.count("*").alias("movies"))
+    pairs = inner.unionByName(both.select(F.explode(cross).alias("p"))).select("p.a", "p.b")
+    return pairs.repartition(tasks, "a", "b").groupBy("a", "b").agg(F.count("*").alias("movies"))
