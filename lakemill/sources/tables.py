@@ -132,6 +132,8 @@ class KeyedTable:
         return {r["part"]: {"folder": f"{folder}/part={r['part']}", "rows": r["rows"], "values": r["values"].asDict() if r["values"] else {}} for r in found}
 
     def _touched(self, source: DataFrame, m: Manifest | None) -> list[str]:
+        if not self.partition_by:
+            return [] if source.isEmpty() else ["all"]
         parts = source.select(self._part().alias("part"))
         if m is not None and self.partition_by and not set(self.partition_by) <= set(self.keys):
             # a row may change its partition, so the places where its key stands now are touched as well
