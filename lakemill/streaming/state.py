@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,7 +142,10 @@ HOUR_MS = 3_600_000
 
 
 class _HourVelocity(StatefulProcessor):
-    """The last state of each recent hour of a movie, in order, and the change of its rating from hour to hour."""
+    """The last state of each recent hour of a movie, in order, and the change of its rating from hour to hour.
+
+    Each call of the store is a message to the JVM: hours are read by one and only changed ones are written.
+    """
 
     def __init__(self, ts: str, life_ms: int):
         self.ts, self.life_ms = ts, life_ms
@@ -152,52 +156,53 @@ class _HourVelocity(StatefulProcessor):
         self.hours = handle.getMapState("hours", "hour long", "seen long, votes long, popularity double, rating double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new: dict[int, tuple] = {}
-        for b in rows:
-            for seen, votes, popularity, rating in zip((b[self.ts].astype("int64") // _per_us(b[self.ts])).tolist(), b["vote_count"].tolist(), b["popularity"].tolist(), b["vote_average"].tolist()):
-                hour, row = seen // (HOUR_MS * 1000) * HOUR_MS, (seen, votes, popularity, rating)
-                if hour not in new or row > new[hour]:
-                    new[hour] = row
+        held = {k[0]: tuple(v) for k, v in self.hours.iterator()}
+        end = timerValues.getCurrentWatermarkInMs() - self.life_ms - HOUR_MS  # rows of a micro-batch come before its timers
+        known = {hour: row for hour, row in held.items() if hour > end}
+        for hour in held.keys() - known.keys():
+            self.hours.removeKey((hour,))
         changed = set()
-        self._forget(timerValues)  # rows of a micro-batch come before its timers
-        for hour, row in new.items():
-            if not self.hours.containsKey((hour,)) or row > tuple(self.hours.getValue((hour,))):
-                self.hours.updateValue((hour,), row)
-                changed.add(hour)
-        known = {k[0]: tuple(v) for k, v in self.hours.iterator()}
+        for b in rows:
+            seen = b[self.ts].to_numpy("datetime64[us]").view("int64")
+            for row in zip(seen.tolist(), b["vote_count"].tolist(), b["popularity"].tolist(), b["vote_average"].tolist()):
+                hour = row[0] // (HOUR_MS * 1000) * HOUR_MS
+                if hour not in known or row > known[hour]:
+                    known[hour] = row
+                    changed.add(hour)
+        for hour in changed:
+            self.hours.updateValue((hour,), known[hour])
+        # the end of the first hour's life is the key's only timer
+        old, at = (min(x) + HOUR_MS + self.life_ms if x else None for x in (held, known))
+        if at != old:
+            if at is not None:
+                self.handle.registerTimer(at)
+            if old is not None:
+                self.handle.deleteTimer(old)
         order = sorted(known)
-        if order:
-            _reset_timer(self.handle, order[0] + HOUR_MS + self.life_ms)
         # a changed hour also changes the velocity of the hour after it, late rows included
-        out = [(key[0], order[i], known[order[i]], known[order[i - 1]][3] if i else None) for i in range(len(order)) if order[i] in changed or i and order[i - 1] in changed]
+        out = [(order[i], known[order[i]], known[order[i - 1]][3] if i else None) for i in range(len(order)) if order[i] in changed or i and order[i - 1] in changed]
         yield pd.DataFrame(
             {
-                "movie_id": [m for m, *_ in out], "hour": pd.to_datetime([h for _, h, _, _ in out], unit="ms"), "vote_average": [r[3] for *_, r, _ in out], "vote_count": [r[1] for *_, r, _ in out],
-                "popularity": [r[2] for *_, r, _ in out], "rating_velocity": [0.0 if p is None or p == -1 else (r[3] - p) / (p + 1) for *_, r, p in out], "last_updated": pd.to_datetime([r[0] for *_, r, _ in out], unit="us"),
+                "movie_id": [key[0]] * len(out), "hour": np.array([h for h, _, _ in out], "datetime64[ms]"), "vote_average": [r[3] for _, r, _ in out], "vote_count": [r[1] for _, r, _ in out],
+                "popularity": [r[2] for _, r, _ in out], "rating_velocity": [0.0 if p is None or p == -1 else (r[3] - p) / (p + 1) for _, r, p in out], "last_updated": np.array([r[0] for _, r, _ in out], "datetime64[us]"),
             }
         )
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._forget(timerValues)
-        left = [hour for (hour,) in self.hours.keys()]
-        if left:
-            self.handle.registerTimer(min(left) + HOUR_MS + self.life_ms)
-        return iter([])
-
-    def _forget(self, timerValues) -> None:
         end = timerValues.getCurrentWatermarkInMs() - self.life_ms - HOUR_MS
-        for (hour,) in list(self.hours.keys()):
+        hours = [hour for (hour,) in self.hours.keys()]
+        for hour in hours:
             if hour <= end:
                 self.hours.removeKey((hour,))
+        left = [hour for hour in hours if hour > end]
+        if left:
+            self.handle.registerTimer(min(left) + HOUR_MS + self.life_ms)
+        return iter([])
 
     def close(self) -> None:
         pass
 
 
-def _per_us(col: pd.Series) -> int:
-    return {"ns": 1000, "us": 1}[col.dt.unit]
-
-
 HOURLY = "hour timestamp, vote_average double, vote_count long, popularity double, rating_velocity double, last_updated timestamp"
 
 
@@ -270,7 +275,7 @@ def trending_topn_stream(ratings: DataFrame, root: str, checkpoint: str, n: int
             days = hours.partitions(rows)
             hours.add(rows, {}, at)
             lists = hour_top_list(hours.read(only=days), n, min_popularity, min_votes)
-            top.replace(lists.withColumn("day", F.to_date("hour")), days, at)
+            top.replace(lists.withColumn("day", F.to_date("hour")), days, at, known=True)
             if number % 100 == 99:
                 hours.vacuum(vacuum_hours)
                 top.vacuum(vacuum_hours)

@@ -76,41 +76,29 @@ def test_slices_of_several_files_are_batches_of_rising_time(spark, tmp_path, mon
 
 
 class _Store:
-    """A handle and its one value, which count how often they are asked."""
+    """A handle and its one map, which count how often they are asked."""
 
     def __init__(self):
-        self.value, self.timers, self.calls = None, set(), 0
+        self.map, self.timers, self.calls = {}, set(), 0
 
-    def getValueState(self, *_):
+    def getMapState(self, *_):
         return self
 
-    def exists(self):
+    def __getattr__(self, name):
         self.calls += 1
-        return self.value is not None
-
-    def get(self):
-        self.calls += 1
-        return self.value
-
-    def update(self, value):
-        self.calls, self.value = self.calls + 1, value
-
-    def registerTimer(self, at):
-        self.calls += 1
-        self.timers.add(at)
-
-    def deleteTimer(self, at):
-        self.calls += 1
-        self.timers.discard(at)
+        return {
+            "iterator": lambda: iter(list(self.map.items())), "keys": lambda: iter(list(self.map)), "containsKey": lambda k: k in self.map, "getValue": self.map.get, "updateValue": self.map.__setitem__, "removeKey": self.map.pop,
+            "registerTimer": self.timers.add, "deleteTimer": self.timers.discard, "listTimers": lambda: iter(list(self.timers)),
+        }[name]
 
     def getCurrentWatermarkInMs(self):
         return 0
 
 
-def test_hourly_velocity_asks_the_store_a_few_times_a_key(spark):
+def test_hourly_velocity_asks_the_store_once_a_changed_hour(spark):
     store, op = _Store(), state._HourVelocity("event_time", 48 * state.HOUR_MS)
     op.init(store)
     for part in (range(50), range(40, 90)):
         rows = pd.DataFrame({"event_time": [pd.Timestamp(dt.datetime(2024, 1, 1)) + pd.Timedelta(hours=i) for i in part], "vote_count": 1, "popularity": 1.0, "vote_average": [float(i % 7) for i in part]})
         out = pd.concat(op.handleInputRows((1,), iter([rows]), store))
-    assert len(out) == 40 and store.calls <= 8 and len(store.timers) == 1
+    assert len(out) == 40 and len(store.map) == 90 and store.calls <= 90 + 4 and len(store.timers) == 1
