@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,16 +47,22 @@ def stage_metrics(spark, sf):
     return _silver_counts(spark, sf).metrics(spark, fx.EVENTS_AS_OF, job="silver").withColumn("job", F.col("tags")["job"]).drop("tags")
 
 
-def _rating_slices(spark: SparkSession, sf: str, parts: int = 3) -> DataFrame:
-    """A stream of all ratings in files of rising event time, one micro-batch each."""
+def _rating_slices(spark: SparkSession, sf: str, parts: int = 3, rows_a_file: int = 500_000) -> DataFrame:
+    """A stream of all ratings in slices of rising event time, one micro-batch each, of as many files as its rows ask for.
+
+    Files are taken by their time stamps, so slices of one number of files, written one after the other, are the batches.
+    """
     path, rows = _root(spark), fx.ratings(spark, sf)
     bounds = rows.agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).first()
     step = (bounds["b"] - bounds["a"]) / parts
+    cuts = [bounds["a"] + i * step for i in range(1, parts)]
+    at = reduce(lambda x, y: x + y, [(F.col("event_time") >= F.lit(c)).cast("int") for c in cuts])
+    sizes = {r["at"]: r["n"] for r in rows.groupBy(at.alias("at")).agg(F.count("*").alias("n")).collect()}
+    # the smallest slice must fill as many files as the others: a task without rows writes none
+    files = max(1, min(-(-max(sizes.values()) // rows_a_file), min(sizes.get(i, 0) for i in range(parts)) // 1000))
     for i in range(parts):
-        part = rows.where(F.col("event_time") >= F.lit(bounds["a"] + i * step)) if i else rows
-        part = part.where(F.col("event_time") < F.lit(bounds["a"] + (i + 1) * step)) if i + 1 < parts else part
-        part.coalesce(1).write.mode("append").parquet(path)
-    return streams.read_stream(spark, "parquet", rows.schema, path, maxFilesPerTrigger="1")
+        rows.where(at == i).repartition(files).write.mode("append").parquet(path)
+    return streams.read_stream(spark, "parquet", rows.schema, path, maxFilesPerTrigger=str(files))
 
 
 @query(

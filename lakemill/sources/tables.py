@@ -150,13 +150,13 @@ class KeyedTable:
         """The md5 of each partition that rows belong to."""
         return self._touched(rows, None)
 
-    def _write(self, source: DataFrame, merge, batch: tuple[str, int] | None, also: list[str] = ()) -> int:
+    def _write(self, source: DataFrame, merge, batch: tuple[str, int] | None, also: list[str] = (), known: bool = False) -> int:
         m = self.manifest()
         if batch and m is not None and m.batches.get(batch[0], -1) >= batch[1]:
             return 0
         if m is not None:
             source = self._fit(source, m)
-        touched = sorted({*self._touched(source, m), *also})
+        touched = sorted({*([] if known else self._touched(source, m)), *also})
         old = m.parts if m else {}
         target = self._rows(m, [old[p]["folder"] for p in touched if p in old]) if m else None
         rows = merge(target, source)
@@ -204,10 +204,11 @@ class KeyedTable:
 
         return self._write(source, merge, batch)
 
-    def replace(self, source: DataFrame, also: list[str] = (), batch: tuple[str, int] | None = None) -> int:
+    def replace(self, source: DataFrame, also: list[str] = (), batch: tuple[str, int] | None = None, known: bool = False) -> int:
         """Puts source in the place of all rows of the partitions it has rows in, and of those in also (by their md5), which
-        may so become empty; for lists that are made anew as a whole. Keys are the caller's: they are not compared."""
-        return self._write(source, lambda _, new: new, batch, also)
+        may so become empty; for lists that are made anew as a whole. Keys are the caller's: they are not compared.
+        known: also holds every partition of source, which is then not run once more to find them."""
+        return self._write(source, lambda _, new: new, batch, also, known)
 
     def purge(self, ts: str, ttl_hours: float, as_of: dt.datetime) -> dict[str, int]:
         """Commits a version without the rows whose life has ended; returns the numbers kept and deleted.
