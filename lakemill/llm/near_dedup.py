@@ -288,31 +288,116 @@ def _apart(one: DataFrame, two: DataFrame, keys: list[str], similarity: float) -
     return both.select(F.least("ia", "ib").alias("lo"), F.greatest("ia", "ib").alias("hi")).distinct()
 
 
+def word_runs(texts: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
+    """id, class_id, n_words, place, size, key: every run of so many words of the texts (id, class_id, text), by its hash."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            ids, classes, batch = p["id"].to_numpy(), p["class_id"].to_numpy(), p["text"].tolist()
+            for x, z in chunks(batch):
+                w, at = words(batch[x:z])
+                n = np.diff(at)
+                doc = np.repeat(np.arange(len(n)), n)
+                for size in sizes:
+                    first = np.flatnonzero(np.arange(len(w)) + size <= at[doc + 1])
+                    h = np.full(len(first), size, np.uint64)
+                    for j in range(size):
+                        h = h * np.uint64(0x100000001B3) + w[first + j]
+                    d = doc[first]
+                    yield pd.DataFrame({"id": ids[x:z][d], "class_id": classes[x:z][d], "n_words": n[d], "place": first - at[d], "size": size, "key": mix(h).view(np.int64)})
+
+    return texts.select("id", "class_id", "text").mapInPandas(run, "id long, class_id long, n_words int, place int, size int, key long")
+
+
+def rare_pieces(cost: np.ndarray, sizes: tuple[int, ...], need: int) -> list[tuple[int, int]]:
+    """(row, place) of `need` disjoint runs of words, the dearest of them as cheap as can be. cost: a row for each of the sizes, in rising order, -1 where none begins."""
+    place = np.arange(cost.shape[1])
+
+    def walk(level: int) -> list[tuple[int, int]]:
+        # of disjoint intervals there are most if the one that ends first is always taken
+        end = np.full(cost.shape[1], len(place) + 1)
+        for row, size in zip(cost[::-1], sizes[::-1]):
+            end = np.where((row >= 0) & (row <= level), place + size, end)
+        end = np.minimum.accumulate(end[::-1])[::-1].tolist()
+        out, at = [], 0
+        while at < len(end) and end[at] <= len(end):
+            out.append(min((cost[i, end[at] - size], i, end[at] - size) for i, size in enumerate(sizes) if end[at] - size >= at and 0 <= cost[i, end[at] - size] <= level))
+            at = end[at]
+        return out
+
+    levels = np.unique(cost[cost >= 0])
+    lo, hi = 0, len(levels) - 1
+    while lo < hi:
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if len(walk(levels[mid])) >= need else (mid + 1, hi)
+    return [(i, at) for _, i, at in sorted(walk(levels[lo]))[:need]]
+
+
+def pairs_by_pieces(texts: DataFrame, similarity: float, sizes: tuple[int, ...] = (1, 2, 4), load: int = 1_000_000, together: int = 1000) -> DataFrame:
+    """lo, hi: a superset of all pairs of texts (id, class_id, text) of different classes that align; exact for any number of texts.
+
+    Of the longer text of such a pair, at most `most` = (1 - similarity) * n words are edited. Each edit touches one of
+    any `most` + 1 disjoint pieces at most, so one piece stands whole in the shorter text, moved by no more than the
+    edits. The pieces are runs of words of the given sizes (single words among them, so that a text always has enough),
+    chosen where the fewest texts of other classes have the same, which passages that many texts share are not; runs of
+    one class only are left out, as they give no pair.
+
+    The runs of a key and class are put in lists of about `together`, and the pieces of a key are dealt to tasks
+    of about `load` pairs, so that no key and no class is one task's.
+    """
+    runs = word_runs(texts, sizes)
+    per_class = written(runs.groupBy("key", "class_id").agg(F.count("*").alias("own")))
+    total = per_class.groupBy("key").agg(F.sum("own").alias("total"), F.count("*").alias("classes")).where("classes > 1").drop("classes")
+    shared = written(per_class.join(total, "key"))
+    runs = written(runs.join(shared, ["key", "class_id"]))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            out = []
+            for i, c, n, place, size, others, key in p.itertuples(index=False):
+                cost, keys = np.zeros((len(sizes), n), np.int64), np.zeros((len(sizes), n), np.int64)
+                for k, words_of in enumerate(sizes):
+                    cost[k, max(n - words_of + 1, 0) :] = -1
+                row = np.searchsorted(sizes, size)
+                cost[row, place], keys[row, place] = others, key
+                out += [(i, c, n, at, keys[k, at]) for k, at in rare_pieces(cost, sizes, int((1 - similarity) * n + 1e-9) + 1) if cost[k, at]]
+            yield pd.DataFrame(out, columns=["id", "class_id", "n_words", "place", "key"])
+
+    per_text = runs.groupBy("id", "class_id", "n_words").agg(F.collect_list(F.struct("place", "size", (F.col("total") - F.col("own")).alias("others"), "key")).alias("runs"))
+    per_text = per_text.select("id", "class_id", "n_words", "runs.place", "runs.size", "runs.others", "runs.key")
+    pieces = written(per_text.mapInPandas(run, "id long, class_id long, n_words int, place int, key long"))
+    dealt = written(pieces.groupBy("key").agg(F.count("*").alias("chosen")).join(total, "key").select("key", F.floor(F.col("chosen") * F.col("total") / load + 1).cast("int").alias("parts")))
+    lists = runs.join(dealt, "key").withColumn("list", F.pmod(F.xxhash64("id"), F.floor(F.col("own") / together) + 1))
+    lists = lists.groupBy("key", "class_id", "list", "parts").agg(F.collect_list(F.struct("id", "n_words", "place")).alias("a"))
+    lists = lists.select("key", F.col("class_id").alias("ca"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    b = pieces.join(dealt, "key").select("key", "id", "class_id", "n_words", "place", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"))
+    both = b.join(lists, ["key", "part"]).where("ca <> class_id").select("id", "n_words", "place", F.explode("a").alias("a"))
+    room = F.floor((1 - similarity) * F.col("n_words") + 1e-9)
+    moved, longer = F.col("a.place") - F.col("place"), F.col("n_words") - F.col("a.n_words")
+    # what stands before the piece and what stands behind it differ in length by no more than the edits
+    both = both.where((longer >= 0) & (F.abs(moved) + F.abs(longer + moved) <= room))
+    return both.select(F.least("id", "a.id").alias("lo"), F.greatest("id", "a.id").alias("hi")).distinct()
+
+
 def searched(one: DataFrame, texts: DataFrame, links: DataFrame, tried: DataFrame, similarity: float, m: int, block: int) -> tuple[DataFrame, DataFrame]:
     """links and those that only other pairs of a bucket show; id, class_id of all texts by these links.
 
     one: node, n_words and sk of distinct texts; tried: the pairs (lo, hi) aligned before. Buckets of at most `block`
-    rows try all pairs of their classes. Larger ones are parted by the sketch of the following band, and by a third more
-    sketches each time, until their parts are so small or hold one class; what all m leave together meets its first row.
+    rows try all pairs of their classes; the texts of larger ones are joined on their rarest pieces, which loses none.
     """
     comp = written(components(links))
     ids = one.select(F.col("node").alias("id"))
     classes = written(ids.join(comp, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id")))
     known = one.withColumnRenamed("node", "id").join(classes, "id")
     rows = written(open_buckets(known.select("id", "class_id", "n_words", F.posexplode("sk").alias("band", "key"))))
-    small, large, depth = [rows.where(F.col("size") <= block)], rows.where(F.col("size") > block).drop("size"), 0
-    if large.head(1):
-        large = written(large.join(one.select(F.col("node").alias("id"), "sk"), "id"))
-    while depth < m - 1 and large.head(1):
-        upto = min(depth + 1 + depth // 3, m - 1)
-        more = [F.element_at("sk", (F.col("band") + i) % m + 1) for i in range(depth + 1, upto + 1)]
-        rows, depth = written(open_buckets(large.withColumn("key", F.xxhash64("key", *more)))), upto
-        small.append(rows.where(F.col("size") <= block).drop("sk"))
-        large = rows.where(F.col("size") > block).drop("size")
-    pairs = [_apart(few, few, ["band", "key"], similarity) for few in small]
-    heads = large.groupBy("band", "key").agg(F.min(F.struct("id", "class_id", "n_words")).alias("h")).select("band", "key", "h.*")
-    pairs.append(_apart(large, heads, ["band", "key"], similarity))
-    pairs = written(reduce(DataFrame.unionByName, pairs).distinct().join(tried, ["lo", "hi"], "left_anti"))
+    few = rows.where(F.col("size") <= block)
+    pairs = _apart(few, few, ["band", "key"], similarity)
+    many = rows.where(F.col("size") > block)
+    if many.head(1):
+        many = written(many.select(F.col("id").alias("node"), "class_id").distinct())
+        many = written(texts.join(sized(many), "node").dropDuplicates(["node"]).withColumnRenamed("node", "id"))
+        pairs = pairs.unionByName(pairs_by_pieces(many, similarity)).distinct()
+    pairs = written(pairs.join(tried, ["lo", "hi"], "left_anti"))
     found = written(aligned(pairs, texts, similarity))
     return links.unionByName(found), written(merged_classes(classes, found))
 

@@ -159,6 +159,42 @@ def test_buckets_are_exhausted(spark):
     assert [got[i] for i in range(150)] == cls and len(set(cls)) < 75
 
 
+def test_links_that_only_large_buckets_show_are_kept(spark):
+    """Pairs that share a passage of many texts and, beside it, no shingle: every second word of the rest is another."""
+    passage, texts = words(5, 100), []
+    for i in range(120):
+        rest = [f"r{i}x{k}" for k in range(50)]
+        texts += [" ".join([*passage, *rest])]
+        if i < 15:
+            texts += [" ".join([*passage, *(w if k % 2 or k > 58 else f"o{w}" for k, w in enumerate(rest))])]
+    d = docs(spark, *texts).repartition(5)
+    cls = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(d, block=4).collect()}
+    assert [cls[2 * i] == cls[2 * i + 1] for i in range(15)] == [True] * 15 and len(set(cls.values())) == 120
+
+
+def test_pieces_lose_no_pair(spark):
+    """The candidates of short and long texts with insertions, deletions, moved and shared words hold all pairs that align."""
+    r, rows = random.Random(12), []
+    base = [[r.choice("abcdefgh") * r.randrange(1, 4) for _ in range(n)] for n in (1, 2, 3, 5, 6, 9, 10, 14, 25, 60)]
+    for i in range(160):
+        w = list(r.choice(base))
+        for _ in range(r.randrange(1 + len(w) // 4)):
+            at = r.randrange(len(w))
+            w[at : at + r.randrange(2)] = [f"e{r.randrange(30)}"] * r.randrange(1 + (len(w) > 1))
+            w = w or ["a"]
+        rows.append((i, i // 2, " ".join(w)))
+    d = spark.createDataFrame(rows, "id long, class_id long, text string").repartition(3)
+    ws, want = [near_dedup.words([t])[0] for _, _, t in rows], set()
+    for b in range(160):
+        for a in range(b):
+            most = int(0.2 * max(len(ws[a]), len(ws[b])) + 1e-9)
+            if a // 2 != b // 2 and near_dedup.band_distance(ws[a], ws[b], most) is not None:
+                want.add((a, b))
+    # small loads, so that keys are dealt to several tasks and lists
+    got = {(x["lo"], x["hi"]) for x in near_dedup.pairs_by_pieces(d, 0.8, load=50, together=3).collect()}
+    assert len(want) > 300 and want <= got and all(a // 2 != b // 2 for a, b in got)
+
+
 def test_components_of_a_path(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 103), (101, 103)], "lo long, hi long")
     got = {r["id"]: r["class_id"] for r in near_dedup.components(e).collect()}
