@@ -14,10 +14,9 @@ shingles of ``short_k`` words: they only propose pairs, which alignment accepts
 3. Candidate pairs are verified by banded alignment of their words: edit distance at most (1 - similarity) times the
    longer text, searched along the diagonals of that band only. The most voted pair of each text goes first; of the
    others, only pairs that still connect two classes need aligning, which gives the same classes.
-   Buckets that still hold several classes are then searched: small ones (``block`` rows) try every pair of classes,
-   larger ones, as passages shared by many texts make them, are parted by one more sketch, and another, until the parts
-   are small. Of texts with a shingle similarity of 0.8 a sketch is the same in two of three bands, so they stay
-   together in many such parts; looser links (edits near 1 - similarity) are sought in small buckets and by leaders.
+   Buckets that still hold several classes are then searched: small ones (``block`` rows) try every pair of classes.
+   The texts of larger ones, as passages shared by many texts make them, are joined on disjoint pieces that few other
+   texts have: more of them than an alignment may edit, so that one stands whole in both texts of any pair that aligns.
 4. Connected components by alternating large-star and small-star steps; each step is written to the shared folder.
 
 Steps 2 to 4 work on distinct word sequences, each with a number of its own, and not on documents.
