@@ -15,8 +15,9 @@ shingles of ``short_k`` words: they only propose pairs, which alignment accepts
    longer text, searched along the diagonals of that band only. The most voted pair of each text goes first; of the
    others, only pairs that still connect two classes need aligning, which gives the same classes.
    Buckets that still hold several classes are then searched: small ones (``block`` rows) try every pair of classes.
-   The texts of larger ones, as passages shared by many texts make them, are joined on disjoint pieces that few other
-   texts have: more of them than an alignment may edit, so that one stands whole in both texts of any pair that aligns.
+   The texts of larger ones, as passages shared by many texts make them, meet by the rarest of their runs of two
+   words: so many of them that two texts that align have one in common. Those of runs of few texts are paired; those
+   of common runs are gathered in blocks, and a task aligns the texts of two blocks without a row for each pair.
 4. Connected components by alternating large-star and small-star steps; each step is written to the shared folder.
 
 Steps 2 to 4 work on distinct word sequences, each with a number of its own, and not on documents.
@@ -287,102 +288,127 @@ def _apart(one: DataFrame, two: DataFrame, keys: list[str], similarity: float) -
     return both.select(F.least("ia", "ib").alias("lo"), F.greatest("ia", "ib").alias("hi")).distinct()
 
 
-def word_runs(texts: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
-    """id, class_id, n_words, place, size, key: every run of so many words of the texts (id, class_id, text), by its hash."""
+def word_pairs(texts: DataFrame, k: int) -> DataFrame:
+    """id, class_id, n_words and the occurrence-labelled runs of k words (keys) of every text (id, class_id, text)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            ids, classes, batch = p["id"].to_numpy(), p["class_id"].to_numpy(), p["text"].tolist()
+            batch = p["text"].tolist()
             for x, z in chunks(batch):
                 w, at = words(batch[x:z])
-                n = np.diff(at)
-                doc = np.repeat(np.arange(len(n)), n)
-                for size in sizes:
-                    first = np.flatnonzero(np.arange(len(w)) + size <= at[doc + 1])
-                    h = np.full(len(first), size, np.uint64)
-                    for j in range(size):
-                        h = h * np.uint64(0x100000001B3) + w[first + j]
-                    d = doc[first]
-                    yield pd.DataFrame({"id": ids[x:z][d], "class_id": classes[x:z][d], "n_words": n[d], "place": first - at[d], "size": size, "key": mix(h).view(np.int64)})
-
-    return texts.select("id", "class_id", "text").mapInPandas(run, "id long, class_id long, n_words int, place int, size int, key long")
-
-
-def rare_pieces(cost: np.ndarray, sizes: tuple[int, ...], need: int) -> list[tuple[int, int]]:
-    """(row, place) of `need` disjoint runs of words, the dearest of them as cheap as can be. cost: a row for each of the sizes, in rising order, -1 where none begins."""
-    place = np.arange(cost.shape[1])
-
-    def walk(level: int) -> list[tuple[int, int]]:
-        # of disjoint intervals there are most if the one that ends first is always taken
-        end = np.full(cost.shape[1], len(place) + 1)
-        for row, size in zip(cost[::-1], sizes[::-1]):
-            end = np.where((row >= 0) & (row <= level), place + size, end)
-        end = np.minimum.accumulate(end[::-1])[::-1].tolist()
-        out, at = [], 0
-        while at < len(end) and end[at] <= len(end):
-            out.append(min((cost[i, end[at] - size], i, end[at] - size) for i, size in enumerate(sizes) if end[at] - size >= at and 0 <= cost[i, end[at] - size] <= level))
-            at = end[at]
-        return out
-
-    levels = np.unique(cost[cost >= 0])
-    lo, hi = 0, len(levels) - 1
-    while lo < hi:
-        mid = (lo + hi) // 2
-        lo, hi = (lo, mid) if len(walk(levels[mid])) >= need else (mid + 1, hi)
-    return [(i, at) for _, i, at in sorted(walk(levels[lo]))[:need]]
-
-
-def pairs_by_pieces(texts: DataFrame, similarity: float, sizes: tuple[int, ...] = (1, 2, 4), load: int = 1_000_000, together: int = 1000) -> DataFrame:
-    """lo, hi: a superset of all pairs of texts (id, class_id, text) of different classes that align; exact for any number of texts.
+                keys, off = shingle_labels(w, at, k)
+                out = p[["id", "class_id"]].iloc[x:z]
+                yield out.assign(n_words=np.diff(at), keys=[keys[i:j].view(np.int64) for i, j in zip(off[:-1], off[1:])])
+
+    return texts.select("id", "class_id", "text").mapInPandas(run, "id long, class_id long, n_words int, keys array<long>")
+
+
+def common_words(labels: np.ndarray, off: np.ndarray, width: int = 1 << 14) -> np.ndarray:
+    """For every two texts, how many of their occurrence-labelled words they have in common; `width` words at a time."""
+    n = len(off) - 1
+    doc = np.repeat(np.arange(n), np.diff(off))
+    _, word, count = np.unique(labels, return_inverse=True, return_counts=True)
+    several = count > 1
+    doc, word = doc[several[word]], (np.cumsum(several) - 1)[word[several[word]]]
+    order = np.argsort(word, kind="stable")
+    doc, word = doc[order], word[order]
+    out = np.zeros((n, n), np.float64)
+    for first in range(0, int(several.sum()), width):
+        a, z = np.searchsorted(word, (first, first + width))
+        has = np.zeros((n, width), np.float32)
+        has[doc[a:z], word[a:z] - first] = 1
+        out += has @ has.T
+    return out
 
-    Of the longer text of such a pair, at most `most` = (1 - similarity) * n words are edited. Each edit touches one of
-    any `most` + 1 disjoint pieces at most, so one piece stands whole in the shorter text, moved by no more than the
-    edits. The pieces are runs of words of the given sizes (single words among them, so that a text always has enough),
-    chosen where the fewest texts of other classes have the same, which passages that many texts share are not; runs of
-    one class only are left out, as they give no pair.
 
-    The runs of a key and class are put in lists of about `together`, and the pieces of a key are dealt to tasks
-    of about `load` pairs, so that no key and no class is one task's.
+def aligned_by_blocks(meet: DataFrame, home: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """lo, hi, distance, similarity of the texts (id, class_id, text) of different classes that align, of all pairs of blocks (x, y) that meet. home: id, block."""
+    sides = meet.select("x", "y", F.col("x").alias("block")).unionByName(meet.where("x <> y").select("x", "y", F.col("y").alias("block")))
+    both = sides.join(home, "block").join(texts, "id").select("x", "y", "block", "id", "class_id", "text")
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        w, at = words(p["text"].tolist())
+        n, ids = np.diff(at), p["id"].to_numpy()
+        longest = np.maximum(n[:, None], n)
+        most = ((1 - similarity) * longest + 1e-9).astype(np.int64)
+        tried = (p["class_id"].to_numpy()[:, None] != p["class_id"].to_numpy()) & (np.abs(n[:, None] - n) <= most)
+        if p["x"].iat[0] != p["y"].iat[0]:
+            tried &= p["block"].to_numpy()[:, None] != p["block"].to_numpy()
+        out = []
+        if tried.any():
+            tried &= longest - common_words(*shingle_labels(w, at, 1)) <= most
+            for a, b in zip(*np.nonzero(np.triu(tried))):
+                d = band_distance(w[at[a] : at[a + 1]], w[at[b] : at[b + 1]], int(most[a, b]))
+                if d is not None:
+                    out.append((min(ids[a], ids[b]), max(ids[a], ids[b]), d, 1 - d / longest[a, b]))
+        return pd.DataFrame(out, columns=["lo", "hi", "distance", "similarity"])
+
+    return both.groupBy("x", "y").applyInPandas(run, "lo long, hi long, distance long, similarity double")
+
+
+def pairs_by_pieces(texts: DataFrame, similarity: float, load: int = 200_000, together: int = 128, few: int = 24, bins: int = 1 << 22) -> DataFrame:
+    """lo, hi, distance, similarity of all texts (id, class_id, text) of different classes that align; exact for any number of texts.
+
+    An edit touches at most k runs of k words, so that two texts of which the longer has n words and that differ by
+    `most` = (1 - similarity) * n edits have all but k * most of their runs in common, repeats counted. In whatever
+    order the runs stand, one they share is then among the first k * (1 - similarity) * n + 1 of both. The order puts
+    rare runs first, which passages of many texts are not; it comes from counts of hashed runs in a table of fixed
+    size, and texts differ in speed and not in results by it.
+
+    Runs of at most `few` texts give pairs, which is linear in the runs. For commoner ones no row is made for a pair:
+    their texts are gathered in blocks, by the commonest of these runs, of about `together` texts or `load` words, and
+    blocks meet that share a run. A task has the texts of two blocks once and aligns those with enough words in common.
     """
-    runs = word_runs(texts, sizes)
-    per_class = written(runs.groupBy("key", "class_id").agg(F.count("*").alias("own")))
-    total = per_class.groupBy("key").agg(F.sum("own").alias("total"), F.count("*").alias("classes")).where("classes > 1").drop("classes")
-    shared = written(per_class.join(total, "key"))
-    runs = written(runs.join(shared, ["key", "class_id"]))
+    k = 2 if similarity >= 0.7 else 1
+    runs = written(word_pairs(texts, k))
+    counts = runs.select(F.explode("keys").alias("key")).groupBy(F.pmod("key", F.lit(bins)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    seen = counts.where("n > 1").select("bin", F.least("n", F.lit((1 << 31) - 1)).cast("int").alias("n")).toPandas()
+    table = np.ones(bins, np.int32)
+    table[seen["bin"].to_numpy()] = seen["n"].to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = shared.value
         for p in batches:
             out = []
-            for i, c, n, place, size, others, key in p.itertuples(index=False):
-                cost, keys = np.zeros((len(sizes), n), np.int64), np.zeros((len(sizes), n), np.int64)
-                for k, words_of in enumerate(sizes):
-                    cost[k, max(n - words_of + 1, 0) :] = -1
-                row = np.searchsorted(sizes, size)
-                cost[row, place], keys[row, place] = others, key
-                out += [(i, c, n, at, keys[k, at]) for k, at in rare_pieces(cost, sizes, int((1 - similarity) * n + 1e-9) + 1) if cost[k, at]]
-            yield pd.DataFrame(out, columns=["id", "class_id", "n_words", "place", "key"])
-
-    per_text = runs.groupBy("id", "class_id", "n_words").agg(F.collect_list(F.struct("place", "size", (F.col("total") - F.col("own")).alias("others"), "key")).alias("runs"))
-    per_text = per_text.select("id", "class_id", "n_words", "runs.place", "runs.size", "runs.others", "runs.key")
-    pieces = written(per_text.mapInPandas(run, "id long, class_id long, n_words int, place int, key long"))
-    dealt = written(pieces.groupBy("key").agg(F.count("*").alias("chosen")).join(total, "key").select("key", F.floor(F.col("chosen") * F.col("total") / load + 1).cast("int").alias("parts")))
-    lists = runs.join(dealt, "key").withColumn("list", F.pmod(F.xxhash64("id"), F.floor(F.col("own") / together) + 1))
-    lists = lists.groupBy("key", "class_id", "list", "parts").agg(F.collect_list(F.struct("id", "n_words", "place")).alias("a"))
-    lists = lists.select("key", F.col("class_id").alias("ca"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    b = pieces.join(dealt, "key").select("key", "id", "class_id", "n_words", "place", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"))
-    both = b.join(lists, ["key", "part"]).where("ca <> class_id").select("id", "n_words", "place", F.explode("a").alias("a"))
-    room = F.floor((1 - similarity) * F.col("n_words") + 1e-9)
-    moved, longer = F.col("a.place") - F.col("place"), F.col("n_words") - F.col("a.n_words")
-    # what stands before the piece and what stands behind it differ in length by no more than the edits
-    both = both.where((longer >= 0) & (F.abs(moved) + F.abs(longer + moved) <= room))
-    return both.select(F.least("id", "a.id").alias("lo"), F.greatest("id", "a.id").alias("hi")).distinct()
+            for i, c, n, keys in p.itertuples(index=False):
+                count = table[keys % bins]
+                first = np.lexsort((keys, count))[: int(k * (1 - similarity) * n + 1e-9) + 1]
+                first = first[count[first] > 1]
+                if not len(first):
+                    continue
+                out.append(pd.DataFrame({"id": i, "class_id": c, "n_words": n, "key": keys[first]}))
+            if out:
+                yield pd.concat(out)
+
+    rows = runs.mapInPandas(run, "id long, class_id long, n_words int, key long")
+    lists = rows.groupBy("key").agg(F.collect_list(F.struct("id", "class_id", "n_words")).alias("texts"), F.min("class_id").alias("a"), F.max("class_id").alias("b"))
+    lists = written(lists.where("a <> b").select("key", F.size("texts").alias("size"), "texts"))
+    a, b = F.col("a.id"), F.col("b.id")
+    pairs = lists.where(F.col("size") <= few).select("texts", F.explode("texts").alias("a")).select("a", F.explode("texts").alias("b"))
+    room = F.floor((1 - similarity) * F.greatest("a.n_words", "b.n_words") + 1e-9)
+    pairs = pairs.where((a < b) & (F.col("a.class_id") != F.col("b.class_id")) & (F.abs(F.col("a.n_words") - F.col("b.n_words")) <= room))
+    pairs = written(pairs.select(a.alias("lo"), b.alias("hi")).distinct())
+    flat = lists.where(F.col("size") > few).select("key", "size", F.explode("texts").alias("text")).select("text.id", "text.n_words", "size", "key")
+    per_text = flat.groupBy("id", "n_words").agg(F.max(F.struct("size", "key")).alias("common"), F.collect_list("key").alias("keys"))
+    # a power of two, so that texts of unlike lengths are dealt alike
+    least = F.greatest(F.lit(1.0), F.col("common.size") / together, F.col("common.size") * F.col("n_words") / load)
+    parts = F.pow(F.lit(2), F.ceil(F.log2(least))).cast("long")
+    home = written(per_text.select("id", F.xxhash64("common.key", parts, F.pmod(F.xxhash64("id"), parts)).alias("block"), "keys"))
+    sets = home.select("block", F.explode("keys").alias("key")).groupBy("key").agg(F.sort_array(F.collect_set("block")).alias("blocks")).select("blocks").distinct()
+    meet = sets.select("blocks", F.explode("blocks").alias("x")).select("x", F.explode("blocks").alias("y")).where("x <= y").distinct()
+    home = home.select("id", "block")
+    alone = home.groupBy("block").agg(F.count("*").alias("texts")).where("texts = 1").select(F.col("block").alias("x"), F.col("block").alias("y"))
+    meet = written(meet.join(alone, ["x", "y"], "left_anti"))
+    found = aligned(pairs, texts.withColumnRenamed("id", "node"), similarity).unionByName(aligned_by_blocks(meet, home, texts, similarity))
+    return found.dropDuplicates(["lo", "hi"])
 
 
 def searched(one: DataFrame, texts: DataFrame, links: DataFrame, tried: DataFrame, similarity: float, m: int, block: int) -> tuple[DataFrame, DataFrame]:
     """links and those that only other pairs of a bucket show; id, class_id of all texts by these links.
 
     one: node, n_words and sk of distinct texts; tried: the pairs (lo, hi) aligned before. Buckets of at most `block`
-    rows try all pairs of their classes; the texts of larger ones are joined on their rarest pieces, which loses none.
+    rows try all pairs of their classes; the texts of larger ones meet by their rarest runs of words, which loses none.
     """
     comp = written(components(links))
     ids = one.select(F.col("node").alias("id"))
@@ -390,14 +416,14 @@ def searched(one: DataFrame, texts: DataFrame, links: DataFrame, tried: DataFram
     known = one.withColumnRenamed("node", "id").join(classes, "id")
     rows = written(open_buckets(known.select("id", "class_id", "n_words", F.posexplode("sk").alias("band", "key"))))
     few = rows.where(F.col("size") <= block)
-    pairs = _apart(few, few, ["band", "key"], similarity)
+    pairs = written(_apart(few, few, ["band", "key"], similarity).join(tried, ["lo", "hi"], "left_anti"))
+    found = aligned(pairs, texts, similarity)
     many = rows.where(F.col("size") > block)
     if many.head(1):
         many = written(many.select(F.col("id").alias("node"), "class_id").distinct())
         many = written(texts.join(sized(many), "node").dropDuplicates(["node"]).withColumnRenamed("node", "id"))
-        pairs = pairs.unionByName(pairs_by_pieces(many, similarity)).distinct()
-    pairs = written(pairs.join(tried, ["lo", "hi"], "left_anti"))
-    found = written(aligned(pairs, texts, similarity))
+        found = found.unionByName(pairs_by_pieces(many, similarity)).dropDuplicates(["lo", "hi"])
+    found = written(found)
     return links.unionByName(found), written(merged_classes(classes, found))
 
 

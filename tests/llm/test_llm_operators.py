@@ -195,6 +195,35 @@ def test_pieces_lose_no_pair(spark):
     assert len(want) > 300 and want <= got and all(a // 2 != b // 2 for a, b in got)
 
 
+def test_pieces_make_no_row_for_a_pair_that_does_not_align(spark):
+    """A large group of texts that are nearly alike gives the pairs that align and no others, by pairs of rare runs and by blocks."""
+    r, base, rows = random.Random(13), words(17, 100), []
+    for i in range(90):
+        at = set(r.sample(range(100), r.randrange(7, 17)))
+        rows.append((i, i // 2, " ".join(f"e{i}x{k}" if k in at else w for k, w in enumerate(base))))
+    rows += [(90 + i, 90 + i, " ".join(["é"] * (90 + i))) for i in range(12)]
+    d = spark.createDataFrame(rows, "id long, class_id long, text string").repartition(3)
+    ws, want = [near_dedup.words([t])[0] for _, _, t in rows], {}
+    for b in range(len(rows)):
+        for a in range(b):
+            most = int(0.2 * max(len(ws[a]), len(ws[b])) + 1e-9)
+            if rows[a][1] != rows[b][1] and (e := near_dedup.band_distance(ws[a], ws[b], most)) is not None:
+                want[a, b] = e
+    assert 66 < len(want) < 2000
+    for settings in ({}, {"few": 1}, {"few": 1, "together": 7, "load": 500}, {"few": 1000}, {"bins": 8}):
+        got = [(x["lo"], x["hi"], x["distance"]) for x in near_dedup.pairs_by_pieces(d, 0.8, **settings).collect()]
+        assert sorted(got) == sorted((*p, e) for p, e in want.items())
+
+
+def test_common_words(spark):
+    r = random.Random(14)
+    texts = [[r.choice("abcdef") for _ in range(40)] for _ in range(7)] + [[]]
+    labels, off = near_dedup.shingle_labels(*near_dedup.words([" ".join(t) for t in texts]), 1)
+    want = [[sum(min(a.count(c), b.count(c)) for c in set(a)) for b in texts] for a in texts]
+    got = near_dedup.common_words(labels, off, 3)
+    assert all(got[i][j] == want[i][j] for i in range(8) for j in range(8) if i != j)
+
+
 def test_components_of_a_path(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 103), (101, 103)], "lo long, hi long")
     got = {r["id"]: r["class_id"] for r in near_dedup.components(e).collect()}
