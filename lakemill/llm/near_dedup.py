@@ -384,11 +384,12 @@ def pairs_by_pieces(texts: DataFrame, similarity: float, load: int = 200_000, to
     rows = runs.mapInPandas(run, "id long, class_id long, n_words int, key long")
     lists = rows.groupBy("key").agg(F.collect_list(F.struct("id", "class_id", "n_words")).alias("texts"), F.min("class_id").alias("a"), F.max("class_id").alias("b"))
     lists = written(lists.where("a <> b").select("key", F.size("texts").alias("size"), "texts"))
-    a, b = F.col("a.id"), F.col("b.id")
-    pairs = lists.where(F.col("size") <= few).select("texts", F.explode("texts").alias("a")).select("a", F.explode("texts").alias("b"))
-    room = F.floor((1 - similarity) * F.greatest("a.n_words", "b.n_words") + 1e-9)
-    pairs = pairs.where((a < b) & (F.col("a.class_id") != F.col("b.class_id")) & (F.abs(F.col("a.n_words") - F.col("b.n_words")) <= room))
-    pairs = written(pairs.select(a.alias("lo"), b.alias("hi")).distinct())
+    # of each text's list only those behind it that can align
+    a, behind = F.col("a"), F.slice("texts", F.col("at") + 2, F.col("size"))
+    room = lambda b: F.floor((1 - similarity) * F.greatest(a["n_words"], b["n_words"]) + 1e-9)
+    behind = F.filter(behind, lambda b: (a["class_id"] != b["class_id"]) & (F.abs(a["n_words"] - b["n_words"]) <= room(b)))
+    pairs = lists.where(F.col("size") <= few).select("texts", "size", F.posexplode("texts").alias("at", "a")).select("a.id", F.explode(behind).alias("b"))
+    pairs = written(pairs.select(F.least("id", "b.id").alias("lo"), F.greatest("id", "b.id").alias("hi")).distinct())
     flat = lists.where(F.col("size") > few).select("key", "size", F.explode("texts").alias("text")).select("text.id", "text.n_words", "size", "key")
     per_text = flat.groupBy("id", "n_words").agg(F.max(F.struct("size", "key")).alias("common"), F.collect_list("key").alias("keys"))
     # a power of two, so that texts of unlike lengths are dealt alike
