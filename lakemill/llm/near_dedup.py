@@ -288,19 +288,73 @@ def _apart(one: DataFrame, two: DataFrame, keys: list[str], similarity: float) -
     return both.select(F.least("ia", "ib").alias("lo"), F.greatest("ia", "ib").alias("hi")).distinct()
 
 
-def word_pairs(texts: DataFrame, k: int) -> DataFrame:
-    """id, class_id, n_words and the occurrence-labelled runs of k words (keys) of every text (id, class_id, text)."""
+_PACK = "pack long, ids array<long>, classes array<long>, n_words array<int>, n_runs array<int>, text array<int>, key array<long>"
+
+
+def packed_runs(texts: DataFrame, k: int, bins: int) -> DataFrame:
+    """The occurrence-labelled runs of k words (key) of all texts (id, class_id, text), packs of texts in a row for each bin of keys.
+
+    text: the run's text, by its place in the pack, and of: that text's class. The row of bin 0 has the pack's texts.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
             batch = p["text"].tolist()
             for x, z in chunks(batch):
                 w, at = words(batch[x:z])
-                keys, off = shingle_labels(w, at, k)
-                out = p[["id", "class_id"]].iloc[x:z]
-                yield out.assign(n_words=np.diff(at), keys=[keys[i:j].view(np.int64) for i, j in zip(off[:-1], off[1:])])
+                key, off = shingle_labels(w, at, k)
+                key, n_runs = key.view(np.int64), np.diff(off)
+                text, classes = np.repeat(np.arange(z - x, dtype=np.int32), n_runs), p["class_id"].to_numpy()[x:z]
+                ids = p["id"].to_numpy()[x:z]
+                order = np.argsort(key % bins, kind="stable")
+                cuts = np.searchsorted(key[order] % bins, np.arange(bins + 1))
+                rows = [(ids[0], b, *([None] * 4 if b else (ids, classes, np.diff(at), n_runs)), text[o], key[o], classes[text[o]]) for b in range(bins) if len(o := order[cuts[b] : cuts[b + 1]]) or not b]
+                yield pd.DataFrame(rows, columns=["pack", "bin", "ids", "classes", "n_words", "n_runs", "text", "key", "of"])
+
+    return texts.select("id", "class_id", "text").mapInPandas(run, _PACK.replace("pack long", "pack long, bin int") + ", of array<long>")
+
+
+def shared_runs(packed: DataFrame) -> DataFrame:
+    """The packs' rows with those runs only that texts of several classes have, and how many texts have each (count)."""
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        cuts = np.cumsum(p["key"].map(len).to_numpy())[:-1]
+        text, key, of = (np.concatenate(p[c].tolist()) for c in ("text", "key", "of"))
+        kinds, kind, count = np.unique(key, return_inverse=True, return_counts=True)
+        some = np.zeros(len(kinds), np.int64)
+        some[kind] = of  # the class of any text that has the run
+        several = np.zeros(len(kinds), bool)
+        several[kind[of != some[kind]]] = True
+        stays = np.split(several[kind], cuts)
+        of_rows = lambda values: [v[s] for v, s in zip(np.split(values, cuts), stays)]
+        return p.drop(columns=["bin", "of"]).assign(text=of_rows(text), key=of_rows(key), count=of_rows(count[kind].astype(np.int32)))
+
+    return packed.groupBy("bin").applyInPandas(run, _PACK + ", count array<int>")
 
-    return texts.select("id", "class_id", "text").mapInPandas(run, "id long, class_id long, n_words int, keys array<long>")
+
+def first_runs(shared: DataFrame, k: int, similarity: float) -> DataFrame:
+    """key and the texts (id, class_id, n_words) of each pack that have it among their rarest runs, in which texts that align must meet.
+
+    Runs that texts of one class alone have count as the rarest: they take places and are left out.
+    """
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        head = p[p["ids"].notna()].iloc[0]
+        n = np.asarray(head["n_words"])
+        text, key, count = (np.concatenate(p[c].tolist()) for c in ("text", "key", "count"))
+        order = np.lexsort((key, count, text))
+        text, key = text[order], key[order]
+        have = np.bincount(text, minlength=len(n))
+        most = (k * (1 - similarity) * n + 1e-9).astype(np.int64) + 1 - (head["n_runs"] - have)
+        stays = np.arange(len(text)) - (np.cumsum(have) - have)[text] < most[text]
+        text, key = text[stays], key[stays]
+        order = np.argsort(key, kind="stable")
+        key, start = np.unique(key[order], return_index=True)
+        lists = np.split(text[order], start[1:]) if len(key) else []
+        columns = {c: [np.asarray(head[of])[t] for t in lists] for c, of in (("id", "ids"), ("class_id", "classes"), ("n_words", "n_words"))}
+        return pd.DataFrame({"key": key, **columns})
+
+    return shared.groupBy("pack").applyInPandas(run, "key long, id array<long>, class_id array<long>, n_words array<int>")
 
 
 def common_words(labels: np.ndarray, off: np.ndarray, width: int = 1 << 14) -> np.ndarray:
@@ -346,43 +400,22 @@ def aligned_by_blocks(meet: DataFrame, home: DataFrame, texts: DataFrame, simila
     return both.groupBy("x", "y").applyInPandas(run, "lo long, hi long, distance long, similarity double")
 
 
-def pairs_by_pieces(texts: DataFrame, similarity: float, load: int = 200_000, together: int = 128, few: int = 24, bins: int = 1 << 22) -> DataFrame:
+def pairs_by_pieces(texts: DataFrame, similarity: float, load: int = 200_000, together: int = 128, few: int = 24, bins: int = 128) -> DataFrame:
     """lo, hi, distance, similarity of all texts (id, class_id, text) of different classes that align; exact for any number of texts.
 
     An edit touches at most k runs of k words, so that two texts of which the longer has n words and that differ by
     `most` = (1 - similarity) * n edits have all but k * most of their runs in common, repeats counted. In whatever
     order the runs stand, one they share is then among the first k * (1 - similarity) * n + 1 of both. The order puts
-    rare runs first, which passages of many texts are not; it comes from counts of hashed runs in a table of fixed
-    size, and texts differ in speed and not in results by it.
+    rare runs first, which passages of many texts are not. Runs are counted in `bins`, a task for each bin of keys, and
+    the counts go back to the packs of texts that asked: no row is made for a run, and none comes to the driver.
 
     Runs of at most `few` texts give pairs, which is linear in the runs. For commoner ones no row is made for a pair:
     their texts are gathered in blocks, by the commonest of these runs, of about `together` texts or `load` words, and
     blocks meet that share a run. A task has the texts of two blocks once and aligns those with enough words in common.
     """
     k = 2 if similarity >= 0.7 else 1
-    runs = written(word_pairs(texts, k))
-    counts = runs.select(F.explode("keys").alias("key")).groupBy(F.pmod("key", F.lit(bins)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
-    seen = counts.where("n > 1").select("bin", F.least("n", F.lit((1 << 31) - 1)).cast("int").alias("n")).toPandas()
-    table = np.ones(bins, np.int32)
-    table[seen["bin"].to_numpy()] = seen["n"].to_numpy()
-    shared = texts.sparkSession.sparkContext.broadcast(table)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = shared.value
-        for p in batches:
-            out = []
-            for i, c, n, keys in p.itertuples(index=False):
-                count = table[keys % bins]
-                first = np.lexsort((keys, count))[: int(k * (1 - similarity) * n + 1e-9) + 1]
-                first = first[count[first] > 1]
-                if not len(first):
-                    continue
-                out.append(pd.DataFrame({"id": i, "class_id": c, "n_words": n, "key": keys[first]}))
-            if out:
-                yield pd.concat(out)
-
-    rows = runs.mapInPandas(run, "id long, class_id long, n_words int, key long")
-    lists = rows.groupBy("key").agg(F.collect_list(F.struct("id", "class_id", "n_words")).alias("texts"), F.min("class_id").alias("a"), F.max("class_id").alias("b"))
+    rows = first_runs(shared_runs(written(packed_runs(texts, k, bins))), k, similarity)
+    lists = rows.groupBy("key").agg(F.flatten(F.collect_list(F.arrays_zip("id", "class_id", "n_words"))).alias("texts"), F.min(F.array_min("class_id")).alias("a"), F.max(F.array_max("class_id")).alias("b"))
     lists = written(lists.where("a <> b").select("key", F.size("texts").alias("size"), "texts"))
     # of each text's list only those behind it that can align
     a, behind = F.col("a"), F.slice("texts", F.col("at") + 2, F.col("size"))

@@ -215,6 +215,18 @@ def test_pieces_make_no_row_for_a_pair_that_does_not_align(spark):
         assert sorted(got) == sorted((*p, e) for p, e in want.items())
 
 
+def test_pieces_bring_no_runs_to_the_driver_and_make_no_row_for_one(spark, monkeypatch):
+    """Texts of several packs: the driver gathers nothing, and rows are as many as packs and bins, however many runs there are."""
+    d = spark.createDataFrame([(i, i // 2, " ".join(words(19, 400)[i % 20 :] + words(i, 9))) for i in range(60)], "id long, class_id long, text string").repartition(3)
+    for name in ("toPandas", "collect", "toLocalIterator"):
+        monkeypatch.setattr(type(d), name, lambda self, *a, **b: pytest.fail("rows came to the driver"))
+    found = near_dedup.pairs_by_pieces(d, 0.8)
+    monkeypatch.undo()
+    assert found.count() == 60 * 59 // 2 - 30
+    packed = near_dedup.packed_runs(d, 2, 16)
+    assert packed.count() <= 3 * 16 and packed.selectExpr("sum(size(key))").first()[0] > 20_000
+
+
 def test_common_words(spark):
     r = random.Random(14)
     texts = [[r.choice("abcdef") for _ in range(40)] for _ in range(7)] + [[]]
