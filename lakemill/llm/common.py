@@ -29,11 +29,20 @@ def fresh_path(spark: SparkSession, kind: str) -> str:
     return _WRITTEN[-1]
 
 
+#: Spark (4.1) deletes the shuffle files of a query when it ends, and not only when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """df, written as Parquet to the shared folder and read back: lineage is cut and lost executors lose nothing."""
+    """df, written as Parquet to the shared folder and read back: lineage is cut, lost executors lose nothing and no shuffle files stay."""
     spark = df.sparkSession
     path = fresh_path(spark, "tables")
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakemill.llm import chat_template as ct
 from lakemill.llm import decontaminate, html_extract, language_id, license_scan, line_dedup, near_dedup, piece_sampling, quality_classifier, quality_rules
-from lakemill.llm.common import crc_mod, lower_ascii
+from lakemill.llm.common import CLEANUP, crc_mod, lower_ascii, written
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -227,6 +228,16 @@ def test_pieces_bring_no_runs_to_the_driver_and_make_no_row_for_one(spark, monke
     assert packed.count() <= 3 * 16 and packed.selectExpr("sum(size(key))").first()[0] > 20_000
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    files = lambda: sum(str(f.getName()).startswith("shuffle_") for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()))
+    before, df = files(), written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and spark.conf.get(CLEANUP) == "false" and df.count() == 7
+
+
 def test_common_words(spark):
     r = random.Random(14)
     texts = [[r.choice("abcdef") for _ in range(40)] for _ in range(7)] + [[]]
