@@ -229,7 +229,7 @@ def test_pieces_bring_no_runs_to_the_driver_and_make_no_row_for_one(spark, monke
 
 
 def test_written_tables_leave_no_shuffle_files(spark):
-    files = lambda: sum(str(f.getName()).startswith("shuffle_") for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()))
+    files = lambda: {n for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if (n := str(f.getName())).startswith("shuffle_")}
     before, df = files(), written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
     for _ in range(50):
         if files() <= before:
